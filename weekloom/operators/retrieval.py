@@ -29,19 +29,22 @@ def named_stores(question: Column) -> Column:
 
 def semantic_search(index: DataFrame, question_vector: Column, key: str, k: int = SEARCH_HITS) -> DataFrame:
     """The k documents with the largest dot product; ties by ``key``."""
-    scored = index.withColumn("RAW", F.round(dot(F.col("vector"), question_vector), RANK_DIGITS))
-    best = scored.orderBy(F.desc_nulls_last("RAW"), key).limit(k)
+    best = _scored(index, question_vector).orderBy(F.desc_nulls_last("RAW"), key).limit(k)
     return best.withColumn("score", F.round("RAW", 3)).drop("RAW", "vector")
 
 
+def _scored(index: DataFrame, question_vector: Column) -> DataFrame:
+    """Add RAW, the dot product with the question (a literal or scalar column)."""
+    asked = index.withColumn("ASKED", question_vector)
+    return asked.withColumn("RAW", F.round(dot(F.col("vector"), F.col("ASKED")), RANK_DIGITS)).drop("ASKED")
+
+
 def hybrid_search(
     index: DataFrame, question: Column, question_vector: Column, key: str, k: int = SEARCH_HITS
 ) -> DataFrame:
     """Documents of the stores named in the question first, then by similarity."""
     named = F.coalesce(F.array_contains(named_stores(question), F.col("store_nbr")), F.lit(False))
-    scored = index.select(
-        "*", named.alias("NAMED"), F.round(dot(F.col("vector"), question_vector), RANK_DIGITS).alias("RAW")
-    )
+    scored = _scored(index, question_vector).withColumn("NAMED", named)
     best = scored.orderBy(F.desc("NAMED"), F.desc_nulls_last("RAW"), key).limit(k)
     matched_by = F.when(F.col("NAMED"), "store filter").otherwise("semantic")
     return best.withColumns({"score": F.round("RAW", 3), "matched_by": matched_by}).drop("RAW", "NAMED", "vector")

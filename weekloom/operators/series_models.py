@@ -46,7 +46,7 @@ def _backtest(rows: DataFrame, weeks: DataFrame | None, step: Callable) -> DataF
         pdf = pdf.sort_values("WEEK_START", ignore_index=True)
         y = pdf["SALES"].to_numpy(float)
         regressors = pdf[["PROMO_ITEMS", "HOLIDAY_DAYS"]].fillna(0).to_numpy(float)
-        tests = np.flatnonzero(pdf["IS_TEST"].fillna(False).to_numpy(bool))
+        tests = np.flatnonzero(pdf["IS_TEST"].notna().to_numpy())
         out = pdf.loc[tests, KEYS].copy()
         results = [_guarded(step, y, regressors, i) for i in tests]
         out["PRED"] = [p for p, _ in results]
