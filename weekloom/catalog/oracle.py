@@ -278,7 +278,7 @@ _INPUTS = """STORE_NBR, FAMILY, WEEK_START, STORE_TYPE, STORE_CLUSTER, round(SAL
 _LAGS = ", ".join(f"round(SALES_LAG_{k}, 2) AS SALES_LAG_{k}" for k in (1, 2, 4, 52))
 _ROLLS = ", ".join(f"round({c}, 6) AS {c}" for c in ("SALES_ROLL_MEAN_4", "SALES_ROLL_MEAN_12", "SALES_ROLL_STD_12"))
 _KEYS = "STORE_NBR, FAMILY, WEEK_START"
-_AVG_CENTS = "round(CAST(SUM(CAST(SALES AS DECIMAL(18,2))) AS DOUBLE) / COUNT(SALES), 5) AS AVG_SALES"
+_AVG_CENTS = "round(CAST(SUM(CAST(SALES AS DECIMAL(18,2))) AS DOUBLE) / COUNT(SALES), 6) AS AVG_SALES"
 _FORECAST_SUM = "round(SUM(FORECAST), 6)"
 
 

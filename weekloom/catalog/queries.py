@@ -49,7 +49,7 @@ FEATURE_DIGITS = {
 def csv_scan(f: Frames) -> DataFrame:
     """Prices written as CSV and read back as text: upper-case names, NULL tokens."""
     path = scratch_path(f.spark, "oil-csv")
-    prices = star.oil(f.spark, f.sf_dir).select(
+    prices = star.oil(f.table).select(
         F.col("DATE").alias("date"), F.coalesce("DCOILWTICO", F.lit("N/A")).alias("dcoilwtico")
     )
     prices.write.option("header", True).csv(path)
@@ -60,7 +60,7 @@ def csv_scan(f: Frames) -> DataFrame:
 def raw_load_counts(f: Frames) -> DataFrame:
     """Multi-file CSV load: rows per raw table."""
     folder, out = scratch_path(f.spark, "csv"), scratch_path(f.spark, "raw")
-    derived = star.raw_tables(f.spark, f.sf_dir)
+    derived = star.raw_tables(f.table)
     files = {name: table for name, table in RAW_FILES.items() if table in derived}
     for name, table in files.items():
         derived[table].write.option("header", True).csv(f"{folder}/{name}")
@@ -170,7 +170,7 @@ def calendar_oil_fill(f: Frames) -> DataFrame:
 @query
 def oil_fill_bucketed(f: Frames) -> DataFrame:
     """The same fill with yearly instead of monthly buckets."""
-    return staging.oil_daily(f.prices, star.sales_dates(f.spark, f.sf_dir), bucket="year")
+    return staging.oil_daily(f.prices, star.sales_dates(f.table), bucket="year")
 
 
 @query
@@ -287,10 +287,11 @@ def future_rows(f: Frames) -> DataFrame:
 @query
 def category_codes(f: Frames) -> DataFrame:
     """Codes of family and store type for every series."""
-    series = f.weekly.select(*SERIES, "STORE_TYPE").distinct()
+    series = f.stored(f.weekly.select(*SERIES, "STORE_TYPE").distinct(), "series")
+    coded = series
     for column, name in [("FAMILY", "FAMILY_CODE"), ("STORE_TYPE", "STORE_TYPE_CODE")]:
-        series = features.attach_codes(series, column, features.category_codes(f.weekly, column), name)
-    return series.select(*SERIES, "STORE_TYPE", "FAMILY_CODE", "STORE_TYPE_CODE")
+        coded = features.attach_codes(coded, column, features.category_codes(series, column), name)
+    return coded.select(*SERIES, "STORE_TYPE", "FAMILY_CODE", "STORE_TYPE_CODE")
 
 
 @query
@@ -340,7 +341,7 @@ def model_results(f: Frames) -> DataFrame:
 
 @query
 def model_comparison(f: Frames) -> DataFrame:
-    return scoring.compare_models(f.results)
+    return scoring.compare_models(f.stored(f.results, "model-results"))
 
 
 @query
@@ -362,22 +363,22 @@ def forecast_naive(f: Frames) -> DataFrame:
 
 @query
 def gbt_forecast(f: Frames) -> DataFrame:
-    return global_model.forecast(global_model.model_rows(f.features), NEW_RUN, QUICK)
+    return global_model.forecast(global_model.model_rows(f.stored_features), NEW_RUN, QUICK)
 
 
 @query
 def gbt_gate(f: Frames) -> DataFrame:
-    return global_model.gate(global_model.model_rows(f.features), NEW_RUN, CHECK_THRESHOLD, QUICK)
+    return global_model.gate(global_model.model_rows(f.stored_features), NEW_RUN, CHECK_THRESHOLD, QUICK)
 
 
 @query
 def gbt_backtest(f: Frames) -> DataFrame:
-    return global_model.backtest(global_model.model_rows(f.features), QUICK)
+    return global_model.backtest(global_model.model_rows(f.stored_features), QUICK)
 
 
 @query
 def gbt_importance(f: Frames) -> DataFrame:
-    model = global_model.fit(global_model.trainable(global_model.model_rows(f.features)), QUICK)
+    model = global_model.fit(global_model.trainable(global_model.model_rows(f.stored_features)), QUICK)
     return global_model.importance(f.spark, model)
 
 
@@ -405,17 +406,17 @@ def eda_top_families(f: Frames) -> DataFrame:
 
 @query
 def eda_seasonality(f: Frames) -> DataFrame:
-    return rounded(_real(reports.seasonality(money(f.kept))), AVG_SALES=5)
+    return rounded(_real(reports.seasonality(money(f.kept))), AVG_SALES=6)
 
 
 @query
 def eda_promo(f: Frames) -> DataFrame:
-    return rounded(_real(reports.sales_by_flag(money(f.kept), "PROMO_ITEMS", "HAS_PROMO")), AVG_SALES=5)
+    return rounded(_real(reports.sales_by_flag(money(f.kept), "PROMO_ITEMS", "HAS_PROMO")), AVG_SALES=6)
 
 
 @query
 def eda_holiday(f: Frames) -> DataFrame:
-    return rounded(_real(reports.sales_by_flag(money(f.kept), "HOLIDAY_DAYS", "HAS_HOLIDAY")), AVG_SALES=5)
+    return rounded(_real(reports.sales_by_flag(money(f.kept), "HOLIDAY_DAYS", "HAS_HOLIDAY")), AVG_SALES=6)
 
 
 def _real(df: DataFrame) -> DataFrame:
@@ -459,7 +460,7 @@ def q_total_forecast(f: Frames) -> DataFrame:
 
 @query
 def q_store_declines(f: Frames) -> DataFrame:
-    declines = reports.store_declines(f.forecasts, scoring.future_rows(f.features))
+    declines = reports.store_declines(f.forecasts, f.future)
     return rounded(declines, TOTAL_FORECAST=2, LAST_WEEK=2, CHANGE_RATIO=6)
 
 
@@ -470,7 +471,7 @@ def q_gate_passed(f: Frames) -> DataFrame:
 
 @query
 def q_family_change(f: Frames) -> DataFrame:
-    change = reports.family_change(f.forecasts, scoring.future_rows(f.features))
+    change = reports.family_change(f.forecasts, f.future)
     return rounded(change, TOTAL_FORECAST=2, LAST_WEEK=2, PCT_CHANGE=6)
 
 

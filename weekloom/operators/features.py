@@ -74,14 +74,19 @@ def densify(kept: DataFrame, first_week: Column, last_week: Column) -> DataFrame
     ])
 
 
-def add_next_week(kept: DataFrame, next_week: Column) -> DataFrame:
+def add_next_week(kept: DataFrame, next_week: Column, last_week: Column | None = None) -> DataFrame:
     """History (IS_FUTURE 0) plus one forecast row per series (IS_FUTURE 1).
 
     The forecast row repeats the series' last row: promotions and price carry
     over, sales and traffic are unknown, holidays come from NEXT_HOLIDAY_DAYS.
     Emitted next to the last row, so no union and no further shuffle is needed.
+    When every series is known to end in ``last_week`` (a dense table), passing
+    it saves the look-ahead window and its sort.
     """
-    is_last = F.lead("WEEK_START").over(_series_order()).isNull()
+    if last_week is None:
+        is_last = F.lead("WEEK_START").over(_series_order()).isNull()
+    else:
+        is_last = F.col("WEEK_START") == last_week
     copies = F.when(F.col("_LAST"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     rows = kept.withColumn("_LAST", is_last).withColumn("IS_FUTURE", F.explode(copies))
     future = F.col("IS_FUTURE") == 1
@@ -124,10 +129,9 @@ def build_features(
         first_week = F.date_add(edges.select("FIRST_WEEK").scalar(), 7)
         next_week = edges.select("LAST_WEEK").scalar()
         kept = densify(with_next_holidays(kept, holidays, next_week), first_week, last_week)
-    else:
-        next_week = next_week_of(kept)
-        kept = with_next_holidays(kept, holidays, next_week)
-    return add_features(add_next_week(kept, next_week))
+        return add_features(add_next_week(kept, next_week, last_week))
+    next_week = next_week_of(kept)
+    return add_features(add_next_week(with_next_holidays(kept, holidays, next_week), next_week))
 
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:

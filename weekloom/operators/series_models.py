@@ -48,7 +48,8 @@ def _backtest(rows: DataFrame, weeks: DataFrame | None, step: Callable) -> DataF
         regressors = pdf[["PROMO_ITEMS", "HOLIDAY_DAYS"]].fillna(0).to_numpy(float)
         tests = np.flatnonzero(pdf["IS_TEST"].notna().to_numpy())
         out = pdf.loc[tests, KEYS].copy()
-        results = [_guarded(step, y, regressors, i) for i in tests]
+        season = _season(len(y))
+        results = [_guarded(step, y, season, regressors, i) for i in tests]
         out["PRED"] = [p for p, _ in results]
         out["ERROR"] = [e for _, e in results]
         return out
@@ -56,9 +57,11 @@ def _backtest(rows: DataFrame, weeks: DataFrame | None, step: Callable) -> DataF
     return flagged.groupBy(*SERIES).applyInPandas(per_series, RESULT)
 
 
-def _guarded(step: Callable, y: np.ndarray, regressors: np.ndarray, i: int) -> tuple[float | None, str | None]:
+def _guarded(
+    step: Callable, y: np.ndarray, season: np.ndarray, regressors: np.ndarray, i: int
+) -> tuple[float | None, str | None]:
     try:
-        value = float(step(y, regressors, i))
+        value = float(step(y, season, regressors, i))
         if not np.isfinite(value):
             return None, "fit is not finite"
         return max(value, 0.0), None
@@ -66,16 +69,17 @@ def _guarded(step: Callable, y: np.ndarray, regressors: np.ndarray, i: int) -> t
         return None, str(problem)
 
 
-def _season(t: np.ndarray) -> np.ndarray:
-    angle = 2 * np.pi * np.outer(t, np.arange(1, FOURIER_ORDER + 1)) / SEASON_WEEKS
+def _season(n: int) -> np.ndarray:
+    """Yearly waves at t = 0..n-1."""
+    angle = 2 * np.pi * np.outer(np.arange(n), np.arange(1, FOURIER_ORDER + 1)) / SEASON_WEEKS
     return np.hstack([np.sin(angle), np.cos(angle)])
 
 
-def _trend_step(y: np.ndarray, regressors: np.ndarray, i: int) -> float:
+def _trend_step(y: np.ndarray, season: np.ndarray, regressors: np.ndarray, i: int) -> float:
     if i < 2:
         raise ValueError("too few weeks")
     t = np.arange(i + 1)
-    x = np.column_stack([t / i, _season(t), regressors[: i + 1]])
+    x = np.column_stack([t / i, season[: i + 1], regressors[: i + 1]])
     centre = x[:i].mean(axis=0)
     spread = x[:i].std(axis=0)
     z = (x - centre) / np.where(spread > 0, spread, 1.0)
@@ -84,11 +88,11 @@ def _trend_step(y: np.ndarray, regressors: np.ndarray, i: int) -> float:
     return level + z[i] @ np.linalg.solve(gram, z[:i].T @ (y[:i] - level))
 
 
-def _arima_step(y: np.ndarray, _: np.ndarray, i: int) -> float:
+def _arima_step(y: np.ndarray, season: np.ndarray, _: np.ndarray, i: int) -> float:
     """Two-stage regression estimate (Hannan and Rissanen) on first differences."""
     if i < 2 * LONG_AR + 2 * FOURIER_ORDER + 4:
         raise ValueError("too few weeks")
-    dx = np.diff(_season(np.arange(i + 1)), axis=0)
+    dx = np.diff(season[: i + 1], axis=0)
     dy = np.diff(y[:i])
     n = len(dy)
     beta = _least_squares(dx[:n], dy)

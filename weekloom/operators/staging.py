@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -171,55 +171,67 @@ def weekly_sales(
 ) -> DataFrame:
     """``rollup_weekly(enrich(...))`` without joining at the daily grain.
 
-    Daily rows shuffle once, already combined on the map side, to one row per
-    series-week that keeps its row count per weekday (N0..N6). Calendar facts are
-    laid out per weekday the same way, and the joins run at the weekly grain.
-    Needs unique keys in the four side tables (see ``quality.duplicate_keys``).
+    Daily rows shuffle once, combined on the map side, to one row per series-week
+    that keeps its row count per weekday (N0..N6). Calendar facts are laid out per
+    weekday the same way (0 where absent, plus a bit mask of the days present), so
+    the joins run at the weekly grain. Needs unique keys in the four side tables
+    (see ``quality.duplicate_keys``).
     """
     weekday = F.weekday("DATE")
+    day_bit = F.call_function("shiftleft", F.lit(1), weekday)
     week = week_start(F.col("DATE")).alias("WEEK_START")
 
-    def on_day(i: int, column: str) -> Column:
-        return F.when(weekday == i, F.col(column))
+    def mask(present: Column) -> Column:
+        """Bit per weekday that has a row with ``present``."""
+        return F.coalesce(F.bit_or(F.when(present, day_bit)), F.lit(0))
+
+    def per_day(prefix: str, column: str) -> list[Column]:
+        """The value of each weekday (0 if absent) and the mask of days that have one."""
+        values = [
+            F.coalesce(F.sum(F.when(weekday == i, F.col(column))), F.lit(0)).alias(f"{prefix}{i}") for i in WEEKDAYS
+        ]
+        return [*values, mask(F.col(column).isNotNull()).alias(f"{prefix}_DAYS")]
 
     sales = daily.groupBy("STORE_NBR", "FAMILY", week).agg(
         F.sum("SALES").alias("SALES"),
         F.sum("ONPROMOTION").alias("PROMO_ITEMS"),
         F.count(F.lit(1)).alias("DAYS_IN_WEEK"),
         *[F.count_if(weekday == i).alias(f"N{i}") for i in WEEKDAYS],
+        mask(F.lit(True)).alias("N_DAYS"),
     )
     store_days = holidays.select("STORE_NBR", "DATE", "IS_HOLIDAY").unionByName(
         transactions, allowMissingColumns=True
     )
     store_weeks = store_days.groupBy("STORE_NBR", week).agg(
-        *[F.max(on_day(i, "IS_HOLIDAY")).alias(f"H{i}") for i in WEEKDAYS],
-        *[F.sum(on_day(i, "TRANSACTIONS")).alias(f"T{i}") for i in WEEKDAYS],
+        mask(F.col("IS_HOLIDAY") == 1).alias("H_DAYS"), *per_day("T", "TRANSACTIONS")
     )
-    oil_weeks = oil.groupBy(week).agg(*[F.max(on_day(i, "OIL_PRICE")).alias(f"P{i}") for i in WEEKDAYS])
+    oil_weeks = oil.groupBy(week).agg(*per_day("P", "OIL_PRICE"))
+
+    def rows_on(days: str) -> Column:
+        """Daily rows on the weekdays of a mask."""
+        return _sum_days(lambda i: F.col(f"N{i}") * F.shiftright(days, i).bitwiseAND(F.lit(1)))
 
-    def weighted(prefix: str) -> list[Column]:
-        """Rows of the weekday times its fact; NULL where either is absent."""
-        return [F.when(F.col(f"N{i}") > 0, F.col(f"N{i}") * F.col(f"{prefix}{i}")) for i in WEEKDAYS]
+    def weighted(prefix: str) -> Column:
+        """Sum of a fact over the daily rows; NULL when no row's day has it."""
+        total = _sum_days(lambda i: F.col(f"N{i}") * F.col(f"{prefix}{i}"))
+        return F.when(F.col("N_DAYS").bitwiseAND(F.col(f"{prefix}_DAYS")) != 0, total)
 
-    priced_rows = _total([F.when(F.col(f"P{i}").isNotNull(), F.col(f"N{i}")) for i in WEEKDAYS])
     return (
         sales.join(store_weeks, ["STORE_NBR", "WEEK_START"], "left")
         .join(F.broadcast(oil_weeks), "WEEK_START", "left")
         .join(stores, "STORE_NBR", "left")
         .select(
             *KEYS, *STORE_COLUMNS, "SALES", "PROMO_ITEMS",
-            F.coalesce(_total(weighted("H")), F.lit(0)).cast("bigint").alias("HOLIDAY_DAYS"),
-            F.try_divide(_total(weighted("P")), priced_rows).alias("AVG_OIL_PRICE"),
-            _total(weighted("T")).alias("STORE_TRANSACTIONS"),
+            F.coalesce(rows_on("H_DAYS"), F.lit(0).cast("bigint")).alias("HOLIDAY_DAYS"),
+            F.try_divide(weighted("P"), rows_on("P_DAYS")).alias("AVG_OIL_PRICE"),
+            weighted("T").alias("STORE_TRANSACTIONS"),
             "DAYS_IN_WEEK",
         )
     )
 
 
-def _total(parts: list[Column]) -> Column:
-    """Sum that skips NULL parts and is NULL when all are, like SQL SUM."""
-    added = reduce(lambda a, b: a + b, [F.coalesce(p, F.lit(0)) for p in parts])
-    return F.when(F.coalesce(*parts).isNotNull(), added)
+def _sum_days(term: Callable[[int], Column]) -> Column:
+    return reduce(lambda a, b: a + b, [term(i) for i in WEEKDAYS])
 
 
 def edge_weeks(daily: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from weekloom.fixed_values import GATE_THRESHOLD
 from weekloom.operators import global_model, narrative, quality, staging
 from weekloom.operators.features import build_features
 from weekloom.operators.global_model import Boosting
+from weekloom.session import scratch_path
 from weekloom.sources.tables import append_run, overwrite_table, read_table
 from weekloom.sources.vector_index import write_index
 
@@ -91,6 +92,7 @@ def refresh_documents(
 ) -> dict[str, DataFrame]:
     """Rebuild the summaries of the latest forecast, then the index."""
     facts = narrative.fact_frame(tables["FORECASTS"], tables["FEATURES"], tables["STORES"])
+    facts = _stored(spark, facts, scratch_path(spark, "facts"))  # read by each part of the documents
     documents = _stored(
         spark, narrative.summaries(facts), f"{out}/ANALYTICS/STORE_SUMMARIES", schemas.STORE_SUMMARIES
     )

@@ -6,48 +6,61 @@ supplier = store, part type = family, ship date = sales date.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 EVENT_SHIFT_DAYS = 95
-
-
-def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def _sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = _read(spark, sf_dir, "lineitem").select(
+SCHEMAS = {  # known types: no footer pass before each query
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+                "l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+}
+Table = Callable[[str], DataFrame]  # gives the star-schema table of a name
+
+
+def _sales_lines(table: Table) -> DataFrame:
+    line = table("lineitem").select(
         F.col("l_shipdate").cast("date").alias("DATE"),
         (F.col("l_suppkey") + 1).alias("STORE_NBR"),
         F.col("l_partkey"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("PRICE"),
         (F.col("l_discount").cast("decimal(4,2)") >= F.lit("0.05").cast("decimal(4,2)")).alias("PROMO"),
     )
-    part = _read(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("FAMILY"))
+    part = table("part").select(F.col("p_partkey").alias("l_partkey"), F.col("p_type").alias("FAMILY"))
     return line.join(part, "l_partkey")
 
 
-def train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    daily = _sales_lines(spark, sf_dir).groupBy("DATE", "STORE_NBR", "FAMILY").agg(
+def train(table: Table) -> DataFrame:
+    daily = _sales_lines(table).groupBy("DATE", "STORE_NBR", "FAMILY").agg(
         F.sum("PRICE").alias("SALES"), F.count_if("PROMO").alias("ONPROMOTION")
     )
     return daily.select(*[F.col(c).cast("string").alias(c) for c in ["DATE", "STORE_NBR", "FAMILY", "SALES", "ONPROMOTION"]])
 
 
-def sales_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sales_dates(table: Table) -> DataFrame:
     """The sales dates alone (one per line), for calendar bounds without grouping."""
-    return _sales_lines(spark, sf_dir).select("DATE")
+    return _sales_lines(table).select("DATE")
 
 
-def _nation_region(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation, region = _read(spark, sf_dir, "nation"), _read(spark, sf_dir, "region")
+def _nation_region(table: Table) -> DataFrame:
+    nation, region = table("nation"), table("region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "n_name", "r_name")
 
 
-def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = _read(spark, sf_dir, "supplier")
-    places = _nation_region(spark, sf_dir)
+def stores(table: Table) -> DataFrame:
+    supplier = table("supplier")
+    places = _nation_region(table)
     return supplier.join(places, supplier.s_nationkey == places.n_nationkey).select(
         (F.col("s_suppkey") + 1).cast("string").alias("STORE_NBR"),
         F.col("n_name").alias("CITY"),
@@ -57,9 +70,9 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def oil(spark: SparkSession, sf_dir: str) -> DataFrame:
+def oil(table: Table) -> DataFrame:
     day = F.col("o_orderdate").cast("date")
-    priced = _read(spark, sf_dir, "orders").where(F.weekday(day) < 5).groupBy(day.alias("DAY")).agg(
+    priced = table("orders").where(F.weekday(day) < 5).groupBy(day.alias("DAY")).agg(
         F.min(F.col("o_totalprice").cast("decimal(18,2)")).alias("PRICE"), F.min("o_orderkey").alias("FIRST_ORDER")
     )
     return priced.select(
@@ -68,17 +81,17 @@ def oil(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def holidays_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def holidays_events(table: Table) -> DataFrame:
     day = F.date_add(F.col("o_orderdate").cast("date"), EVENT_SHIFT_DAYS)
     order = F.struct("o_orderkey", "o_custkey", "o_orderpriority")
     picked = (
-        _read(spark, sf_dir, "orders").where(F.dayofmonth(day).isin(1, 15))
+        table("orders").where(F.dayofmonth(day).isin(1, 15))
         .groupBy(day.alias("DAY")).agg(F.min(order).alias("lo"), F.max(order).alias("hi"))
         .select("DAY", F.explode(F.array("lo", "hi")).alias("o"))
         .select("DAY", "o.*")
     )
-    customer = _read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    places = _nation_region(spark, sf_dir)
+    customer = table("customer").select("c_custkey", "c_nationkey")
+    places = _nation_region(table)
     placed = picked.join(customer, picked.o_custkey == customer.c_custkey).join(
         places, customer.c_nationkey == places.n_nationkey
     )
@@ -92,8 +105,8 @@ def holidays_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_day = _read(spark, sf_dir, "lineitem").groupBy(
+def transactions(table: Table) -> DataFrame:
+    per_day = table("lineitem").groupBy(
         F.col("l_shipdate").cast("date").alias("DAY"), (F.col("l_suppkey") + 1).alias("STORE")
     ).agg(F.count_distinct("l_orderkey").alias("N"))
     return per_day.select(
@@ -102,8 +115,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def raw_tables(table: Table) -> dict[str, DataFrame]:
     return {
-        "TRAIN": train(spark, sf_dir), "STORES": stores(spark, sf_dir), "OIL": oil(spark, sf_dir),
-        "HOLIDAYS_EVENTS": holidays_events(spark, sf_dir), "TRANSACTIONS": transactions(spark, sf_dir),
+        "TRAIN": train(table), "STORES": stores(table), "OIL": oil(table),
+        "HOLIDAYS_EVENTS": holidays_events(table), "TRANSACTIONS": transactions(table),
     }

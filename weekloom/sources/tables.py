@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from weekloom.fixed_values import ROW_LIMIT
 
@@ -18,7 +19,7 @@ def append_run(df: DataFrame, path: str) -> int:
     return _write(df, path, "append", "RUN_TS")
 
 
-def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
 
