@@ -16,6 +16,15 @@ def _series_order() -> WindowSpec:
     return Window.partitionBy(*SERIES).orderBy("WEEK_START")
 
 
+def _by_series(weekly: DataFrame) -> DataFrame:
+    """Spread rows by series (at most one row per week each).
+
+    Stated because a join on the store would leave rows partitioned by store,
+    which also satisfies the windows but puts a large store into one task.
+    """
+    return weekly.repartition(*SERIES)
+
+
 def weekly_edges(weekly: DataFrame) -> DataFrame:
     return weekly.agg(F.min("WEEK_START").alias("FIRST_WEEK"), F.max("WEEK_START").alias("LAST_WEEK"))
 
@@ -57,7 +66,7 @@ def densify(kept: DataFrame, first_week: Column, last_week: Column) -> DataFrame
     """
     before = F.lag("WEEK_START").over(_series_order())
     after = F.lead("WEEK_START").over(_series_order())
-    spans = kept.withColumn("_FROM", F.when(before.isNull(), first_week).otherwise(F.col("WEEK_START"))).withColumn(
+    spans = _by_series(kept).withColumn("_FROM", F.when(before.isNull(), first_week).otherwise(F.col("WEEK_START"))).withColumn(
         "_TO", F.coalesce(F.date_sub(after, 7), last_week)
     )
     weeks = spans.withColumn("_WEEK", F.explode(F.sequence("_FROM", "_TO", F.expr("interval 7 days"))))
@@ -84,6 +93,7 @@ def add_next_week(kept: DataFrame, next_week: Column, last_week: Column | None =
     it saves the look-ahead window and its sort.
     """
     if last_week is None:
+        kept = _by_series(kept)
         is_last = F.lead("WEEK_START").over(_series_order()).isNull()
     else:
         is_last = F.col("WEEK_START") == last_week

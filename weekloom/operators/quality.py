@@ -44,7 +44,7 @@ def conflicting_store_columns(enriched: DataFrame, columns: list[str]) -> DataFr
     """Stores whose attributes differ between rows (any_value would be unsafe)."""
     different = [(F.min(c) != F.max(c)) | ((F.count(c) > 0) & (F.count(c) < F.count(F.lit(1)))) for c in columns]
     flagged = enriched.groupBy("STORE_NBR").agg(*[d.alias(c) for d, c in zip(different, columns)])
-    anywhere = F.greatest(*[F.coalesce(F.col(c), F.lit(False)) for c in columns])
+    anywhere = F.greatest(F.lit(False), *[F.coalesce(F.col(c), F.lit(False)) for c in columns])
     return flagged.where(anywhere).select("STORE_NBR")
 
 
