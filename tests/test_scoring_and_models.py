@@ -193,6 +193,11 @@ def test_weekly_run_end_to_end(spark, raw, tmp_path):
     assert spark.read.schema(schemas.FORECASTS).parquet(f"{out}/ANALYTICS/FORECASTS").count() == 12
 
 
+def test_enriched_table_is_kept_on_request(spark, raw, tmp_path):
+    tables = weekly_run.stage(spark, raw, str(tmp_path / "run"), keep_enriched=True)
+    assert tables["SALES_DAILY_ENRICHED"].count() == 2940
+
+
 def test_weekly_run_refuses_duplicate_stores(spark, raw, tmp_path):
     doubled = {**raw, "STORES": raw["STORES"].union(raw["STORES"])}
     with pytest.raises(ValueError, match="STORES has duplicate keys"):

@@ -53,6 +53,20 @@ def test_enrich_keeps_every_daily_row(side):
     assert enriched.where("IS_HOLIDAY is null").count() == 0
 
 
+def test_salting_hot_stores_changes_nothing(side):
+    daily, *others = side
+    copies = daily.where("STORE_NBR = 1 or STORE_NBR is null").limit(40)
+    for _ in range(4):
+        copies = copies.union(copies)
+    skewed = daily.union(copies).repartition(6)
+    plain, salted = staging.enrich(skewed, *others), staging.enrich(skewed, *others, hot_rows=300)
+    assert sorted(rows(plain), key=str) == sorted(rows(salted), key=str)
+    hot = staging.hot_values(skewed, "STORE_NBR", 300)
+    assert 1 in {r[0] for r in hot.collect()}
+    spread = staging.salt_rows(skewed, "STORE_NBR", hot).where("STORE_NBR = 1")
+    assert spread.select("SALT").distinct().count() == 6
+
+
 def test_enriched_columns_match_a_lookup(side):
     daily, stores, oil, holidays, traffic = side
     prices, days, visits = by(oil, "DATE"), by(holidays, "STORE_NBR", "DATE"), by(traffic, "STORE_NBR", "DATE")

@@ -386,7 +386,7 @@ SELECT TABLE_NAME, N AS N_ROWS, N AS N_REPORTED FROM (
   UNION ALL SELECT 'OIL', COUNT(*) FROM raw_oil UNION ALL SELECT 'HOLIDAYS_EVENTS', COUNT(*) FROM raw_holidays
   UNION ALL SELECT 'TRANSACTIONS', COUNT(*) FROM raw_transactions)"""),
         "overwrite_sink": staging("SELECT * FROM stores WHERE STORE_TYPE <> 'A'"),
-        "append_log": scores("SELECT RUN_TS, MODEL, COUNT(*) AS N_ROWS, round(SUM(FORECAST), 2) AS TOTAL_FORECAST FROM forecasts GROUP BY 1, 2"),
+        "append_log": scores("SELECT RUN_TS, MODEL, COUNT(*) AS N_ROWS, round(SUM(FORECAST), 6) AS TOTAL_FORECAST FROM forecasts GROUP BY 1, 2"),
         "latest_run": scores("SELECT STORE_NBR, FAMILY, WEEK_START, round(FORECAST, 2) AS FORECAST, MODEL, RUN_TS FROM latest"),
         "rows_json": staging("""
 SELECT '{"WEEK_START":"' || strftime(WEEK_START, '%Y-%m-%dT00:00:00.000') || '","STORE_NBR":' || STORE_NBR || ',"FAMILY":"' || FAMILY
@@ -494,5 +494,6 @@ FROM (SELECT *, row_number() OVER (PARTITION BY QUESTION_ID ORDER BY NAMED DESC,
 WITH found AS (SELECT doc_id, list_transform(regexp_extract_all(replace(text, ',', ''), {_q(NUMBER_PATTERN)}), lambda x: CAST(x AS DOUBLE)) AS n FROM documents)
 SELECT doc_id, CAST(len(n) AS BIGINT) AS N_NUMBERS, CAST(len(list_filter(n, lambda x: x = floor(x))) AS BIGINT) AS N_WHOLE, list_max(n) AS MAX_NUMBER FROM found""",
         "answer_scoring": f"WITH {_answers()}\nSELECT CASE_ID, KIND, ANSWER, PASSED FROM scored",
+        "answer_report": f"WITH {_answers()}\nSELECT CASE_ID, CASE WHEN PASSED THEN 'PASS' ELSE 'FAIL' END AS RESULT, KIND, substr(ANSWER, 1, 250) AS SHOWN_ANSWER FROM scored",
         "answer_accuracy": f"WITH {_answers()}\nSELECT KIND, COUNT(*) FILTER (WHERE PASSED) AS N_PASSED, COUNT(*) AS N_CASES, round(AVG(CAST(PASSED AS INTEGER)), 6) AS ACCURACY FROM scored GROUP BY 1",
     }

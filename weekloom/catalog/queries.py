@@ -90,7 +90,7 @@ def append_log(f: Frames) -> DataFrame:
     rows = f.forecasts.groupBy("RUN_TS", "MODEL").agg(
         F.count(F.lit(1)).alias("N_ROWS"), F.sum("FORECAST").alias("TOTAL_FORECAST")
     )
-    return rounded(rows, TOTAL_FORECAST=2)
+    return rounded(rows, TOTAL_FORECAST=6)
 
 
 @query
@@ -556,6 +556,11 @@ def answer_scoring(f: Frames) -> DataFrame:
     return answers.score_answers(f.answer_cases).select("CASE_ID", "KIND", "ANSWER", "PASSED")
 
 
+@query
+def answer_report(f: Frames) -> DataFrame:
+    return answers.score_report(answers.score_answers(f.answer_cases)).drop("TRUTH")
+
+
 @query
 def answer_accuracy(f: Frames) -> DataFrame:
     scored = answers.score_answers(f.answer_cases)

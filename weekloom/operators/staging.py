@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from weekloom.fixed_values import KEYS
 from weekloom.functions.casts import to_date, to_double, to_long
 from weekloom.functions.dates import week_start
+from weekloom.operators.skew import HOT_ROWS, hot_values, repeat_rows, salt_rows
 
 WEEKDAYS = range(7)
 STORE_COLUMNS = ["CITY", "STATE", "STORE_TYPE", "STORE_CLUSTER"]
@@ -134,18 +135,22 @@ def store_holidays(holidays: DataFrame, stores: DataFrame, salts: int = 16) -> D
 # --- enriched daily and weekly sales -----------------------------------------
 
 def enrich(
-    daily: DataFrame, stores: DataFrame, oil: DataFrame, holidays: DataFrame, transactions: DataFrame
+    daily: DataFrame, stores: DataFrame, oil: DataFrame, holidays: DataFrame, transactions: DataFrame,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Daily sales with store, price, holiday and traffic columns (all left joins).
 
     Holidays and traffic share the (store, date) key, so they meet first and the
     daily rows join once on it. ``oil`` has one row per calendar day: broadcast.
+    Rows of a store with more than ``hot_rows`` rows are salted.
     """
+    hot = hot_values(daily, "STORE_NBR", hot_rows)
     store_days = holidays.join(transactions, ["STORE_NBR", "DATE"], "full")
     return (
-        daily.join(stores, "STORE_NBR", "left")
+        salt_rows(daily, "STORE_NBR", hot)
+        .join(repeat_rows(stores, "STORE_NBR", hot), ["STORE_NBR", "SALT"], "left")
         .join(F.broadcast(oil), "DATE", "left")
-        .join(store_days, ["STORE_NBR", "DATE"], "left")
+        .join(repeat_rows(store_days, "STORE_NBR", hot), ["STORE_NBR", "DATE", "SALT"], "left")
         .select(
             "DATE", "STORE_NBR", "FAMILY", "SALES", "ONPROMOTION", *STORE_COLUMNS, "OIL_PRICE",
             F.coalesce("IS_HOLIDAY", F.lit(0)).alias("IS_HOLIDAY"), "TRANSACTIONS",

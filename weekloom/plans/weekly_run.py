@@ -30,8 +30,14 @@ def _stored(spark: SparkSession, df: DataFrame, path: str, schema: str | None =
     return read_table(spark, path, schema)
 
 
-def stage(spark: SparkSession, raw: Mapping[str, DataFrame], out: str) -> dict[str, DataFrame]:
-    """Write the staging tables. Each later table reads the stored earlier ones."""
+def stage(
+    spark: SparkSession, raw: Mapping[str, DataFrame], out: str, keep_enriched: bool = False
+) -> dict[str, DataFrame]:
+    """Write the staging tables. Each later table reads the stored earlier ones.
+
+    The weekly table does not need the enriched daily one, which is the largest
+    of all; it is written only on request.
+    """
     def keep(name: str, df: DataFrame, schema: str) -> DataFrame:
         return _stored(spark, df, f"{out}/STAGING/{name}", schema)
 
@@ -48,6 +54,9 @@ def stage(spark: SparkSession, raw: Mapping[str, DataFrame], out: str) -> dict[s
     for name, keys in UNIQUE_KEYS.items():
         quality.assert_unique(tables[name].dropna(subset=keys), keys, name)
     weekly = staging.weekly_sales(daily, stores, oil, holidays, traffic)
+    if keep_enriched:
+        enriched = staging.enrich(daily, stores, oil, holidays, traffic)
+        tables["SALES_DAILY_ENRICHED"] = keep("SALES_DAILY_ENRICHED", enriched, schemas.SALES_DAILY_ENRICHED)
     tables["SALES_WEEKLY"] = keep("SALES_WEEKLY", weekly, schemas.SALES_WEEKLY)
     return tables
 

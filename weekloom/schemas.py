@@ -13,6 +13,10 @@ STORES = "STORE_NBR bigint, CITY string, STATE string, STORE_TYPE string, STORE_
 OIL_DAILY = "DATE date, OIL_PRICE double"
 STORE_HOLIDAYS = "STORE_NBR bigint, DATE date, IS_HOLIDAY int"
 TRANSACTIONS_DAILY = "DATE date, STORE_NBR bigint, TRANSACTIONS bigint"
+SALES_DAILY_ENRICHED = (
+    "DATE date, STORE_NBR bigint, FAMILY string, SALES double, ONPROMOTION bigint, CITY string, STATE string, "
+    "STORE_TYPE string, STORE_CLUSTER bigint, OIL_PRICE double, IS_HOLIDAY int, TRANSACTIONS bigint"
+)
 SALES_WEEKLY = (
     "STORE_NBR bigint, FAMILY string, WEEK_START date, CITY string, STATE string, STORE_TYPE string, "
     "STORE_CLUSTER bigint, SALES double, PROMO_ITEMS bigint, HOLIDAY_DAYS bigint, AVG_OIL_PRICE double, "
