@@ -100,6 +100,14 @@ def test_changing_a_week_leaves_earlier_features_alone(spark, sparse, built):
     assert after["SALES_LAG_1"] == 1e6
 
 
+def test_one_stray_date_does_not_stretch_the_grid(spark, sparse):
+    stray = {**sparse, (9, "Z"): {20000: 1.0}}  # some four centuries ahead
+    holidays = spark.createDataFrame(HOLIDAYS, schemas.STORE_HOLIDAYS)
+    built = features.build_features(weekly_frame(spark, stray), holidays)
+    assert rows(built.agg(F.min("WEEK_START"), F.max("WEEK_START")))[0] == (week(1), week(70))
+    assert built.count() == 3 * 70
+
+
 def test_complete_weeks_option(spark):
     df = weekly_frame(spark, {(1, "A"): {i: 1.0 for i in range(5)}})
     df = df.withColumn("DAYS_IN_WEEK", F.when(F.col("WEEK_START") == F.lit(week(2)), 6).otherwise(F.col("DAYS_IN_WEEK")).cast("bigint"))

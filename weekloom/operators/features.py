@@ -130,14 +130,19 @@ def build_features(
     """The FEATURES table: trimmed weeks, forecast rows, features.
 
     ``dense`` fills missing weeks first, which makes row lags calendar lags.
-    After the weekly rollup everything runs in one shuffle by series.
+    After the weekly rollup everything runs in one shuffle by series. With
+    ``edges`` the kept weeks are taken to lie between them without a gap at
+    either end; otherwise they are read from ``weekly`` (best a stored table).
     """
-    edges = weekly_edges(weekly) if edges is None else edges
     kept = trim_edge_weeks(weekly, edges)
     if dense:
-        last_week = F.date_sub(edges.select("LAST_WEEK").scalar(), 7)
-        first_week = F.date_add(edges.select("FIRST_WEEK").scalar(), 7)
-        next_week = edges.select("LAST_WEEK").scalar()
+        if edges is None:
+            inner = weekly_edges(kept)
+            first_week, last_week = inner.select("FIRST_WEEK").scalar(), inner.select("LAST_WEEK").scalar()
+            next_week = F.date_add(last_week, 7)
+        else:
+            next_week = edges.select("LAST_WEEK").scalar()
+            first_week, last_week = F.date_add(edges.select("FIRST_WEEK").scalar(), 7), F.date_sub(next_week, 7)
         kept = densify(with_next_holidays(kept, holidays, next_week), first_week, last_week)
         return add_features(add_next_week(kept, next_week, last_week))
     next_week = next_week_of(kept)

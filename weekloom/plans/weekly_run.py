@@ -25,8 +25,10 @@ class GateFailed(ValueError):
     """The newest week was predicted worse than the threshold allows."""
 
 
-def _stored(spark: SparkSession, df: DataFrame, path: str, schema: str | None = None) -> DataFrame:
-    overwrite_table(df, path)
+def _stored(
+    spark: SparkSession, df: DataFrame, path: str, schema: str | None = None, partition: str | None = None
+) -> DataFrame:
+    overwrite_table(df, path, partition)
     return read_table(spark, path, schema)
 
 
@@ -79,7 +81,9 @@ def run(
     """
     tables = stage(spark, raw, out)
     features = build_features(tables["SALES_WEEKLY"], tables["STORE_HOLIDAYS"], dense=dense)
-    tables["FEATURES"] = _stored(spark, features, f"{out}/ANALYTICS/FEATURES")
+    tables["FEATURES"] = _stored(
+        spark, features, f"{out}/ANALYTICS/FEATURES", schemas.FEATURES, partition="IS_FUTURE"
+    )
 
     rows = global_model.model_rows(tables["FEATURES"])
     append_run(global_model.gate(rows, run_ts, threshold, size), f"{out}/{LOG_TABLE}")

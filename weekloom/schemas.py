@@ -22,6 +22,13 @@ SALES_WEEKLY = (
     "STORE_CLUSTER bigint, SALES double, PROMO_ITEMS bigint, HOLIDAY_DAYS bigint, AVG_OIL_PRICE double, "
     "STORE_TRANSACTIONS bigint, DAYS_IN_WEEK bigint"
 )
+# IS_FUTURE is a partition column: the forecast week is read without the history.
+FEATURES = (
+    "STORE_NBR bigint, FAMILY string, WEEK_START date, STORE_TYPE string, STORE_CLUSTER bigint, SALES double, "
+    "PROMO_ITEMS bigint, HOLIDAY_DAYS bigint, AVG_OIL_PRICE double, STORE_TRANSACTIONS bigint, "
+    "SALES_LAG_1 double, SALES_LAG_2 double, SALES_LAG_4 double, SALES_LAG_52 double, SALES_ROLL_MEAN_4 double, "
+    "SALES_ROLL_MEAN_12 double, SALES_ROLL_STD_12 double, WEEK_OF_YEAR int, MONTH int, YEAR int, IS_FUTURE int"
+)
 # RUN_TS is a partition column of the two logs: it must stay text, so both are
 # always read with these schemas (inference would turn it into a timestamp).
 FORECASTS = "STORE_NBR bigint, FAMILY string, WEEK_START date, FORECAST double, MODEL string, RUN_TS string"

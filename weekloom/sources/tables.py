@@ -9,9 +9,9 @@ from pyspark.sql.types import StructType
 from weekloom.fixed_values import ROW_LIMIT
 
 
-def overwrite_table(df: DataFrame, path: str) -> int:
+def overwrite_table(df: DataFrame, path: str, partition: str | None = None) -> int:
     """Replace the whole table; returns the rows written."""
-    return _write(df, path, "overwrite", None)
+    return _write(df, path, "overwrite", partition)
 
 
 def append_run(df: DataFrame, path: str) -> int:
