@@ -12,7 +12,7 @@ from weekloom.fixed_values import (
 from weekloom.functions.casts import to_double
 from weekloom.functions.dates import iso_text
 from weekloom.functions.text import direction, percent_change, ratio_percent_change, thousands
-from weekloom.sources.tables import latest_run
+from weekloom.sources.tables import latest_run, weeks_of
 
 
 def fact_frame(forecasts: DataFrame, features: DataFrame, stores: DataFrame) -> DataFrame:
@@ -21,10 +21,11 @@ def fact_frame(forecasts: DataFrame, features: DataFrame, stores: DataFrame) ->
         "SALES_LAG_1": "LAST_WEEK", "SALES_LAG_52": "SAME_WEEK_LAST_YEAR", "SALES_ROLL_MEAN_4": "AVG_4WK",
         "PROMO_ITEMS": "PROMO_ITEMS", "HOLIDAY_DAYS": "HOLIDAY_DAYS",
     }
-    facts = features.select(*KEYS, *[to_double(F.col(c)).alias(n) for c, n in numbers.items()])
+    latest = latest_run(forecasts)
+    facts = weeks_of(features, latest).select(*KEYS, *[to_double(F.col(c)).alias(n) for c, n in numbers.items()])
     places = stores.select("STORE_NBR", "CITY", "STATE", "STORE_TYPE")
     return (
-        latest_run(forecasts).select(*KEYS, to_double(F.col("FORECAST")).alias("FORECAST"))
+        latest.select(*KEYS, to_double(F.col("FORECAST")).alias("FORECAST"))
         .join(facts, KEYS).join(places, "STORE_NBR")
         .withColumn("HOLIDAY_DAYS", F.coalesce("HOLIDAY_DAYS", F.lit(0.0)))
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weekloom.fixed_values import KEYS, SERIES
 from weekloom.functions.text import percent_change
 from weekloom.operators.features import series_tail
-from weekloom.sources.tables import latest_run
+from weekloom.sources.tables import latest_run, weeks_of
 
 
 def _sum(column: str) -> Column:
@@ -82,8 +82,8 @@ def forecast_total(forecasts: DataFrame) -> DataFrame:
 
 def _against_last_week(forecasts: DataFrame, features: DataFrame, key: str) -> DataFrame:
     """Totals of forecast and last week per ``key``, over matching rows."""
-    last_week = features.select(*KEYS, "SALES_LAG_1")
-    joined = latest_run(forecasts).join(last_week, KEYS)
+    latest = latest_run(forecasts)
+    joined = latest.join(weeks_of(features, latest).select(*KEYS, "SALES_LAG_1"), KEYS)
     return joined.groupBy(key).agg(_sum("FORECAST").alias("TOTAL_FORECAST"), _sum("SALES_LAG_1").alias("LAST_WEEK"))
 
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from functools import reduce
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -182,63 +181,55 @@ def weekly_sales(
     the joins run at the weekly grain. Needs unique keys in the four side tables
     (see ``quality.duplicate_keys``).
     """
-    weekday = F.weekday("DATE")
-    day_bit = F.call_function("shiftleft", F.lit(1), weekday)
     week = week_start(F.col("DATE")).alias("WEEK_START")
 
-    def mask(present: Column) -> Column:
+    def mask(name: str, present: str = "true") -> Column:
         """Bit per weekday that has a row with ``present``."""
-        return F.coalesce(F.bit_or(F.when(present, day_bit)), F.lit(0))
+        return F.expr(f"coalesce(bit_or(if({present}, shiftleft(1, weekday(DATE)), null)), 0) AS {name}")
 
     def per_day(prefix: str, column: str) -> list[Column]:
         """The value of each weekday (0 if absent) and the mask of days that have one."""
-        values = [
-            F.coalesce(F.sum(F.when(weekday == i, F.col(column))), F.lit(0)).alias(f"{prefix}{i}") for i in WEEKDAYS
-        ]
-        return [*values, mask(F.col(column).isNotNull()).alias(f"{prefix}_DAYS")]
+        values = [f"coalesce(sum(if(weekday(DATE) = {i}, {column}, null)), 0) AS {prefix}{i}" for i in WEEKDAYS]
+        return [*map(F.expr, values), mask(f"{prefix}_DAYS", f"{column} is not null")]
 
     sales = daily.groupBy("STORE_NBR", "FAMILY", week).agg(
         F.sum("SALES").alias("SALES"),
         F.sum("ONPROMOTION").alias("PROMO_ITEMS"),
         F.count(F.lit(1)).alias("DAYS_IN_WEEK"),
-        *[F.count_if(weekday == i).alias(f"N{i}") for i in WEEKDAYS],
-        mask(F.lit(True)).alias("N_DAYS"),
+        *[F.expr(f"count_if(weekday(DATE) = {i}) AS N{i}") for i in WEEKDAYS],
+        mask("N_DAYS"),
     )
     store_days = holidays.select("STORE_NBR", "DATE", "IS_HOLIDAY").unionByName(
         transactions, allowMissingColumns=True
     )
     store_weeks = store_days.groupBy("STORE_NBR", week).agg(
-        mask(F.col("IS_HOLIDAY") == 1).alias("H_DAYS"), *per_day("T", "TRANSACTIONS")
+        mask("H_DAYS", "IS_HOLIDAY = 1"), *per_day("T", "TRANSACTIONS")
     )
     oil_weeks = oil.groupBy(week).agg(*per_day("P", "OIL_PRICE"))
 
-    def rows_on(days: str) -> Column:
+    def rows_on(days: str) -> str:
         """Daily rows on the weekdays of a mask."""
-        return _sum_days(lambda i: F.col(f"N{i}") * F.shiftright(days, i).bitwiseAND(F.lit(1)))
+        return "(" + " + ".join(f"N{i} * (shiftright({days}, {i}) & 1)" for i in WEEKDAYS) + ")"
 
-    def weighted(prefix: str) -> Column:
+    def weighted(prefix: str) -> str:
         """Sum of a fact over the daily rows; NULL when no row's day has it."""
-        total = _sum_days(lambda i: F.col(f"N{i}") * F.col(f"{prefix}{i}"))
-        return F.when(F.col("N_DAYS").bitwiseAND(F.col(f"{prefix}_DAYS")) != 0, total)
+        total = " + ".join(f"N{i} * {prefix}{i}" for i in WEEKDAYS)
+        return f"if((N_DAYS & {prefix}_DAYS) != 0, {total}, null)"
 
     return (
         sales.join(store_weeks, ["STORE_NBR", "WEEK_START"], "left")
         .join(F.broadcast(oil_weeks), "WEEK_START", "left")
         .join(stores, "STORE_NBR", "left")
-        .select(
+        .selectExpr(
             *KEYS, *STORE_COLUMNS, "SALES", "PROMO_ITEMS",
-            F.coalesce(rows_on("H_DAYS"), F.lit(0).cast("bigint")).alias("HOLIDAY_DAYS"),
-            F.try_divide(weighted("P"), rows_on("P_DAYS")).alias("AVG_OIL_PRICE"),
-            weighted("T").alias("STORE_TRANSACTIONS"),
+            f"coalesce({rows_on('H_DAYS')}, 0L) AS HOLIDAY_DAYS",
+            f"try_divide({weighted('P')}, {rows_on('P_DAYS')}) AS AVG_OIL_PRICE",
+            f"{weighted('T')} AS STORE_TRANSACTIONS",
             "DAYS_IN_WEEK",
         )
     )
 
 
-def _sum_days(term: Callable[[int], Column]) -> Column:
-    return reduce(lambda a, b: a + b, [term(i) for i in WEEKDAYS])
-
-
 def edge_weeks(daily: DataFrame) -> DataFrame:
     """First and last sales week: one row, from the DATE column alone."""
     return daily.agg(

@@ -33,6 +33,12 @@ def latest_run(log: DataFrame) -> DataFrame:
     return log.where(F.col("RUN_TS") == newest)
 
 
+def weeks_of(rows: DataFrame, forecasts: DataFrame) -> DataFrame:
+    """Rows within the forecast weeks: cuts the history before a join on the week."""
+    span = forecasts.agg(F.min("WEEK_START").alias("lo"), F.max("WEEK_START").alias("hi"))
+    return rows.where(F.col("WEEK_START").between(span.select("lo").scalar(), span.select("hi").scalar()))
+
+
 def rows_as_json(df: DataFrame, *order: Column, limit: int = ROW_LIMIT) -> DataFrame:
     """At most ``limit`` rows as JSON records, dates in ISO form, NULLs kept."""
     ordered = df.orderBy(*order) if order else df
