@@ -357,7 +357,7 @@ def gate_log(f: Frames) -> DataFrame:
 
 @query
 def forecast_naive(f: Frames) -> DataFrame:
-    future = scoring.future_rows(f.features).withColumn("PRED", scoring.naive_prediction())
+    future = f.future.withColumn("PRED", scoring.naive_prediction())
     return rounded(scoring.forecast_rows(future, "PRED", NAIVE_MODEL, NEW_RUN), FORECAST=2)
 
 
@@ -460,7 +460,7 @@ def q_total_forecast(f: Frames) -> DataFrame:
 
 @query
 def q_store_declines(f: Frames) -> DataFrame:
-    declines = reports.store_declines(f.forecasts, f.future)
+    declines = reports.store_declines(f.run_log(f.future_sales), f.future_sales)
     return rounded(declines, TOTAL_FORECAST=2, LAST_WEEK=2, CHANGE_RATIO=6)
 
 
@@ -471,7 +471,7 @@ def q_gate_passed(f: Frames) -> DataFrame:
 
 @query
 def q_family_change(f: Frames) -> DataFrame:
-    change = reports.family_change(f.forecasts, f.future)
+    change = reports.family_change(f.run_log(f.future_sales), f.future_sales)
     return rounded(change, TOTAL_FORECAST=2, LAST_WEEK=2, PCT_CHANGE=6)
 
 

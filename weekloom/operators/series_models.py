@@ -38,21 +38,20 @@ def backtest_trend_season(rows: DataFrame, weeks: DataFrame | None = None) -> Da
 def _backtest(rows: DataFrame, weeks: DataFrame | None, step: Callable) -> DataFrame:
     """KEYS, PRED (floored at 0; NULL when the fit failed) and ERROR per test week."""
     weeks = test_weeks(rows) if weeks is None else weeks
-    flagged = rows.select(*KEYS, "SALES", "PROMO_ITEMS", "HOLIDAY_DAYS").join(
-        F.broadcast(weeks.withColumn("IS_TEST", F.lit(True))), "WEEK_START", "left"
-    )
+    amounts = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ("PROMO_ITEMS", "HOLIDAY_DAYS")]
+    flagged = rows.select(*KEYS, F.unix_date("WEEK_START").alias("DAY"), "SALES", *amounts).join(
+        F.broadcast(weeks.withColumn("IS_TEST", F.lit(1))), "WEEK_START", "left"
+    ).withColumn("IS_TEST", F.coalesce("IS_TEST", F.lit(0)))
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("WEEK_START", ignore_index=True)
-        y = pdf["SALES"].to_numpy(float)
-        regressors = pdf[["PROMO_ITEMS", "HOLIDAY_DAYS"]].fillna(0).to_numpy(float)
-        tests = np.flatnonzero(pdf["IS_TEST"].notna().to_numpy())
-        out = pdf.loc[tests, KEYS].copy()
+        order = np.argsort(pdf["DAY"].to_numpy())
+        y = pdf["SALES"].to_numpy(float)[order]
+        regressors = np.column_stack([pdf[c].to_numpy()[order] for c in ("PROMO_ITEMS", "HOLIDAY_DAYS")])
         season = _season(len(y))
+        tests = np.flatnonzero(pdf["IS_TEST"].to_numpy()[order])
         results = [_guarded(step, y, season, regressors, i) for i in tests]
-        out["PRED"] = [p for p, _ in results]
-        out["ERROR"] = [e for _, e in results]
-        return out
+        columns = {c: pdf[c].to_numpy()[order][tests] for c in KEYS}
+        return pd.DataFrame({**columns, "PRED": [p for p, _ in results], "ERROR": [e for _, e in results]})
 
     return flagged.groupBy(*SERIES).applyInPandas(per_series, RESULT)
 
