@@ -276,7 +276,8 @@ _WEEKLY = """STORE_NBR, FAMILY, WEEK_START, CITY, STATE, STORE_TYPE, STORE_CLUST
 _INPUTS = """STORE_NBR, FAMILY, WEEK_START, STORE_TYPE, STORE_CLUSTER, round(SALES, 2) AS SALES, PROMO_ITEMS, HOLIDAY_DAYS,
   round(AVG_OIL_PRICE, 6) AS AVG_OIL_PRICE, STORE_TRANSACTIONS, IS_FUTURE"""
 _LAGS = ", ".join(f"round(SALES_LAG_{k}, 2) AS SALES_LAG_{k}" for k in (1, 2, 4, 52))
-_ROLLS = ", ".join(f"round({c}, 6) AS {c}" for c in ("SALES_ROLL_MEAN_4", "SALES_ROLL_MEAN_12", "SALES_ROLL_STD_12"))
+_ROLL_DIGITS = {"SALES_ROLL_MEAN_4": 6, "SALES_ROLL_MEAN_12": 6, "SALES_ROLL_STD_12": 4}
+_ROLLS = ", ".join(f"round({c}, {n}) AS {c}" for c, n in _ROLL_DIGITS.items())
 _KEYS = "STORE_NBR, FAMILY, WEEK_START"
 _AVG_CENTS = "round(CAST(SUM(CAST(SALES AS DECIMAL(18,2))) AS DOUBLE) / COUNT(SALES), 6) AS AVG_SALES"
 _FORECAST_SUM = "round(SUM(FORECAST), 6)"

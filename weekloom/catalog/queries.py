@@ -39,7 +39,7 @@ def all_queries() -> dict[str, Query]:
 WEEKLY_DIGITS = {"SALES": 2, "AVG_OIL_PRICE": 6}
 FEATURE_DIGITS = {
     "SALES": 2, "AVG_OIL_PRICE": 6, "SALES_LAG_1": 2, "SALES_LAG_2": 2, "SALES_LAG_4": 2, "SALES_LAG_52": 2,
-    "SALES_ROLL_MEAN_4": 6, "SALES_ROLL_MEAN_12": 6, "SALES_ROLL_STD_12": 6,
+    "SALES_ROLL_MEAN_4": 6, "SALES_ROLL_MEAN_12": 6, "SALES_ROLL_STD_12": 4,
 }
 
 
@@ -255,7 +255,7 @@ def feature_lags(f: Frames) -> DataFrame:
 @query
 def feature_rolling(f: Frames) -> DataFrame:
     return rounded(f.features.select(*KEYS, "IS_FUTURE", "SALES_ROLL_MEAN_4", "SALES_ROLL_MEAN_12", "SALES_ROLL_STD_12"),
-                   SALES_ROLL_MEAN_4=6, SALES_ROLL_MEAN_12=6, SALES_ROLL_STD_12=6)
+                   SALES_ROLL_MEAN_4=6, SALES_ROLL_MEAN_12=6, SALES_ROLL_STD_12=4)
 
 
 @query
