@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from weekloom.llm import token_counts, token_file
+from weekloom.llm import mixing, oracle, token_counts, token_file
 from weekloom.llm.common import new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,9 +22,13 @@ def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.document_digests(spark, path)
 
 
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.taken(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_token_counts, op7_token_file)}
+    return {f.__name__: f for f in (op3_token_counts, op7_token_file, op9_source_mixing)}
 
 
 def llm_sql() -> dict[str, str]:
-    return {}
+    return oracle.all_sql()
