@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,8 @@ def crc_mod(column: str, n: int) -> Column:
 
 def map_batches(df: DataFrame, work: Callable[[Batches], Batches], schema: str, barrier_rows: int = 2000) -> DataFrame:
     """``work`` over Arrow batches of bounded size: at most ``barrier_rows`` rows and 32 MB."""
+    # Workers that start elsewhere find this package where the driver has it, unless it is installed or shipped.
+    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
     conf = df.sparkSession.conf
     conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(barrier_rows))
     conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))

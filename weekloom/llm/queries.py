@@ -5,29 +5,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from weekloom.llm import mixing, oracle, token_counts, token_file
-from weekloom.llm.common import new_path, table
+from weekloom.llm import language, mixing, oracle, privacy, token_counts, token_file, toxicity, winnow
+from weekloom.llm.common import crc_mod, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    model = language.fit(docs, ~held_out)
+    return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
 
 
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return winnow.edits(table(spark, sf_dir, "documents"))
+
+
 def op7_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "token-file")
     token_file.write_tokens(table(spark, sf_dir, "documents"), path)
     return token_file.document_digests(spark, path)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    scored = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", "predicted", "evidence")
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(table(spark, sf_dir, "documents"))
 
 
+def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return privacy.spans_of(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op3_token_counts, op7_token_file, op9_source_mixing)}
+    return {f.__name__: f for f in (
+        op1_language, op3_token_counts, op6_fingerprints, op7_token_file, op8_toxicity, op9_source_mixing, op10_private_data,
+    )}
 
 
 def llm_sql() -> dict[str, str]:
