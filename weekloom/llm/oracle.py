@@ -53,6 +53,36 @@ FROM placed d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source
 LEFT JOIN sums s ON d.source IS NOT DISTINCT FROM s.source AND d.row_no = s.row_no
 """
 
+NEAR_TEXT = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END)) AS grams
+    FROM words WHERE len(w) > 0
+), classes AS (
+    SELECT min(doc_id) AS class_id, count(*) AS weight, grams FROM sets GROUP BY grams
+), grams AS (
+    SELECT class_id, len(grams) AS n, unnest(grams) AS g FROM classes
+), common AS (
+    SELECT a.class_id AS a, b.class_id AS b, any_value(a.n) AS an, any_value(b.n) AS bn, count(*) AS c
+    FROM grams a JOIN grams b ON a.g = b.g AND a.class_id <> b.class_id GROUP BY a.class_id, b.class_id
+), links AS (
+    SELECT a, b FROM common WHERE 5 * c >= 4 * (an + bn - c)
+), reach(a, r) AS (
+    SELECT class_id, class_id FROM classes UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.r
+), component AS (
+    SELECT a, min(r) AS component_id FROM reach GROUP BY a
+), counts AS (
+    SELECT l.a, sum(k.weight) AS n FROM links l JOIN classes k ON k.class_id = l.b GROUP BY l.a
+)
+SELECT d.doc_id, coalesce(k.class_id, d.doc_id) AS class_id,
+    CAST(coalesce(n.n, 0) + coalesce(k.weight - 1, 0) AS BIGINT) AS n_links,
+    coalesce(c.component_id, d.doc_id) AS component_id, d.doc_id = coalesce(c.component_id, d.doc_id) AS kept
+FROM documents d LEFT JOIN sets s ON s.doc_id = d.doc_id LEFT JOIN classes k ON k.grams = s.grams
+LEFT JOIN component c ON c.a = k.class_id LEFT JOIN counts n ON n.a = k.class_id
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op9_source_mixing": MIXING}
+    return {"op4_ngram_join": NEAR_TEXT, "op9_source_mixing": MIXING}
