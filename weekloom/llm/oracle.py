@@ -83,6 +83,26 @@ FROM documents d LEFT JOIN sets s ON s.doc_id = d.doc_id LEFT JOIN classes k ON
 LEFT JOIN component c ON c.a = k.class_id LEFT JOIN counts n ON n.a = k.class_id
 """
 
+NEAR_VECTORS = """
+WITH RECURSIVE vectors AS (
+    SELECT vec_id, label, v, sqrt(list_inner_product(v, v)) AS norm
+    FROM (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE embedding IS NOT NULL AND label IS NOT NULL)
+    WHERE len(v) > 0 AND len([x for x in v if x IS NULL OR NOT isfinite(x)]) = 0 AND list_inner_product(v, v) > 0
+), links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+    ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+    WHERE list_inner_product(a.v, b.v) / (a.norm * b.norm) >= 0.98
+), reach(a, r) AS (
+    SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.r
+), component AS (
+    SELECT a, min(r) AS component_id FROM reach GROUP BY a
+), counts AS (
+    SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_links, c.component_id, e.vec_id = c.component_id AS kept
+FROM embeddings e JOIN component c ON c.a = e.vec_id LEFT JOIN counts n ON n.a = e.vec_id
+"""
+
 
 def all_sql() -> dict[str, str]:
-    return {"op4_ngram_join": NEAR_TEXT, "op9_source_mixing": MIXING}
+    return {"op2_near_vectors": NEAR_VECTORS, "op4_ngram_join": NEAR_TEXT, "op9_source_mixing": MIXING}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import language, mixing, near_text, oracle, privacy, token_counts, token_file, toxicity, winnow
+from weekloom.llm import language, mixing, near_text, near_vectors, oracle, privacy, token_counts, token_file, toxicity, winnow
 from weekloom.llm.common import crc_mod, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op2_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.linked(table(spark, sf_dir, "embeddings"))
+
+
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), new_path(spark, "token-cache"))
 
@@ -54,7 +58,7 @@ def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_language, op3_token_counts, op4_ngram_join, op6_fingerprints, op7_token_file, op8_toxicity, op9_source_mixing,
+        op1_language, op2_near_vectors, op3_token_counts, op4_ngram_join, op6_fingerprints, op7_token_file, op8_toxicity, op9_source_mixing,
         op10_private_data,
     )}
 
