@@ -94,7 +94,9 @@ class Quantiser:
 
 
 def unpacked(column, kind: str) -> np.ndarray:
-    return np.stack([np.frombuffer(x, kind) for x in column.to_pylist()]).astype(float)
+    """Vectors scaled by a power of two each: cosines stay the same to the bit, squares cannot overflow."""
+    out = np.stack([np.frombuffer(x, kind) for x in column.to_pylist()]).astype(float)
+    return np.ldexp(out, -np.frexp(np.abs(out).max(axis=1))[1][:, None])
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -109,9 +111,7 @@ def cleaned(vectors: DataFrame, kind: str) -> DataFrame:
             for label, values in zip(batch.column("label").to_pylist(), batch.column("embedding").to_pylist()):
                 good = label is not None and values and None not in values
                 v = np.array(values if good else [0], kind) + np.array(0, kind)
-                with np.errstate(over="ignore"):
-                    norm = float((v.astype(float) ** 2).sum())
-                good = good and 0 < norm < math.inf
+                good = good and bool(np.isfinite(v).all() and v.any())
                 packed.append(v.tobytes() if good else None)
                 dims.append(len(v) if good else None)
             yield pa.RecordBatch.from_arrays(
@@ -129,8 +129,8 @@ def fitted(classes: DataFrame, kind: str, lists: int, sample: int) -> dict[int,
     part = classes.where(F.pmod(place, F.lit(1 << 30)) < int(min(1.0, 1.2 * sample / total + 1e-6) * (1 << 30)))
     by_dim: dict[int, list[np.ndarray]] = {}
     for r in part.select("dim", "vector").orderBy(place).limit(sample).collect():
-        by_dim.setdefault(r.dim, []).append(np.frombuffer(r.vector, kind).astype(float))
-    return {dim: Quantiser(unit(np.stack(rows)), lists) for dim, rows in by_dim.items()}
+        by_dim.setdefault(r.dim, []).append(r.vector)
+    return {dim: Quantiser(unit(unpacked(pa.array(rows, pa.binary()), kind)), lists) for dim, rows in by_dim.items()}
 
 
 def linked(vectors: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, per_list: int = PER_LIST,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import language, mixing, near_text, near_vectors, oracle, privacy, token_counts, token_file, toxicity, winnow
+from weekloom.llm import language, mixing, near_text, near_vectors, oracle, pieces, privacy, token_counts, token_file, toxicity, winnow
 from weekloom.llm.common import crc_mod, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,10 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_text.joined(table(spark, sf_dir, "documents"))
 
 
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"))
+
+
 def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnow.edits(table(spark, sf_dir, "documents"))
 
@@ -58,7 +62,7 @@ def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op1_language, op2_near_vectors, op3_token_counts, op4_ngram_join, op6_fingerprints, op7_token_file, op8_toxicity, op9_source_mixing,
+        op1_language, op2_near_vectors, op3_token_counts, op4_ngram_join, op5_pieces, op6_fingerprints, op7_token_file, op8_toxicity, op9_source_mixing,
         op10_private_data,
     )}
 
