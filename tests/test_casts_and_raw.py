@@ -45,6 +45,26 @@ def test_load_raw_counts_uppercases_and_fails_on_a_missing_file(spark, tmp_path)
         raw.load_raw(spark, str(folder), str(tmp_path / "out"), {"absent.csv": "X"})
 
 
+def test_csv_keeps_line_breaks_pads_short_rows_and_refuses_long_ones(spark, tmp_path):
+    good = tmp_path / "good.csv"
+    good.write_text('a,b,c\n1,"two\nlines, ""quoted""",x\n2,NA,\n3\n')
+    assert rows(raw.read_csv_text(spark, str(good)), "A") == [("1", 'two\nlines, "quoted"', "x"), ("2", None, None), ("3", None, None)]
+    for row in ("1,2,3,4", "1,2,3,", '1,2,3,""', "1,2,3,4,5"):
+        bad = tmp_path / "bad.csv"
+        bad.write_text(f"a,b,c\n{row}\n")
+        with pytest.raises(Exception, match="more than 3 fields"):
+            raw.read_csv_text(spark, str(bad)).collect()
+
+
+def test_json_numbers_have_at_most_ten_decimals(spark):
+    import datetime as dt
+    import json
+
+    df = spark.createDataFrame([(1, 0.1 + 0.2, None, dt.datetime(2024, 1, 2, 3, 4, 5))], "k int, x double, y double, t timestamp")
+    text = rows(tables.rows_as_json(df))[0][0]
+    assert '"x":0.3,' in text and json.loads(text) == {"k": 1, "x": 0.3, "y": None, "t": "2024-01-02T03:04:05.000"}
+
+
 def test_overwrite_replaces_and_append_adds_runs(spark, tmp_path):
     path = str(tmp_path / "stores")
     first = spark.createDataFrame([(1, "Quito", "P", "A", 3)], STORES)

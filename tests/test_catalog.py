@@ -6,8 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry_module
+from weekloom.catalog.oracle import all_sql
+from weekloom.catalog.queries import all_queries
 
-QUERIES, SQL = entry_module.queries(), entry_module.oracle_sql()
+QUERIES, SQL = all_queries(), all_sql()  # optional packages have tests of their own
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "documents", "embeddings"]
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
 
@@ -54,6 +56,10 @@ def test_trained_queries_give_one_row_per_unit(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() == expected[name]
 
 
+def test_entry_lists_every_query():
+    assert set(QUERIES) <= set(entry_module.queries()) and set(SQL) <= set(entry_module.oracle_sql())
+
+
 def test_entry(spark):
     frame = entry_module.entry(spark)
     assert frame.count() == 60 * 356

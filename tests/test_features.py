@@ -140,3 +140,11 @@ def test_series_position_and_tail(spark):
     assert placed[(1, week(4))]["T"] == 4 and placed[(2, week(3))]["T"] == 0
     assert {(r["STORE_NBR"], r["WEEK_START"]) for r in features.series_tail(df, 2).collect()} == {
         (1, week(4)), (1, week(5)), (2, week(3))}
+
+
+def test_category_codes_span_several_ranges(spark):
+    names = [f"n{i:03d}" for i in range(300)]
+    df = spark.createDataFrame([(n,) for n in names[::-1] + [None]], "FAMILY string")
+    codes = features.category_codes(df, "FAMILY")
+    assert [tuple(r) for r in codes.orderBy("FAMILY").collect()] == [(n, i) for i, n in enumerate(names)]
+    assert features.category_codes(df.limit(0), "FAMILY").count() == 0

@@ -62,6 +62,30 @@ def test_batch_search_equals_brute_force_in_any_block_size(spark, index, vectors
         assert mine == ranked(vectors, vectors[i + 20], {i % 9} if i % 2 else set(), 4)
 
 
+def test_batch_search_needs_no_driver_and_skips_missing_vectors(spark, index, vectors):
+    schema = "QUESTION_ID bigint, QUESTION string, VECTOR array<double>"
+    questions = spark.createDataFrame([(1, None, vectors[5].tolist()), (2, "store 3", None)], schema)
+    more = index.union(spark.createDataFrame([(500, 3, None)], index.schema))
+    found = retrieval.batch_search(more, questions, "doc", k=3, block=16)
+    assert [r["doc"] for r in found.orderBy("RANK").collect()] == ranked(vectors, vectors[5], set(), 3)
+    assert retrieval.batch_search(index, questions.limit(0), "doc").count() == 0
+    assert retrieval.batch_search(index.limit(0), questions, "doc").count() == 0
+
+
+def test_unit_length_takes_one_length_per_vector(spark):
+    vector = F.transform(F.sequence(F.lit(1), F.lit(1500)), lambda x: x.cast("double"))
+    made = spark.range(1).select(l2_normalise(vector).alias("v")).first()[0]
+    assert np.linalg.norm(made) == pytest.approx(1.0)
+
+
+def test_missing_query_is_refused_and_blocked_words_are_whole_words(spark):
+    texts = [None, "select updated_at, caller from SALES_DB.STAGING.STORES"] + [
+        f"select 1 as {w} from SALES_DB.STAGING.STORES" for w in (
+            "insert", "UPDATE", "delete", "merge", "drop", "create", "alter", "truncate", "grant", "revoke", "copy", "put", "call", "Use")]
+    got = [r["VERDICT"] for r in audit.audit_queries(spark.createDataFrame([(t,) for t in texts], "QUERY string")).collect()]
+    assert got == ["not_read_only", "accepted"] + ["not_read_only"] * 14
+
+
 F_TABLE, W_TABLE = "SALES_DB.ANALYTICS.FORECASTS", "SALES_DB.STAGING.SALES_WEEKLY"
 CASES = [
     (f"SELECT * FROM {F_TABLE}", "accepted", None, f"SELECT * FROM {F_TABLE} LIMIT 100"),

@@ -198,6 +198,18 @@ def test_enriched_table_is_kept_on_request(spark, raw, tmp_path):
     assert tables["SALES_DAILY_ENRICHED"].count() == 2940
 
 
+def test_weekly_run_reads_other_date_formats_and_refuses_unreadable_dates(spark, raw, tmp_path):
+    from pyspark.sql import functions as F
+
+    other = {t: df.withColumn("DATE", F.date_format(F.to_date("DATE"), "dd.MM.yyyy")) if "DATE" in df.columns else df for t, df in raw.items()}
+    with pytest.raises(ValueError, match="no readable date"):
+        weekly_run.stage(spark, other, str(tmp_path / "refused"))
+    read = weekly_run.stage(spark, other, str(tmp_path / "read"), date_formats=("dd.MM.yyyy",))
+    plain = weekly_run.stage(spark, raw, str(tmp_path / "plain"))
+    assert sorted(read["SALES_WEEKLY"].collect()) == sorted(plain["SALES_WEEKLY"].collect())
+    assert set(read["STAGING_CHECKS"].columns) == {"DAILY_TOTAL", "WEEKLY_TOTAL", "OIL_GAPS"}
+
+
 def test_weekly_run_refuses_duplicate_stores(spark, raw, tmp_path):
     doubled = {**raw, "STORES": raw["STORES"].union(raw["STORES"])}
     with pytest.raises(ValueError, match="STORES has duplicate keys"):

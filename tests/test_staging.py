@@ -155,3 +155,10 @@ def test_build_staging_names_seven_tables(spark, sf_dir):
         "SALES_DAILY", "STORES", "OIL_DAILY", "STORE_HOLIDAYS", "TRANSACTIONS_DAILY", "SALES_DAILY_ENRICHED", "SALES_WEEKLY",
     ]
     assert built["SALES_WEEKLY"].count() == 5215
+
+
+def test_totals_are_rounded_once(spark):
+    from weekloom.operators import quality
+
+    daily = spark.createDataFrame([(1234.4951,)], "SALES double")
+    assert tuple(quality.reconcile(daily, daily).first()) == (1234.0, 1234.0)

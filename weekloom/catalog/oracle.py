@@ -8,16 +8,16 @@ from __future__ import annotations
 
 from weekloom.catalog.texts import ANSWER_KINDS, ANSWER_TEXTS, QUERY_TEXTS, QUESTION_TEXT
 from weekloom.fixed_values import (
-    ALLOWED_TABLES, BLOCKED_WORDS, CTE_PATTERN, LIMIT_PATTERN, MESSAGE_MULTI, MESSAGE_READ_ONLY, MESSAGE_TABLE,
+    ALLOWED_TABLES, BLOCKED_PATTERN, CTE_PATTERN, LIMIT_PATTERN, MESSAGE_MULTI, MESSAGE_READ_ONLY, MESSAGE_TABLE,
     NA_TOKENS, NUMBER_PATTERN, READ_START_PATTERN, TABLE_PATTERN,
 )
 
 
-def _q(text: str) -> str:
-    return "'" + text.replace("'", "''") + "'"
+def _q(text: str | None) -> str:
+    return "NULL" if text is None else "'" + text.replace("'", "''") + "'"
 
 
-def _list(texts: list[str]) -> str:
+def _list(texts: list[str | None]) -> str:
     return "[" + ", ".join(_q(t) for t in texts) + "]"
 
 
@@ -301,7 +301,7 @@ def _audit() -> str:
         f"({_list(QUERY_TEXTS)})[CAST(o_orderkey % {len(QUERY_TEXTS)} AS INTEGER) + 1]",
         {"k": "CAST(o_orderkey AS VARCHAR)", "c": "CAST(o_custkey AS VARCHAR)"},
     )
-    blocked = r"(?i)\b(" + "|".join(BLOCKED_WORDS) + r")\b"
+    blocked = "(?i)" + BLOCKED_PATTERN
     comma = r"(?i)\bfrom\s+[A-Za-z0-9_.\"]+(?:\s+(?:as\s+)?[A-Za-z0-9_]+)?\s*,"
     message = _q(MESSAGE_TABLE).replace("%s", "' || BAD || '")
     return rf"""
@@ -315,7 +315,7 @@ offending AS (
                                          AND NOT list_contains(ctes, upper(replace(x, '"', ''))))[1] AS BAD FROM parsed),
 judged AS (
   SELECT *, CASE WHEN contains(T, ';') THEN 'multi_statement'
-                 WHEN NOT regexp_matches(T, {_q(READ_START_PATTERN)}) OR regexp_matches(T, {_q(blocked)}) THEN 'not_read_only'
+                 WHEN T IS NULL OR NOT regexp_matches(T, {_q(READ_START_PATTERN)}) OR regexp_matches(T, {_q(blocked)}) THEN 'not_read_only'
                  WHEN BAD IS NOT NULL THEN 'table_not_allowed' ELSE 'accepted' END AS VERDICT FROM offending),
 audited AS (
   SELECT QUERY_ID, QUERY, VERDICT, CASE WHEN VERDICT = 'table_not_allowed' THEN BAD END AS OFFENDER,
@@ -384,13 +384,14 @@ def all_sql() -> dict[str, str]:
 SELECT TABLE_NAME, N AS N_ROWS, N AS N_REPORTED FROM (
   SELECT 'TRAIN' AS TABLE_NAME, COUNT(*) AS N FROM raw_train UNION ALL SELECT 'STORES', COUNT(*) FROM raw_stores
   UNION ALL SELECT 'OIL', COUNT(*) FROM raw_oil UNION ALL SELECT 'HOLIDAYS_EVENTS', COUNT(*) FROM raw_holidays
-  UNION ALL SELECT 'TRANSACTIONS', COUNT(*) FROM raw_transactions)"""),
+  UNION ALL SELECT 'TRANSACTIONS', COUNT(*) FROM raw_transactions UNION ALL SELECT 'TEST', COUNT(*) FROM raw_train)"""),
         "overwrite_sink": staging("SELECT * FROM stores WHERE STORE_TYPE <> 'A'"),
         "append_log": scores("SELECT RUN_TS, MODEL, COUNT(*) AS N_ROWS, round(SUM(FORECAST), 6) AS TOTAL_FORECAST FROM forecasts GROUP BY 1, 2"),
         "latest_run": scores("SELECT STORE_NBR, FAMILY, WEEK_START, round(FORECAST, 2) AS FORECAST, MODEL, RUN_TS FROM latest"),
         "rows_json": staging("""
 SELECT '{"WEEK_START":"' || strftime(WEEK_START, '%Y-%m-%dT00:00:00.000') || '","STORE_NBR":' || STORE_NBR || ',"FAMILY":"' || FAMILY
   || '","PROMO_ITEMS":' || PROMO_ITEMS || ',"STORE_TRANSACTIONS":' || COALESCE(CAST(STORE_TRANSACTIONS AS VARCHAR), 'null')
+  || ',"SALES":' || CAST(round(SALES, 10) AS VARCHAR) || ',"AVG_OIL_PRICE":' || COALESCE(CAST(round(AVG_OIL_PRICE, 10) AS VARCHAR), 'null')
   || ',"CITY":"' || CITY || '"}' AS ROW
 FROM (SELECT * FROM weekly ORDER BY WEEK_START DESC, STORE_NBR, FAMILY LIMIT 100)"""),
         "vector_index_roundtrip": vectors("""
@@ -409,7 +410,7 @@ SELECT vec_id AS store_nbr, '2001-10-29' AS week_start, 'document ' || vec_id AS
         "weekly_from_enriched": staging(f"SELECT {_WEEKLY} FROM weekly"),
         "weekly_preview": staging(f"SELECT {_WEEKLY} FROM (SELECT * FROM weekly ORDER BY {_KEYS} LIMIT 20)"),
         # data quality
-        "dq_reconcile": staging("SELECT (SELECT round(round(SUM(SALES), 2)) FROM daily) AS DAILY_TOTAL, (SELECT round(round(SUM(SALES), 2)) FROM weekly) AS WEEKLY_TOTAL"),
+        "dq_reconcile": staging("SELECT (SELECT CAST(round(SUM(CAST(SALES AS DECIMAL(28, 6)))) AS DOUBLE) FROM daily) AS DAILY_TOTAL, (SELECT CAST(round(SUM(CAST(SALES AS DECIMAL(28, 6)))) AS DOUBLE) FROM weekly) AS WEEKLY_TOTAL"),
         "dq_unparsed_dates": staging('SELECT COUNT(*) AS UNPARSED_DATES FROM daily WHERE "DATE" IS NULL'),
         "dq_oil_gaps": staging("SELECT COUNT(*) AS OIL_GAPS FROM oil WHERE OIL_PRICE IS NULL"),
         "dq_partial_weeks": staging("SELECT WEEK_START, COUNT(*) FILTER (WHERE DAYS_IN_WEEK < 7) AS PARTIAL_SERIES, COUNT(*) AS SERIES FROM weekly GROUP BY 1"),
@@ -432,6 +433,8 @@ FROM weekly w"""),
         "fourier_terms": features(f"SELECT {_KEYS}, CAST(T AS INTEGER) AS T, {_waves()} FROM (SELECT {_KEYS}, row_number() OVER (PARTITION BY STORE_NBR, FAMILY ORDER BY WEEK_START) - 1 AS T FROM dense)"),
         "top_series": scores("SELECT STORE_NBR, FAMILY, TOTAL_SALES FROM top_series"),
         "test_weeks": scores("SELECT WEEK_START FROM test_weeks"),
+        "arima_fourier_checked": scores(f"SELECT {_KEYS}, round(SALES, 2) AS SALES, TRUE AS VALID FROM tested"),
+        "trend_season_checked": scores(f"SELECT {_KEYS}, round(SALES, 2) AS SALES, TRUE AS VALID FROM tested"),
         "series_tail": scores("""
 SELECT a.STORE_NBR, a.FAMILY, a.WEEK_START, round(a.SALES, 2) AS SALES, round(t.PRED_NAIVE52, 2) AS PRED_NAIVE52, round(t.PRED_MEAN4, 6) AS PRED_MEAN4
 FROM (SELECT * FROM actuals WHERE (STORE_NBR, FAMILY) = (SELECT (STORE_NBR, FAMILY) FROM top_series ORDER BY TOTAL_SALES DESC, STORE_NBR, FAMILY LIMIT 1)

@@ -14,11 +14,9 @@ from weekloom.functions import casts
 from weekloom.operators import (
     answers, audit, features, global_model, narrative, quality, reports, retrieval, scoring, series_models, staging,
 )
-from weekloom.operators.global_model import Boosting
 from weekloom.session import scratch_path
 from weekloom.sources import raw, star, tables, vector_index
 
-QUICK = Boosting(trees=5, depth=4, bins=32)
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
@@ -61,6 +59,7 @@ def raw_load_counts(f: Frames) -> DataFrame:
     """Multi-file CSV load: rows per raw table."""
     folder, out = scratch_path(f.spark, "csv"), scratch_path(f.spark, "raw")
     derived = star.raw_tables(f.table)
+    derived["TEST"] = derived["TRAIN"].drop("SALES")
     files = {name: table for name, table in RAW_FILES.items() if table in derived}
     for name, table in files.items():
         derived[table].write.option("header", True).csv(f"{folder}/{name}")
@@ -101,7 +100,7 @@ def latest_run(f: Frames) -> DataFrame:
 @query
 def rows_json(f: Frames) -> DataFrame:
     """The newest 100 weekly rows as JSON records."""
-    week = f.weekly.select("WEEK_START", "STORE_NBR", "FAMILY", "PROMO_ITEMS", "STORE_TRANSACTIONS", "CITY")
+    week = f.weekly.select("WEEK_START", "STORE_NBR", "FAMILY", "PROMO_ITEMS", "STORE_TRANSACTIONS", "SALES", "AVG_OIL_PRICE", "CITY")
     return tables.rows_as_json(week, F.desc("WEEK_START"), F.col("STORE_NBR"), F.col("FAMILY"))
 
 
@@ -363,22 +362,22 @@ def forecast_naive(f: Frames) -> DataFrame:
 
 @query
 def gbt_forecast(f: Frames) -> DataFrame:
-    return global_model.forecast(global_model.model_rows(f.stored_features), NEW_RUN, QUICK)
+    return global_model.forecast(f.model_rows, NEW_RUN)
 
 
 @query
 def gbt_gate(f: Frames) -> DataFrame:
-    return global_model.gate(global_model.model_rows(f.stored_features), NEW_RUN, CHECK_THRESHOLD, QUICK)
+    return global_model.gate(f.model_rows, NEW_RUN, CHECK_THRESHOLD)
 
 
 @query
 def gbt_backtest(f: Frames) -> DataFrame:
-    return global_model.backtest(global_model.model_rows(f.stored_features), QUICK)
+    return global_model.backtest(f.model_rows)
 
 
 @query
 def gbt_importance(f: Frames) -> DataFrame:
-    model = global_model.fit(global_model.trainable(global_model.model_rows(f.stored_features)), QUICK)
+    model = global_model.fit(global_model.trainable(f.model_rows))
     return global_model.importance(f.spark, model)
 
 
@@ -392,6 +391,22 @@ def trend_season_backtest(f: Frames) -> DataFrame:
     return series_models.backtest_trend_season(f.actuals, scoring.test_weeks(f.kept))
 
 
+def _valid(rows: DataFrame) -> DataFrame:
+    """Keys and sales of predicted rows, and whether each prediction is a finite number of 0 or more."""
+    good = F.col("PRED").isNotNull() & ~F.isnan("PRED") & F.col("PRED").between(0, 1e15)
+    return rounded(rows.select(*KEYS, "SALES", F.coalesce(good, F.lit(False)).alias("VALID")), SALES=2)
+
+
+@query
+def arima_fourier_checked(f: Frames) -> DataFrame:
+    return _valid(series_models.backtest_arima(f.actuals, scoring.test_weeks(f.kept)).join(f.tested.select(*KEYS, "SALES"), KEYS))
+
+
+@query
+def trend_season_checked(f: Frames) -> DataFrame:
+    return _valid(series_models.backtest_trend_season(f.actuals, scoring.test_weeks(f.kept)).join(f.tested.select(*KEYS, "SALES"), KEYS))
+
+
 # --- reports ------------------------------------------------------------------
 
 @query

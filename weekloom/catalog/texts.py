@@ -2,6 +2,7 @@
 per order. ``{k}`` is the order key, ``{c}`` the customer key, ``{p}`` the priority,
 ``{s}`` the status. The Spark queries and the SQL counterparts share the lists."""
 
+#: The last one is a missing query.
 QUERY_TEXTS = [
     "SELECT * FROM SALES_DB.STAGING.STORES WHERE STORE_NBR = {k};",
     "  with t as (select FAMILY from SALES_DB.ANALYTICS.FORECASTS where STORE_NBR = {k}) select * from t limit 5  ",
@@ -15,6 +16,7 @@ QUERY_TEXTS = [
     "EXPLAIN SELECT {k}",
     "SELECT 'used {k}' AS NOTE FROM SALES_DB.ANALYTICS.ACCURACY_LOG\nLIMIT 3;;",
     "WITH a AS (SELECT {k} AS K), b AS (SELECT * FROM a) SELECT * FROM b JOIN missing_{c} ON 1 = 1",
+    None,
 ]
 
 # One list per kind, in the order of ANSWER_KINDS; {n}, {h} and {m} are the order

@@ -13,5 +13,6 @@ def dot(a: Column, b: Column) -> Column:
 
 def l2_normalise(vector: Column) -> Column:
     """Unit-length copy; a zero vector gives NULL elements."""
-    length = F.sqrt(dot(vector, vector))
-    return F.transform(vector, lambda x: F.try_divide(x.cast("double"), length))
+    # bound as the one element of an array, the length is computed once, not for every element
+    length = F.array(F.sqrt(dot(vector, vector)))
+    return F.transform(length, lambda n: F.transform(vector, lambda x: F.try_divide(x.cast("double"), n)))[0]

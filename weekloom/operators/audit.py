@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.fixed_values import (
-    ALLOWED_TABLES, BLOCKED_WORDS, CTE_PATTERN, LIMIT_PATTERN, MESSAGE_MULTI, MESSAGE_READ_ONLY, MESSAGE_TABLE,
+    ALLOWED_TABLES, BLOCKED_PATTERN, CTE_PATTERN, LIMIT_PATTERN, MESSAGE_MULTI, MESSAGE_READ_ONLY, MESSAGE_TABLE,
     READ_START_PATTERN, ROW_LIMIT, TABLE_PATTERN,
 )
 
-BLOCKED_PATTERN = r"(?i)\b(" + "|".join(BLOCKED_WORDS) + r")\b"
 COMMA_JOIN_PATTERN = r"(?i)\bfrom\s+[A-Za-z0-9_.\"]+(?:\s+(?:as\s+)?[A-Za-z0-9_]+)?\s*,"
 
 
@@ -39,7 +38,10 @@ def bounded(query: Column, limit: int = ROW_LIMIT) -> Column:
 def audit_queries(
     log: DataFrame, query: str = "QUERY", allowed: Sequence[str] = tuple(ALLOWED_TABLES)
 ) -> DataFrame:
-    """Add VERDICT, OFFENDER, ERROR, EXECUTED_SQL and COMMA_JOIN to a query log."""
+    """Add VERDICT, OFFENDER, ERROR, EXECUTED_SQL and COMMA_JOIN to a query log.
+
+    A missing query is refused as not read-only.
+    """
     text = F.col("_TEXT")
     ctes, tables = F.col("_CTES"), F.col("_TABLES")
     permitted = F.array(*[F.lit(t.upper()) for t in allowed])
@@ -51,10 +53,10 @@ def audit_queries(
     parsed = log.withColumn("_TEXT", normalise(F.col(query))).withColumns(
         {"_CTES": cte_names(text), "_TABLES": table_names(text)}
     ).withColumn("_OFFENDER", F.get(F.filter(tables, unlisted), F.lit(0)))
-    read_only = text.rlike(READ_START_PATTERN) & ~text.rlike(BLOCKED_PATTERN)
+    read_only = text.rlike(READ_START_PATTERN) & ~text.rlike("(?i)" + BLOCKED_PATTERN)
     verdict = (
         F.when(text.contains(";"), "multi_statement")
-        .when(~read_only, "not_read_only")
+        .when(~F.coalesce(read_only, F.lit(False)), "not_read_only")
         .when(F.col("_OFFENDER").isNotNull(), "table_not_allowed")
         .otherwise("accepted")
     )

@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from weekloom.fixed_values import (
     FEATURE_INPUTS, FOURIER_ORDER, LAG_WEEKS, ROLLING_MEAN_WEEKS, ROLLING_STD_WEEKS, SEASON_WEEKS, SERIES,
 )
-
-MAX_CATEGORIES = 1_000_000
+from weekloom.session import scratch_path
 
 
 def _series_order() -> WindowSpec:
@@ -150,18 +149,26 @@ def build_features(
 
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
-    """Distinct non-NULL values with their 0-based position in text order."""
-    position = F.row_number().over(Window.orderBy(column)) - 1
-    guard = F.when(F.col("CODE") < MAX_CATEGORIES, F.col("CODE")).otherwise(
-        F.raise_error(F.lit(f"{column} has more than {MAX_CATEGORIES} categories")).cast("int")
-    )
+    """Distinct non-NULL values with their 0-based position in text order.
+
+    The values are split by ranges and stored, so that the ranges stay the same; each is
+    numbered on its own, from the number of values in the ranges before it.
+    """
     values = df.where(F.col(column).isNotNull()).select(column).distinct()
-    return values.withColumn("CODE", position).withColumn("CODE", guard)
+    path = scratch_path(df.sparkSession, "codes")
+    split = values.repartitionByRange(column).withColumn("_PART", F.spark_partition_id())
+    split.write.parquet(path)
+    ranged = df.sparkSession.read.schema(split.schema).parquet(path)
+    before = Window.orderBy("_PART").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    firsts = ranged.groupBy("_PART").agg(F.count(F.lit(1)).alias("N")).select(
+        "_PART", F.coalesce(F.sum("N").over(before), F.lit(0)).alias("FIRST"))
+    place = F.row_number().over(Window.partitionBy("_PART").orderBy(column)) - 1
+    return ranged.withColumn("PLACE", place).join(firsts, "_PART").select(column, (F.col("FIRST") + F.col("PLACE")).cast("int").alias("CODE"))
 
 
 def attach_codes(df: DataFrame, column: str, codes: DataFrame, name: str) -> DataFrame:
-    """Join the code table (bounded by MAX_CATEGORIES); missing values get -1."""
-    joined = df.join(F.broadcast(codes.withColumnRenamed("CODE", name)), column, "left")
+    """Join the code table, broadcast or not as Spark sees its size; missing values get -1."""
+    joined = df.join(codes.withColumnRenamed("CODE", name), column, "left")
     return joined.withColumn(name, F.coalesce(name, F.lit(-1)))
 
 

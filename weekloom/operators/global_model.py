@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -21,6 +22,7 @@ from weekloom.operators.scoring import (
 from weekloom.session import shared_folder
 
 MISSING = -1.0
+PARALLEL_FITS = 4
 ALWAYS_KNOWN = {"STORE_NBR", "WEEK_OF_YEAR", "MONTH", "FAMILY_CODE", "STORE_TYPE_CODE"}
 
 
@@ -96,17 +98,20 @@ def importance(spark: SparkSession, model: GBTRegressionModel) -> DataFrame:
 def backtest(rows: DataFrame, size: Boosting = Boosting(), n_weeks: int = TEST_WEEKS) -> DataFrame:
     """One-week-ahead predictions for the newest weeks, refitted per week.
 
-    The loop is over at most ``n_weeks`` dates; every fit and prediction is a
-    distributed job on rows strictly before the predicted week.
+    At most ``n_weeks`` dates, several at a time; every fit and prediction is a distributed
+    job on rows strictly before the predicted week. ``rows`` should be stored.
     """
     actuals = actual_rows(rows)
     weeks = sorted(r[0] for r in test_weeks(actuals, n_weeks).collect())
     if not weeks:
         raise ValueError("no weeks to backtest")
-    parts = []
-    for week in weeks:
+
+    def one(week):
         model = fit(trainable(rows).where(F.col("WEEK_START") < F.lit(week)), size)
-        parts.append(predict(model, actuals.where(F.col("WEEK_START") == F.lit(week))))
+        return predict(model, actuals.where(F.col("WEEK_START") == F.lit(week)))
+
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        parts = list(pool.map(one, weeks))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def reconcile(daily: DataFrame, weekly: DataFrame) -> DataFrame:
-    """Rounded sales total of both grains in one row."""
+    """Sales total of both grains in one row, summed as decimals and rounded once."""
     def total(df: DataFrame, name: str) -> DataFrame:
-        return df.agg(F.round(F.round(F.sum("SALES"), 2)).alias(name))
+        return df.agg(F.round(F.sum(F.col("SALES").cast("decimal(28,6)"))).cast("double").alias(name))
 
     weekly_total = total(weekly, "WEEKLY_TOTAL")
     return total(daily, "DAILY_TOTAL").select("DAILY_TOTAL", weekly_total.scalar().alias("WEEKLY_TOTAL"))

@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -55,52 +53,60 @@ def batch_search(
 ) -> DataFrame:
     """Hybrid top k for a table of questions (QUESTION_ID, QUESTION, VECTOR).
 
-    Questions travel to the documents in blocks of about ``block`` vectors; every
-    task keeps its own top k per question, so pairs never leave the task. Exact:
-    more questions mean more passes, not fewer candidates.
+    Questions and documents are dealt to blocks of about ``block`` rows on the executors;
+    each pair of blocks meets in one task by an equi-join on both numbers, keeps its own
+    top k per question, and a window picks the best of them. Exact, and nothing passes
+    through the driver. Rows without a vector are never found and ask nothing.
     """
-    asked = questions.select("QUESTION_ID", named_stores(F.col("QUESTION")).alias("STORES"), "VECTOR")
-    n_blocks = max(1, -(-asked.count() // block))
-    number = F.pmod(F.xxhash64("QUESTION_ID"), F.lit(n_blocks))
-    parts = [_search_block(index, asked.where(number == b).collect(), key, k) for b in range(n_blocks)]
-    candidates = reduce(DataFrame.unionByName, parts)
-    order = Window.partitionBy("QUESTION_ID").orderBy(F.desc("NAMED"), F.desc("RAW"), key)
+    asked = questions.where(F.col("VECTOR").isNotNull()).select(
+        "QUESTION_ID", F.coalesce(named_stores(F.col("QUESTION")), F.array().cast("array<bigint>")).alias("STORES"),
+        F.transform("VECTOR", lambda x: x.cast("double")).alias("ASKED"))
+    docs = index.where(F.col("vector").isNotNull()).select(
+        F.col(key).cast("bigint").alias("DOC"), "store_nbr", F.transform("vector", lambda x: x.cast("double")).alias("vector"))
+    blocks = {
+        "QUESTION_BLOCK": F.ceil(asked.agg(F.count(F.lit(1))).scalar() / block).cast("int"),
+        "DOC_BLOCK": F.ceil(docs.agg(F.count(F.lit(1))).scalar() / block).cast("int"),
+    }
+
+    def dealt(rows: DataFrame, own: str, other: str, name: str) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.greatest(blocks[other], F.lit(1)) - 1))
+        return rows.withColumn(own, F.pmod(F.xxhash64(name), blocks[own]).cast("int")).withColumn(other, every)
+
+    pairs = ["QUESTION_BLOCK", "DOC_BLOCK"]
+    left = dealt(asked, "QUESTION_BLOCK", "DOC_BLOCK", "QUESTION_ID").groupBy(*pairs)
+    right = dealt(docs, "DOC_BLOCK", "QUESTION_BLOCK", "DOC").groupBy(*pairs)
+    candidates = left.cogroup(right).applyInPandas(
+        lambda q, d: _best_of_blocks(q, d, k), "QUESTION_ID bigint, DOC bigint, store_nbr bigint, RAW double, NAMED boolean")
+    order = Window.partitionBy("QUESTION_ID").orderBy(F.desc("NAMED"), F.desc("RAW"), "DOC")
     best = candidates.withColumn("RANK", F.row_number().over(order)).where(F.col("RANK") <= k)
     return best.select(
-        "QUESTION_ID", "RANK", key, "store_nbr", F.round("RAW", 3).alias("score"),
+        "QUESTION_ID", "RANK", F.col("DOC").alias(key), "store_nbr", F.round("RAW", 3).alias("score"),
         F.when(F.col("NAMED"), "store filter").otherwise("semantic").alias("matched_by"),
     )
 
 
-def _search_block(index: DataFrame, asked: list, key: str, k: int) -> DataFrame:
-    ids = [row["QUESTION_ID"] for row in asked]
-    matrix = np.array([row["VECTOR"] for row in asked], dtype=float)
-    names = [np.array(row["STORES"] or [], dtype=float) for row in asked]
-    schema = f"QUESTION_ID bigint, {key} bigint, store_nbr bigint, RAW double, NAMED boolean"
-
-    def top_of(docs: pd.DataFrame, hits: pd.DataFrame) -> pd.DataFrame:
-        """Best k per question among earlier hits and one batch of documents."""
-        scores = np.round(np.stack(docs["vector"].to_numpy()).astype(float) @ matrix.T, RANK_DIGITS)
-        doc_keys, doc_stores = docs[key].to_numpy(), docs["store_nbr"].to_numpy(float)
-        fresh = []
-        for j, question in enumerate(ids):
-            named = np.isin(doc_stores, names[j])
-            best = np.lexsort((doc_keys, -scores[:, j], ~named))[:k]
-            fresh.append(pd.DataFrame({
-                "QUESTION_ID": question, key: doc_keys[best], "store_nbr": doc_stores[best],
-                "RAW": scores[best, j], "NAMED": named[best],
-            }))
-        both = pd.concat([hits, *fresh]) if len(hits) else pd.concat(fresh)
-        both = both.sort_values(["QUESTION_ID", "NAMED", "RAW", key], ascending=[True, False, False, True])
-        return both.groupby("QUESTION_ID").head(k)
-
-    def per_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hits = pd.DataFrame()
-        for docs in batches:
-            docs = docs[docs["vector"].notna()]
-            if len(docs) and ids:
-                hits = top_of(docs, hits)
-        if len(hits):
-            yield hits.astype({"store_nbr": "Int64"})
-
-    return index.select(key, "store_nbr", "vector").mapInPandas(per_task, schema)
+def _best_of_blocks(questions: pd.DataFrame, docs: pd.DataFrame, k: int) -> pd.DataFrame:
+    """The k best documents of one block for each question of another."""
+    columns = ["QUESTION_ID", "DOC", "store_nbr", "RAW", "NAMED"]
+    if not len(questions) or not len(docs):
+        return pd.DataFrame(columns=columns)
+    scores = np.round(np.stack(questions["ASKED"].to_numpy()) @ np.stack(docs["vector"].to_numpy()).T, RANK_DIGITS)
+    keys, stores = docs["DOC"].to_numpy(), docs["store_nbr"].to_numpy(float)
+    rows, places, flags = [], [], []
+    for j, names in enumerate(questions["STORES"]):
+        named = np.isin(stores, np.asarray(names, dtype=float)) if len(names) else np.zeros(len(docs), bool)
+        chosen = []
+        for group in (np.flatnonzero(named), np.flatnonzero(~named)):
+            if len(group) > k:  # all that tie with the k-th, then in order of key
+                group = group[scores[j, group] >= np.partition(scores[j, group], -k)[-k]]
+            chosen.append(group[np.lexsort((keys[group], -scores[j, group]))])
+        best = np.concatenate(chosen)[:k]
+        rows.append(np.full(len(best), j))
+        places.append(best)
+        flags.append(named[best])
+    row, place = np.concatenate(rows), np.concatenate(places)
+    return pd.DataFrame({
+        "QUESTION_ID": questions["QUESTION_ID"].to_numpy()[row], "DOC": keys[place],
+        "store_nbr": pd.array(docs["store_nbr"].to_numpy()[place], dtype="Int64"),
+        "RAW": scores[row, place], "NAMED": np.concatenate(flags),
+    })

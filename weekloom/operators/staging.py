@@ -237,13 +237,13 @@ def edge_weeks(daily: DataFrame) -> DataFrame:
     )
 
 
-def build_staging(raw: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+def build_staging(raw: Mapping[str, DataFrame], date_formats: tuple[str, ...] = ()) -> dict[str, DataFrame]:
     """All seven staging tables, lazily, in dependency order."""
-    daily = type_sales(raw["TRAIN"])
+    daily = type_sales(raw["TRAIN"], date_formats)
     stores = type_stores(raw["STORES"])
-    oil = oil_daily(type_oil(raw["OIL"]), daily)
-    holidays = store_holidays(active_holidays(raw["HOLIDAYS_EVENTS"]), stores)
-    traffic = type_transactions(raw["TRANSACTIONS"])
+    oil = oil_daily(type_oil(raw["OIL"], date_formats), daily)
+    holidays = store_holidays(active_holidays(raw["HOLIDAYS_EVENTS"], date_formats), stores)
+    traffic = type_transactions(raw["TRANSACTIONS"], date_formats)
     return {
         "SALES_DAILY": daily,
         "STORES": stores,

@@ -33,22 +33,29 @@ def _stored(
 
 
 def stage(
-    spark: SparkSession, raw: Mapping[str, DataFrame], out: str, keep_enriched: bool = False
+    spark: SparkSession, raw: Mapping[str, DataFrame], out: str, keep_enriched: bool = False,
+    date_formats: tuple[str, ...] = (),
 ) -> dict[str, DataFrame]:
     """Write the staging tables. Each later table reads the stored earlier ones.
 
+    Dates are ISO text or of one of ``date_formats``; a sale without a readable date stops
+    the run before any later table is written.
+
     The weekly table does not need the enriched daily one, which is the largest
     of all; it is written only on request.
     """
     def keep(name: str, df: DataFrame, schema: str) -> DataFrame:
         return _stored(spark, df, f"{out}/STAGING/{name}", schema)
 
-    daily = keep("SALES_DAILY", staging.type_sales(raw["TRAIN"]), schemas.SALES_DAILY)
+    daily = keep("SALES_DAILY", staging.type_sales(raw["TRAIN"], date_formats), schemas.SALES_DAILY)
+    unread = quality.unparsed_dates(daily).first()[0]
+    if unread:
+        raise ValueError(f"{unread} rows of TRAIN have no readable date")
     stores = keep("STORES", staging.type_stores(raw["STORES"]), schemas.STORES)
-    oil = keep("OIL_DAILY", staging.oil_daily(staging.type_oil(raw["OIL"]), daily), schemas.OIL_DAILY)
-    events = staging.active_holidays(raw["HOLIDAYS_EVENTS"])
+    oil = keep("OIL_DAILY", staging.oil_daily(staging.type_oil(raw["OIL"], date_formats), daily), schemas.OIL_DAILY)
+    events = staging.active_holidays(raw["HOLIDAYS_EVENTS"], date_formats)
     holidays = keep("STORE_HOLIDAYS", staging.store_holidays(events, stores), schemas.STORE_HOLIDAYS)
-    traffic = keep("TRANSACTIONS_DAILY", staging.type_transactions(raw["TRANSACTIONS"]), schemas.TRANSACTIONS_DAILY)
+    traffic = keep("TRANSACTIONS_DAILY", staging.type_transactions(raw["TRANSACTIONS"], date_formats), schemas.TRANSACTIONS_DAILY)
     tables = {
         "SALES_DAILY": daily, "STORES": stores, "OIL_DAILY": oil, "STORE_HOLIDAYS": holidays,
         "TRANSACTIONS_DAILY": traffic,
@@ -60,6 +67,9 @@ def stage(
         enriched = staging.enrich(daily, stores, oil, holidays, traffic)
         tables["SALES_DAILY_ENRICHED"] = keep("SALES_DAILY_ENRICHED", enriched, schemas.SALES_DAILY_ENRICHED)
     tables["SALES_WEEKLY"] = keep("SALES_WEEKLY", weekly, schemas.SALES_WEEKLY)
+    totals = quality.reconcile(daily, tables["SALES_WEEKLY"])
+    checks = totals.withColumn("OIL_GAPS", quality.oil_gaps(oil).scalar())
+    tables["STAGING_CHECKS"] = _stored(spark, checks, f"{out}/STAGING/STAGING_CHECKS")
     return tables
 
 
@@ -72,23 +82,25 @@ def run(
     size: Boosting = Boosting(),
     dense: bool = True,
     embed: Callable[[DataFrame], DataFrame] | None = None,
+    date_formats: tuple[str, ...] = (),
 ) -> dict[str, DataFrame]:
     """Run all steps, writing every table below ``out``.
 
     The gate logs its result first and then raises ``GateFailed``; nothing is
-    forecast in that case. ``embed`` adds a VECTOR column to the documents; the
+    forecast in that case. Only the check of this very run decides, whatever the log
+    has under the same ``run_ts``. ``embed`` adds a VECTOR column to the documents; the
     index is built only when it is given.
     """
-    tables = stage(spark, raw, out)
+    tables = stage(spark, raw, out, date_formats=date_formats)
     features = build_features(tables["SALES_WEEKLY"], tables["STORE_HOLIDAYS"], dense=dense)
     tables["FEATURES"] = _stored(
         spark, features, f"{out}/ANALYTICS/FEATURES", schemas.FEATURES, partition="IS_FUTURE"
     )
 
     rows = global_model.model_rows(tables["FEATURES"])
-    append_run(global_model.gate(rows, run_ts, threshold, size), f"{out}/{LOG_TABLE}")
+    this_check = _stored(spark, global_model.gate(rows, run_ts, threshold, size), scratch_path(spark, "gate"))
+    append_run(this_check, f"{out}/{LOG_TABLE}")
     tables["ACCURACY_LOG"] = read_table(spark, f"{out}/{LOG_TABLE}", schemas.ACCURACY_LOG)
-    this_check = tables["ACCURACY_LOG"].where(tables["ACCURACY_LOG"].RUN_TS == run_ts)
     if not this_check.where("NOT PASSED").isEmpty():
         raise GateFailed(f"quality gate failed: WAPE above {threshold}")
 

@@ -6,9 +6,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from weekloom.fixed_values import NA_TOKENS, RAW_FILES
 
+_RECORD = "_record"
+
 
 def upper_columns(df: DataFrame) -> DataFrame:
     return df.toDF(*[name.upper() for name in df.columns])
@@ -23,9 +26,20 @@ def blank_missing(df: DataFrame) -> DataFrame:
 
 
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """One CSV with a header, all columns text, missing tokens as NULL."""
-    options = {"header": True, "inferSchema": False, "quote": '"', "escape": '"', "multiLine": False}
-    return blank_missing(upper_columns(spark.read.options(**options).csv(path)))
+    """One CSV with a header, all columns text, missing tokens as NULL.
+
+    Quoted fields may hold line breaks. Short rows are padded with NULL; a row with more
+    fields than the header stops the reading: of a row with another number of fields the
+    parser keeps the record, whose separators outside quotes are counted.
+    """
+    reader = spark.read.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=True)
+    names = reader.csv(path).columns
+    schema = StructType([StructField(name, StringType()) for name in [*names, _RECORD]])
+    rows = reader.schema(schema).options(columnNameOfCorruptRecord=_RECORD, enforceSchema=True).csv(path)
+    separators = F.regexp_count(F.regexp_replace(_RECORD, '"(?:[^"]|"")*"', ""), F.lit(","))
+    message = F.lit(f"{path}: a row has more than {len(names)} fields")
+    checked = F.when(separators >= len(names), F.raise_error(message)).otherwise(F.col(names[0]))
+    return blank_missing(upper_columns(rows.withColumn(names[0], checked).drop(_RECORD)))
 
 
 def load_raw(

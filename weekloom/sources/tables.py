@@ -8,6 +8,8 @@ from pyspark.sql.types import StructType
 
 from weekloom.fixed_values import ROW_LIMIT
 
+JSON_DECIMALS = 10
+
 
 def overwrite_table(df: DataFrame, path: str, partition: str | None = None) -> int:
     """Replace the whole table; returns the rows written."""
@@ -40,12 +42,13 @@ def weeks_of(rows: DataFrame, forecasts: DataFrame) -> DataFrame:
 
 
 def rows_as_json(df: DataFrame, *order: Column, limit: int = ROW_LIMIT) -> DataFrame:
-    """At most ``limit`` rows as JSON records, dates in ISO form, NULLs kept."""
+    """At most ``limit`` rows as JSON records: dates in ISO form, numbers to 10 decimals, NULLs kept."""
     ordered = df.orderBy(*order) if order else df
-    fields = [
-        F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss.SSS").alias(name) if kind in ("date", "timestamp_ntz") else F.col(name)
-        for name, kind in df.dtypes
-    ]
+    shown = {
+        **dict.fromkeys(("date", "timestamp", "timestamp_ntz"), lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSS")),
+        **dict.fromkeys(("double", "float"), lambda c: F.round(F.col(c).cast("double"), JSON_DECIMALS)),
+    }
+    fields = [shown.get(kind, F.col)(name).alias(name) for name, kind in df.dtypes]
     record = F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     return ordered.limit(limit).select(record.alias("ROW"))
 
