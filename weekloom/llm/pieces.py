@@ -64,10 +64,10 @@ class Pieces:
             raise ValueError("the model needs byte pieces and none that spans two words")
 
     def spelled(self, ids: list[int]) -> list[int]:
-        """Edges of unknown characters, minus their code point, as byte pieces."""
+        """Edges of unknown characters, below 0 by their code point, as byte pieces."""
         if min(ids) >= 0:
             return ids
-        return [x for i in ids for x in ([i] if i >= 0 else [self.bytes[b] for b in chr(-i).encode("utf-8", "surrogatepass")])]
+        return [x for i in ids for x in ([i] if i >= 0 else [self.bytes[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")])]
 
     def decode(self, ids: list[int]) -> str:
         return b"".join([self.texts[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
@@ -110,7 +110,7 @@ def edges(rows: DataFrame, table: DataFrame, longest: int, unknown: float) -> Da
     found = parts.join(F.broadcast(table), "piece", "left").where((F.col("n") == 1) | F.col("id").isNotNull())
     return found.select(
         *rows.columns, "start", (F.col("start") + F.col("n")).alias("stop"),
-        F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", -F.ascii("piece")).alias("id"))
+        F.coalesce("score", F.lit(unknown)).alias("score"), F.coalesce("id", -1 - F.ascii("piece")).alias("id"))
 
 
 def best_path(lattice: Column, size: Column) -> Column:
