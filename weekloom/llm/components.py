@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from weekloom.llm.common import stored
@@ -19,11 +19,12 @@ def components(links: DataFrame) -> DataFrame:
     links = stored(links.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     before = None
     while True:
-        links = stored(_small_star(_large_star(links)), "links")
-        now = links.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if now == before:
+        seen = Observation()  # rides along with the write
+        links = stored(_small_star(_large_star(links)).observe(
+            seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("all")), "links")
+        if seen.get == before:
             break
-        before = now
+        before = seen.get
     nodes = links.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.union(links.select("b", "b")).distinct()
 
@@ -31,7 +32,7 @@ def components(links: DataFrame) -> DataFrame:
 def _large_star(links: DataFrame) -> DataFrame:
     both = links.union(links.select("b", "a"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
 
 
 def _small_star(links: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 40, 5
 #: Values compared per step; least posterior probability of reaching the threshold.
 STEP, TOLERANCE = 20, 1e-6
-HOT, BLOCK = 64, 256
+HOT, BLOCK = 32, 256
 _RANDOM = np.random.default_rng(20240229)
 _A = _RANDOM.integers(1, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _B = _RANDOM.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -136,12 +136,17 @@ def candidates(classes: DataFrame, hot: int) -> tuple[DataFrame, DataFrame]:
     rows = banded(classes)
     shared = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("class_id").alias("least")).where("n > 1")
     rows = stored(rows.join(shared, "bucket"), "near-buckets")
-    cold = rows.where(F.col("n") <= hot).groupBy("bucket").agg(F.sort_array(F.collect_list("class_id")).alias("ids"))
-    firsts = cold.select("ids", F.posexplode("ids").alias("at", "a")).where(F.col("at") + 1 < F.size("ids"))
-    pairs = firsts.select("a", F.explode(F.slice("ids", F.col("at") + 2, F.size("ids"))).alias("b")).distinct()
     links = rows.where((F.col("n") > hot) & (F.col("class_id") > F.col("least"))).select(
         F.col("class_id").alias("a"), F.col("least").alias("b")).distinct()
-    return pairs, links
+    # classes that large buckets connect are compared anyway: their smaller buckets emit no pairs of them
+    groups = components(links).withColumnRenamed("node", "class_id")
+    cold = rows.where(F.col("n") <= hot).join(groups, "class_id", "left")
+    member = F.struct("class_id", F.coalesce("component", "class_id").alias("group"))
+    cold = cold.groupBy("bucket").agg(F.sort_array(F.collect_list(member)).alias("ids"))
+    firsts = cold.select("ids", F.posexplode("ids").alias("at", "one"))
+    others = F.filter(F.slice("ids", F.col("at") + 2, F.size("ids")), lambda x: x["group"] != F.col("one.group"))
+    pairs = firsts.select("one", F.explode(others).alias("two")).select(F.col("one.class_id").alias("a"), F.col("two.class_id").alias("b"))
+    return pairs.distinct(), links
 
 
 def surviving(pairs: DataFrame, classes: DataFrame) -> DataFrame:
