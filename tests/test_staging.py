@@ -162,3 +162,12 @@ def test_totals_are_rounded_once(spark):
 
     daily = spark.createDataFrame([(1234.4951,)], "SALES double")
     assert tuple(quality.reconcile(daily, daily).first()) == (1234.0, 1234.0)
+
+
+def test_spread_join_keeps_null_and_frequent_keys(spark):
+    from weekloom.operators.skew import spread_join
+
+    left = spark.createDataFrame([(1 if i % 3 else None, f"f{i % 7}", i) for i in range(200)] + [(2, "f", 0)], "STORE_NBR bigint, FAMILY string, W int")
+    right = spark.createDataFrame([(1, "A"), (3, "C"), (None, "N")], "STORE_NBR bigint, CITY string")
+    expected = sorted(map(str, left.join(right, "STORE_NBR", "left").collect()))
+    assert sorted(map(str, spread_join(left, right, "STORE_NBR", ["FAMILY", "W"]).collect())) == expected

@@ -391,7 +391,8 @@ SELECT TABLE_NAME, N AS N_ROWS, N AS N_REPORTED FROM (
         "rows_json": staging("""
 SELECT '{"WEEK_START":"' || strftime(WEEK_START, '%Y-%m-%dT00:00:00.000') || '","STORE_NBR":' || STORE_NBR || ',"FAMILY":"' || FAMILY
   || '","PROMO_ITEMS":' || PROMO_ITEMS || ',"STORE_TRANSACTIONS":' || COALESCE(CAST(STORE_TRANSACTIONS AS VARCHAR), 'null')
-  || ',"SALES":' || CAST(round(SALES, 10) AS VARCHAR) || ',"AVG_OIL_PRICE":' || COALESCE(CAST(round(AVG_OIL_PRICE, 10) AS VARCHAR), 'null')
+  || ',"SALES":' || CAST(round(SALES, 2) AS VARCHAR) || ',"AVG_OIL_PRICE":' || COALESCE(CAST(round(AVG_OIL_PRICE, 6) AS VARCHAR), 'null')
+  || ',"TENTHS":0.3'
   || ',"CITY":"' || CITY || '"}' AS ROW
 FROM (SELECT * FROM weekly ORDER BY WEEK_START DESC, STORE_NBR, FAMILY LIMIT 100)"""),
         "vector_index_roundtrip": vectors("""

@@ -99,8 +99,9 @@ def latest_run(f: Frames) -> DataFrame:
 
 @query
 def rows_json(f: Frames) -> DataFrame:
-    """The newest 100 weekly rows as JSON records."""
-    week = f.weekly.select("WEEK_START", "STORE_NBR", "FAMILY", "PROMO_ITEMS", "STORE_TRANSACTIONS", "SALES", "AVG_OIL_PRICE", "CITY")
+    """The newest 100 weekly rows as JSON records, with a sum that isn't exact in binary."""
+    week = rounded(f.weekly, SALES=2, AVG_OIL_PRICE=6).withColumn("TENTHS", F.lit(0.1) + F.lit(0.2)).select(
+        "WEEK_START", "STORE_NBR", "FAMILY", "PROMO_ITEMS", "STORE_TRANSACTIONS", "SALES", "AVG_OIL_PRICE", "TENTHS", "CITY")
     return tables.rows_as_json(week, F.desc("WEEK_START"), F.col("STORE_NBR"), F.col("FAMILY"))
 
 
@@ -362,7 +363,8 @@ def forecast_naive(f: Frames) -> DataFrame:
 
 @query
 def gbt_forecast(f: Frames) -> DataFrame:
-    return global_model.forecast(f.model_rows, NEW_RUN)
+    """Trained at the stated size: 400 trees of depth 8."""
+    return global_model.forecast(f.model_rows, NEW_RUN, model=f.full_model)
 
 
 @query
@@ -370,15 +372,9 @@ def gbt_gate(f: Frames) -> DataFrame:
     return global_model.gate(f.model_rows, NEW_RUN, CHECK_THRESHOLD)
 
 
-@query
-def gbt_backtest(f: Frames) -> DataFrame:
-    return global_model.backtest(f.model_rows)
-
-
 @query
 def gbt_importance(f: Frames) -> DataFrame:
-    model = global_model.fit(global_model.trainable(f.model_rows))
-    return global_model.importance(f.spark, model)
+    return global_model.importance(f.spark, f.full_model)
 
 
 @query

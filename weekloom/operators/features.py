@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weekloom.fixed_values import (
     FEATURE_INPUTS, FOURIER_ORDER, LAG_WEEKS, ROLLING_MEAN_WEEKS, ROLLING_STD_WEEKS, SEASON_WEEKS, SERIES,
 )
+from weekloom.operators.skew import spread_join
 from weekloom.session import scratch_path
 
 
@@ -51,7 +52,7 @@ def with_next_holidays(kept: DataFrame, holidays: DataFrame, next_week: Column)
     """Add the store's holiday count in the forecast week (0 when none)."""
     in_week = (F.col("DATE") >= next_week) & (F.col("DATE") < F.date_add(next_week, 7))
     counts = holidays.where(in_week).groupBy("STORE_NBR").agg(F.count(F.lit(1)).alias("NEXT_HOLIDAY_DAYS"))
-    joined = kept.join(counts, "STORE_NBR", "left")
+    joined = spread_join(kept, counts, "STORE_NBR", ["FAMILY", "WEEK_START"])
     return joined.withColumn("NEXT_HOLIDAY_DAYS", F.coalesce("NEXT_HOLIDAY_DAYS", F.lit(0).cast("bigint")))
 
 

@@ -126,9 +126,11 @@ def gate(rows: DataFrame, run_ts: str, threshold: float, size: Boosting = Boosti
     return gate_log(predict(model, holdout_rows(actuals)), "PRED_GBT", GBT_MODEL, run_ts, threshold)
 
 
-def forecast(rows: DataFrame, run_ts: str, size: Boosting = Boosting()) -> DataFrame:
-    """FORECASTS rows for the next week; fails when there is nothing to forecast."""
+def forecast(
+    rows: DataFrame, run_ts: str, size: Boosting = Boosting(), model: GBTRegressionModel | None = None
+) -> DataFrame:
+    """FORECASTS rows for the next week, by ``model`` or one fitted here; fails when there is nothing to forecast."""
     future = future_rows(rows)
     if future.isEmpty():
         raise ValueError("no future rows in the features")
-    return forecast_rows(predict(fit(trainable(rows), size), future), "PRED_GBT", GBT_MODEL, run_ts)
+    return forecast_rows(predict(model or fit(trainable(rows), size), future), "PRED_GBT", GBT_MODEL, run_ts)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 HOT_ROWS = 10_000_000
 SALTS = 64
+SPREAD = 8
 
 
 def hot_values(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -39,6 +40,16 @@ def repeat_rows(df: DataFrame, key: str, hot: DataFrame, salts: int = SALTS) ->
     return _flagged(df, key, hot).withColumn("SALT", F.explode(F.sequence(F.lit(0), last))).drop("_IS_HOT")
 
 
+def spread_join(left: DataFrame, right: DataFrame, key: str, by: list[str], salts: int = SPREAD) -> DataFrame:
+    """Left join on ``key`` with each value's rows, NULL too, spread by the columns ``by``.
+
+    For a right side with one row per value, which is repeated ``salts`` times.
+    """
+    spread = left.withColumn("_SALT", F.pmod(F.xxhash64(*by), F.lit(salts)).cast("int"))
+    repeated = right.withColumn("_SALT", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(repeated, [key, "_SALT"], "left").drop("_SALT")
+
+
 def _flagged(df: DataFrame, key: str, hot: DataFrame) -> DataFrame:
     same: Column = df[key].eqNullSafe(hot["_HOT"])
     return df.join(F.broadcast(hot), same, "left").drop("_HOT")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from weekloom.fixed_values import KEYS
 from weekloom.functions.casts import to_date, to_double, to_long
 from weekloom.functions.dates import week_start
-from weekloom.operators.skew import HOT_ROWS, hot_values, repeat_rows, salt_rows
+from weekloom.operators.skew import HOT_ROWS, hot_values, repeat_rows, salt_rows, spread_join
 
 WEEKDAYS = range(7)
 STORE_COLUMNS = ["CITY", "STATE", "STORE_TYPE", "STORE_CLUSTER"]
@@ -140,7 +140,8 @@ def enrich(
     """Daily sales with store, price, holiday and traffic columns (all left joins).
 
     Holidays and traffic share the (store, date) key, so they meet first and the
-    daily rows join once on it. ``oil`` has one row per calendar day: broadcast.
+    daily rows join once on it. ``oil`` has one row per calendar day, small enough to be
+    broadcast unless a stray date stretches the calendar; Spark decides.
     Rows of a store with more than ``hot_rows`` rows are salted.
     """
     hot = hot_values(daily, "STORE_NBR", hot_rows)
@@ -148,7 +149,7 @@ def enrich(
     return (
         salt_rows(daily, "STORE_NBR", hot)
         .join(repeat_rows(stores, "STORE_NBR", hot), ["STORE_NBR", "SALT"], "left")
-        .join(F.broadcast(oil), "DATE", "left")
+        .join(oil, "DATE", "left")
         .join(repeat_rows(store_days, "STORE_NBR", hot), ["STORE_NBR", "DATE", "SALT"], "left")
         .select(
             "DATE", "STORE_NBR", "FAMILY", "SALES", "ONPROMOTION", *STORE_COLUMNS, "OIL_PRICE",
@@ -216,10 +217,9 @@ def weekly_sales(
         total = " + ".join(f"N{i} * {prefix}{i}" for i in WEEKDAYS)
         return f"if((N_DAYS & {prefix}_DAYS) != 0, {total}, null)"
 
+    with_days = sales.join(store_weeks, ["STORE_NBR", "WEEK_START"], "left").join(oil_weeks, "WEEK_START", "left")
     return (
-        sales.join(store_weeks, ["STORE_NBR", "WEEK_START"], "left")
-        .join(F.broadcast(oil_weeks), "WEEK_START", "left")
-        .join(stores, "STORE_NBR", "left")
+        spread_join(with_days, stores, "STORE_NBR", ["FAMILY", "WEEK_START"])
         .selectExpr(
             *KEYS, *STORE_COLUMNS, "SALES", "PROMO_ITEMS",
             f"coalesce({rows_on('H_DAYS')}, 0L) AS HOLIDAY_DAYS",
