@@ -164,7 +164,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, n_tokens, ids, decoded_sha256 (of the text that the ids decode to) for each row of docs (doc_id, text)."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks, buckets = 2 * parts, 4 * parts
+    chunks = buckets = 2 * parts
     text = text_or_empty()
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", text.alias("text"))
 
