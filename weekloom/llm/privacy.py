@@ -201,13 +201,13 @@ def spans_of(docs: DataFrame, **options) -> DataFrame:
 def sanitised(docs: DataFrame, **options) -> DataFrame:
     """docs with every span of its text generalised to its kind; n_chars, if there, follows."""
     added = found(docs, **options)
-    rows = docs.withColumn("_key", F.unhex(F.md5(text_or_empty()))).join(added.withColumnRenamed("text_key", "_key"), "_key", "left")
+    rows = docs.withColumn("_key", F.unhex(F.md5(text_or_empty()))).join(added.toDF("_key", "_terms"), "_key", "left")
     kinds, columns = dict(docs.dtypes), docs.columns
 
     def work(batches):
         for batch in batches:
             texts = []
-            for text, terms in zip(batch.column("text").to_pylist(), batch.column("terms").to_pylist()):
+            for text, terms in zip(batch.column("text").to_pylist(), batch.column("_terms").to_pylist()):
                 spans = base_spans(text) if text else []
                 texts.append(redacted(text, spans + [("term", t["start"], t["end"]) for t in terms or []]) if text else text)
             out = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
