@@ -58,6 +58,9 @@ class Pieces:
                 self.rows.append((piece, i, float(model.get_score(i))))
                 self.texts.append(piece.replace(MARK, " ").encode())
         self.longest = max(len(p) for p, _, _ in self.rows)
+        self.sizes = np.array([len(t) for t in self.texts])
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.joined = np.frombuffer(b"".join(self.texts), np.uint8)
         self.unknown = min(s for _, _, s in self.rows) + UNKNOWN_SCORE
         spanning = [p for p, _, _ in self.rows if MARK in p.lstrip(MARK) or "\n" in p]
         if spanning or len(self.bytes) < 256:
@@ -69,8 +72,13 @@ class Pieces:
             return ids
         return [x for i in ids for x in ([i] if i >= 0 else [self.bytes[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")])]
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join([self.texts[i] for i in ids])[1:].decode("utf-8", "surrogatepass")
+    def decode(self, ids) -> bytes:
+        """The UTF-8 text that ids stand for, without the mark in front."""
+        ids = np.asarray(ids, np.int64)
+        sizes = self.sizes[ids]
+        ends = np.cumsum(sizes)
+        at = np.arange(ends[-1] if len(ids) else 0) + np.repeat(self.starts[ids] - ends + sizes, sizes)
+        return self.joined[at].tobytes()[1:]
 
 
 _TABLES: dict[str, Pieces] = {}
@@ -147,10 +155,10 @@ def solved(rows: DataFrame, model: str = MODEL) -> DataFrame:
 
 # --- documents ------------------------------------------------------------------------
 
-def _by_bucket(texts: list[str], buckets: int) -> dict[int, list[str]]:
-    """Different words of texts, sorted, by bucket."""
+def _by_bucket(split: list[list[str]], buckets: int) -> dict[int, list[str]]:
+    """Different words of split texts, sorted, by bucket."""
     out: dict[int, list[str]] = {}
-    for word in sorted({w for t in texts for w in words(t)}):
+    for word in sorted(set().union(*split)):
         out.setdefault(zlib.crc32(word.encode("utf-8", "surrogatepass")) % buckets, []).append(word)
     return out
 
@@ -177,14 +185,15 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     texts = map_batches(dealt, deflate, "chunk int, doc_id long, z binary").repartition("chunk")
 
     def listed(key, table):
-        found = _by_bucket(_inflate(table.column("z")), buckets)
+        found = _by_bucket([words(t) for t in _inflate(table.column("z"))], buckets)
         return pa.table({
             "chunk": pa.array([key[0].as_py()] * len(found), pa.int32()), "bucket": pa.array(found.keys(), pa.int32()),
             "words": pa.array([" ".join(w) for w in found.values()], pa.string())})
 
     lists = texts.groupBy("chunk").applyInArrow(listed, "chunk int, bucket int, words string").repartition("bucket")
-    different = lists.select("bucket", F.explode(F.split("words", " ")).alias("word")).groupBy("bucket", "word").agg(F.lit(1).alias("one")).drop("one")
-    answers = solved(different, model).select(F.col("bucket").alias("answer_bucket"), "word", "ids")
+    # the unused minimum keeps the column, and so the exchange, the same in both branches: it is made once
+    different = lists.select("bucket", "chunk", F.explode(F.split("words", " ")).alias("word")).groupBy("bucket", "word").agg(F.min("chunk").alias("chunk"))
+    answers = solved(different, model).where("chunk >= 0").select(F.col("bucket").alias("answer_bucket"), "word", "ids")
 
     def answered(key, left, right):
         table = pieces(model)
@@ -200,16 +209,16 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
         answered, "answer_chunk int, bucket int, answers binary")
 
     def assembled(key, left, right):
-        table, plain = pieces(model), _inflate(left.column("z"))
-        asked, read, known = _by_bucket(plain, buckets), zstandard.ZstdDecompressor(), {}
+        table, split = pieces(model), [words(t) for t in _inflate(left.column("z"))]
+        asked, read, known = _by_bucket(split, buckets), zstandard.ZstdDecompressor(), {}
         for bucket, z in zip(right.column("bucket").to_pylist(), right.column("answers").to_pylist()):
             data = read.decompress(z)
             n = int(np.frombuffer(data, np.uint32, 1)[0])
             ends = np.cumsum(np.frombuffer(data, np.uint16, n, 4)).tolist()
             ids = data[4 + 2 * n :]
             known.update((w, ids[4 * a : 4 * b]) for w, a, b in zip(asked[bucket], [0, *ends], ends))
-        found = [np.frombuffer(b"".join([known[w] for w in words(t)]), np.int32) for t in plain]
-        digests = [hashlib.sha256(table.decode(f.tolist()).encode("utf-8", "surrogatepass")).hexdigest() for f in found]
+        found = [np.frombuffer(b"".join([known[w] for w in s]), np.int32) for s in split]
+        digests = [hashlib.sha256(table.decode(f)).hexdigest() for f in found]
         offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
         values = np.concatenate(found) if found else np.empty(0, np.int32)
         return pa.table({
@@ -224,7 +233,7 @@ def decode(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, text for rows of encoded (doc_id, ids); null ids decode to null."""
     def work(batches):
         for batch in batches:
-            texts = [None if i is None else pieces(model).decode(i) for i in batch.column("ids").to_pylist()]
+            texts = [None if i is None else pieces(model).decode(i).decode("utf-8", "surrogatepass") for i in batch.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], names=["doc_id", "text"])
 
     return map_batches(encoded.select("doc_id", "ids"), work, "doc_id long, text string", 500)
