@@ -154,7 +154,8 @@ def fit(docs: DataFrame, learn: Column, places: int = PLACES, sample: int = SAMP
     rows = docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
     seen, total = document_frequencies(rows.select("text"), places)
     idf = np.log((1 + total) / (1 + seen)) + 1
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
+    # one row per language, stored: Spark sees its size, and texts need no shuffle to meet it
+    sizes = stored(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("size")), "languages")
     place = F.xxhash64("text")
     # twice as many as wanted by hash, so that no language brings all its texts to the shuffle, then the exact number
     drawn = rows.join(sizes, "lang").where(F.pmod(place, F.lit(1 << 30)) < (F.lit(2.0 * sample) / F.col("size") * (1 << 30)) + 100)
@@ -178,7 +179,7 @@ def fit(docs: DataFrame, learn: Column, places: int = PLACES, sample: int = SAMP
             values = weighted((at, np.array(r["counts"])), idf)
             (kept_back if r["rank"] % KEPT_BACK == 0 else fitted).append((at, values, names.index(r.lang)))
     weights = train(fitted, places, len(names))
-    logits = np.array([v @ weights[at] + weights[-1] for at, v, _ in kept_back]).reshape(-1, len(names))
+    logits = np.stack([v @ weights[at] + weights[-1] for at, v, _ in kept_back]) if kept_back else np.empty((0, len(names)))
     return Model(names, idf, weights, temperature(logits, np.array([c for _, _, c in kept_back], int)))
 
 
