@@ -1,8 +1,8 @@
 """Toxicity by nearest labelled examples.
 
 Words that occur more often in toxic than in other labelled texts (chi-square over all
-labelled texts, copies counted once) span a TF-IDF space; document frequencies come from
-all documents. A text's score is the distance-weighted vote of the labelled examples
+labelled texts, copies counted once), in a stated share of the toxic ones and mostly in
+those, span a TF-IDF space; document frequencies come from all documents. A text's score is the distance-weighted vote of the labelled examples
 nearest by exact cosine, found through an inverted index in blocks of examples: a block's
 bound is the sum over the query's words of weight times the largest weight in the block;
 blocks are read in falling order of bound until none can reach the neighbours found. Votes
@@ -24,13 +24,17 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.llm.common import map_batches, stored, text_or_empty
 
-TERMS, EXAMPLES, NEIGHBOURS, BLOCK = 20_000, 20_000, 25, 256
+TERMS, EXAMPLES, NEIGHBOURS, BLOCK = 20_000, 4_000, 25, 1024
 CHI_SQUARE, THRESHOLD = 30.0, 0.7
+#: Least share of the toxic texts that must hold a word; words of a few near copies tell nothing about others.
+SUPPORT = 0.02
+#: Least share of toxic texts among those that hold a word; in many texts even slight differences are significant.
+PURITY = 0.5
 HELD_WORDS = 300_000
 #: Added to distances, so that an equal text doesn't outweigh all others.
 SOFTENING = 0.05
@@ -77,7 +81,7 @@ def telling_words(docs: DataFrame, marked: DataFrame, chi_square: float, most: i
     a, b, p, n = (F.col(c) for c in "abpn")
     gap = a * (n - b) - b * (p - a)
     chi = F.try_divide((p + n) * gap * gap, (a + b) * (p + n - a - b) * p * n)
-    rows = counts.where(gap > 0).withColumn("chi", chi).where(F.col("chi") >= chi_square)
+    rows = counts.where((gap > 0) & (a >= SUPPORT * p) & (a >= PURITY * (a + b))).withColumn("chi", chi).where(F.col("chi") >= chi_square)
     return sorted(r.word for r in rows.orderBy(F.desc("chi"), "word").limit(most).select("word").collect())
 
 
@@ -130,9 +134,12 @@ class Index:
             for b, most in zip(blocks.tolist(), (highest * weight).tolist()):
                 bounds[b] = bounds.get(b, 0.0) + most
         numbers, cosines = np.empty(0, np.int64), np.empty(0)
-        for b, bound in sorted(bounds.items(), key=lambda x: (-x[1], x[0])):
-            if len(numbers) == k and bound < cosines[-1] - 1e-12:
-                break
+        for b, bound in sorted(bounds.items(), key=lambda x: (-round(x[1], 12), x[0])):
+            if len(numbers) == k:
+                if bound < cosines[-1] - 1e-12:
+                    break
+                if bound < cosines[-1] + 1e-12 and b * self.block > numbers[-1]:
+                    continue  # it can only tie, and ties go to the smaller number
             sums = np.zeros(self.block)
             for weight, (blocks, starts, _, entries, weights) in query:
                 at = np.searchsorted(blocks, b)
@@ -140,6 +147,9 @@ class Index:
                     part = slice(starts[at], starts[at + 1])
                     sums[entries[part] - b * self.block] += weight * weights[part]
             new = np.flatnonzero(sums)
+            if len(new) > k:  # whoever cannot be among the k best, with what is known so far, isn't sorted
+                least = np.partition(sums[new], -k - 1)[-k - 1]
+                new = new[sums[new] >= max(least, cosines[-1] if len(cosines) == k else 0.0) - 1e-12]
             numbers, cosines = np.append(numbers, new + b * self.block), np.append(cosines, sums[new])
             if without >= 0:
                 cosines, numbers = cosines[numbers != without], numbers[numbers != without]
@@ -201,14 +211,30 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, terms: int = TERMS, e
     index = Index(idf, [tuple(r) for r in sorted(rows, key=lambda r: r.doc_id)])
     silent = [sizes.get((t, False), 0) for t in (0, 1)]
     prior = silent[1] / (sum(silent) + 1)
-    votes, toxic, weights = [], [], []
-    for number, (_, mark, t, c) in enumerate(sorted(rows, key=lambda r: r.doc_id)):
-        near = index.nearest(t, c, neighbours, without=number)
-        if len(near[0]):
-            votes.append(index.vote(near))
-            toxic.append(mark)
-            weights.append(1 / rates[mark])
-    return found, index, Calibration(np.array(votes), np.array(toxic), np.array(weights), prior), prior
+    votes = own_votes(found.sparkSession, index, sorted(rows, key=lambda r: r.doc_id), neighbours)
+    toxic = index.toxic[[n for n, _ in votes]].astype(int)
+    weights = np.array([1 / rates[t] for t in toxic.tolist()])
+    return found, index, Calibration(np.array([v for _, v in votes]), toxic, weights, prior), prior
+
+
+def own_votes(spark: SparkSession, index: Index, examples: list, neighbours: int) -> list[tuple[int, float]]:
+    """(number, vote) of each example among the others, computed by the executors; examples without neighbours are left out."""
+    shared = spark.sparkContext.broadcast(index)
+    rows = [(n, list(e.terms), list(e.counts)) for n, e in enumerate(examples)]
+    asked = spark.createDataFrame(rows, "number long, terms array<int>, counts array<int>")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def work(batches):
+        for batch in batches:
+            out = []
+            for n, terms, counts in zip(*(batch.column(c).to_pylist() for c in ("number", "terms", "counts"))):
+                near = shared.value.nearest(terms, counts, neighbours, without=n)
+                if len(near[0]):
+                    out.append((n, shared.value.vote(near)))
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()), pa.array([v for _, v in out], pa.float64())],
+                                             names=["number", "vote"])
+
+    return sorted(tuple(r) for r in map_batches(asked.repartition(parts), work, "number long, vote double").collect())
 
 
 def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None, neighbours: int = NEIGHBOURS,
