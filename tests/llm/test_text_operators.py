@@ -153,6 +153,17 @@ def test_toxic_texts_are_told_from_clean_ones(spark):
         assert len(row.evidence) == (3 if row.predicted else 0) and all(e.toxic == 1 for e in row.evidence)
 
 
+def test_rare_and_common_telling_words_are_kept(spark):
+    """A word in 1.7% of the toxic texts, and one that more clean than toxic texts hold."""
+    draw = random_texts(17, 2100, (3, 6))
+    texts = [f"{t} spread" + " seldom" * (i < 5) if i < 300 else t + " spread" * (i % 5 == 0) for i, t in enumerate(draw)] + ["seldom heard"]
+    docs = documents(spark, texts)
+    marks = spark.createDataFrame([(i, 0, int(i < 300)) for i in range(2100)], "doc_id long, quality int, toxic int")
+    assert {"seldom", "spread"} <= set(toxicity.telling_words(docs, marks.drop("quality"), toxicity.CHI_SQUARE, toxicity.TERMS))
+    got = toxicity.score(docs, marks).where("doc_id = 2100").first()
+    assert [e.doc_id < 5 and e.toxic == 1 for e in got.evidence] == [True] * 3 and toxicity.EXAMPLES == 20_000
+
+
 def test_index_finds_the_exact_nearest():
     import numpy as np
 

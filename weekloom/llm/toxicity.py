@@ -1,12 +1,13 @@
 """Toxicity by nearest labelled examples.
 
 Words that occur more often in toxic than in other labelled texts (chi-square over all
-labelled texts, copies counted once), in a stated share of the toxic ones and mostly in
-those, span a TF-IDF space; document frequencies come from all documents. A text's score is the distance-weighted vote of the labelled examples
+labelled texts, copies counted once) span a TF-IDF space; document frequencies come from
+all documents, and a word weighs in proportion to (t - c) / (t + c), where t and c are the
+shares of toxic and other texts that hold it. A text's score is the distance-weighted vote of the labelled examples
 nearest by exact cosine, found through an inverted index in blocks of examples: a block's
 bound is the sum over the query's words of weight times the largest weight in the block;
-blocks are read in falling order of bound until none can reach the neighbours found. Votes
-are calibrated on the examples themselves, each left out of its own vote.
+the block with the highest bound is read first, then all whose bound reaches the neighbours
+found there. Votes are calibrated on the examples themselves, each left out of its own vote.
 
 Fitted on bounded parameters: at most ``terms`` words and ``examples`` examples per label,
 drawn by hash from all that there are. Everything else covers all rows.
@@ -21,6 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -29,12 +31,8 @@ from pyspark.sql import functions as F
 
 from weekloom.llm.common import map_batches, stored, text_or_empty
 
-TERMS, EXAMPLES, NEIGHBOURS, BLOCK = 20_000, 4_000, 25, 1024
+TERMS, EXAMPLES, NEIGHBOURS, BLOCK = 20_000, 20_000, 25, 1024
 CHI_SQUARE, THRESHOLD = 30.0, 0.7
-#: Least share of the toxic texts that must hold a word; words of a few near copies tell nothing about others.
-SUPPORT = 0.02
-#: Least share of toxic texts among those that hold a word; in many texts even slight differences are significant.
-PURITY = 0.5
 HELD_WORDS = 300_000
 #: Added to distances, so that an equal text doesn't outweigh all others.
 SOFTENING = 0.05
@@ -55,8 +53,8 @@ def labelled(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
     return keys.join(marks, "doc_id").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")).drop("key")
 
 
-def telling_words(docs: DataFrame, marked: DataFrame, chi_square: float, most: int) -> list[str]:
-    """The words most clearly commoner in toxic texts."""
+def telling_words(docs: DataFrame, marked: DataFrame, chi_square: float, most: int) -> dict[str, float]:
+    """The words most clearly commoner in toxic texts, with (t - c) / (t + c) of the shares of toxic and other texts that hold them."""
     def work(batches):
         held: dict[str, list[int]] = {}
         for batch in batches:
@@ -81,11 +79,12 @@ def telling_words(docs: DataFrame, marked: DataFrame, chi_square: float, most: i
     a, b, p, n = (F.col(c) for c in "abpn")
     gap = a * (n - b) - b * (p - a)
     chi = F.try_divide((p + n) * gap * gap, (a + b) * (p + n - a - b) * p * n)
-    rows = counts.where((gap > 0) & (a >= SUPPORT * p) & (a >= PURITY * (a + b))).withColumn("chi", chi).where(F.col("chi") >= chi_square)
-    return sorted(r.word for r in rows.orderBy(F.desc("chi"), "word").limit(most).select("word").collect())
+    rows = counts.where(gap > 0).withColumn("chi", chi).where(F.col("chi") >= chi_square)
+    lead = (gap / (a * n + b * p)).alias("lead")
+    return dict(sorted((r.word, r.lead) for r in rows.orderBy(F.desc("chi"), "word").limit(most).select("word", lead).collect()))
 
 
-def vectors(docs: DataFrame, vocabulary: list[str]) -> DataFrame:
+def vectors(docs: DataFrame, vocabulary: Iterable[str]) -> DataFrame:
     """doc_id, terms, counts: which words of the vocabulary a text holds how often."""
     places = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
 
@@ -116,11 +115,13 @@ class Index:
             for term, weight in zip(terms, self.unit(terms, counts)):
                 lists.setdefault(term, []).append((number, weight))
         self.lists = {}
+        self.highest = np.zeros((len(idf), -(-len(examples) // block)), np.float64)
         for term, entries in lists.items():
             numbers = np.array([n for n, _ in entries], np.int64)
             weights = np.array([w for _, w in entries])
-            blocks, starts = np.unique(numbers // block, return_index=True)
-            self.lists[term] = (blocks, np.append(starts, len(numbers)), np.maximum.reduceat(weights, starts), numbers, weights)
+            starts = np.searchsorted(numbers, np.arange(self.highest.shape[1] + 1) * block)
+            self.lists[term] = (starts, numbers, weights)
+            np.maximum.at(self.highest[term], numbers // block, weights)
 
     def unit(self, terms: list[int], counts: list[int]) -> np.ndarray:
         weights = (1 + np.log(np.array(counts, float))) * self.idf[terms]
@@ -128,35 +129,35 @@ class Index:
 
     def nearest(self, terms: list[int], counts: list[int], k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the k nearest, ties to the smaller number; examples sharing no word are left out."""
-        query = [(w, self.lists[t]) for t, w in zip(terms, self.unit(terms, counts)) if t in self.lists]
-        bounds: dict[int, float] = {}
-        for weight, (blocks, _, highest, _, _) in query:
-            for b, most in zip(blocks.tolist(), (highest * weight).tolist()):
-                bounds[b] = bounds.get(b, 0.0) + most
-        numbers, cosines = np.empty(0, np.int64), np.empty(0)
-        for b, bound in sorted(bounds.items(), key=lambda x: (-round(x[1], 12), x[0])):
-            if len(numbers) == k:
-                if bound < cosines[-1] - 1e-12:
-                    break
-                if bound < cosines[-1] + 1e-12 and b * self.block > numbers[-1]:
-                    continue  # it can only tie, and ties go to the smaller number
-            sums = np.zeros(self.block)
-            for weight, (blocks, starts, _, entries, weights) in query:
-                at = np.searchsorted(blocks, b)
-                if at < len(blocks) and blocks[at] == b:
-                    part = slice(starts[at], starts[at + 1])
-                    sums[entries[part] - b * self.block] += weight * weights[part]
-            new = np.flatnonzero(sums)
-            if len(new) > k:  # whoever cannot be among the k best, with what is known so far, isn't sorted
-                least = np.partition(sums[new], -k - 1)[-k - 1]
-                new = new[sums[new] >= max(least, cosines[-1] if len(cosines) == k else 0.0) - 1e-12]
-            numbers, cosines = np.append(numbers, new + b * self.block), np.append(cosines, sums[new])
-            if without >= 0:
-                cosines, numbers = cosines[numbers != without], numbers[numbers != without]
-            best = np.lexsort((numbers, -cosines.round(12)))[:k]
-            numbers, cosines = numbers[best], cosines[best]
+        unit = self.unit(terms, counts)
+        query = [(w, *self.lists[t]) for t, w in zip(terms, unit) if t in self.lists]
+        if not query:
+            return np.empty(0, np.int64), np.empty(0)
+        bounds = unit @ self.highest[terms]
+        first = int(bounds.argmax())
+        numbers, cosines = self.best(query, first, first + 1, k, without)
+        least = cosines[-1] - 1e-12 if len(numbers) == k else 0.0
+        more = np.flatnonzero((bounds >= least) & (bounds > 0))
+        if len(more) > 1:  # a stretch of blocks costs one pass over each list
+            numbers, cosines = self.best(query, int(more[0]), int(more[-1]) + 1, k, without)
         return numbers, cosines
 
+    def best(self, query: list[tuple], low: int, high: int, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest among the blocks from low to before high."""
+        base = low * self.block
+        sums = np.zeros((high - low) * self.block)
+        for weight, starts, entries, weights in query:
+            part = slice(starts[low], starts[high])
+            sums[entries[part] - base] += weight * weights[part]
+        if 0 <= without - base < len(sums):
+            sums[without - base] = 0
+        # whoever cannot be among the k best isn't sorted
+        least = np.partition(sums, -k)[-k] - 1e-11 if len(sums) > k else 0.0
+        numbers = np.flatnonzero((sums > 0) & (sums >= least))
+        cosines = sums[numbers]
+        best = np.lexsort((numbers, -cosines.round(12)))[:k]
+        return numbers[best] + base, cosines[best]
+
     def vote(self, found: tuple[np.ndarray, np.ndarray]) -> float:
         numbers, cosines = found
         weights = 1 / (SOFTENING + np.maximum(0, 1 - cosines))
@@ -194,7 +195,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, terms: int = TERMS, e
     seen = np.zeros(len(vocabulary))
     for r in found.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
         seen[r.t] = r.n
-    idf = np.log((1 + total) / (1 + seen)) + 1
+    idf = (np.log((1 + total) / (1 + seen)) + 1) * np.array(list(vocabulary.values()))
 
     known = found.join(marked, "doc_id")
     sizes = {(r.toxic, r.told): r.n for r in known.groupBy("toxic", (F.size("terms") > 0).alias("told")).agg(F.count(F.lit(1)).alias("n")).collect()}
