@@ -119,6 +119,23 @@ def test_terms_that_disclose_a_value(spark):
     assert all(clean[i] == texts[i] for i in range(4, len(texts)))
 
 
+def test_words_far_from_a_value_disclose_it_everywhere_in_the_text(spark):
+    draw = random_texts(15, 80, (30, 40))
+    texts = [f"Kestrel {draw[i]} {draw[i + 20]} jo@ex.org {draw[i + 40]} kestrel." for i in range(4)] + draw[20:]
+    got = {r.doc_id: r for r in privacy.spans_of(documents(spark, texts)).collect()}
+    for i in range(4):
+        at = texts[i].index("kestrel")
+        assert "term:0:7" in got[i].spans.split(",") and f"term:{at}:{at + 7}" in got[i].spans.split(",")
+    assert all(got[i].spans == "" for i in range(4, len(texts)))
+    clean = {r.doc_id: r.text for r in privacy.sanitised(documents(spark, texts)).collect()}
+    assert all("kestrel" not in clean[i].lower() for i in range(4))
+
+
+def test_words_outside_values():
+    text = "Ab jo@ex.org cd +49 170 1234567 Ef"
+    assert privacy.outside(text, privacy.base_spans(text)) == [("ab", 0, 2), ("cd", 13, 15), ("ef", 32, 34)]
+
+
 def test_copies_of_one_surrounding_back_nothing(spark):
     texts = ["rare words stand by jo@ex.org in this copy"] * 6 + random_texts(6, 20, (6, 12))
     assert all("term" not in r.spans for r in privacy.spans_of(documents(spark, texts)).collect())

@@ -2,11 +2,15 @@
 
 Emails, IP addresses, card and phone numbers are found by pattern. Each distinct value is a
 protected entity. The corpus then tells which words disclose an entity e: for a word t
-within ``reach`` words of it, the pointwise mutual information of t and e over documents,
-divided by the information of e itself, is 1 when t never occurs without e and 0 when t
-says nothing about it. Where it reaches ``disclosure``, and t stands by e in at least
-``support`` different surroundings, t is generalised to <term> in the documents that hold
-e. Words are runs of letters, compared in lower case; copies of a surrounding count once.
+anywhere in a document that holds e, the pointwise mutual information of t and e over
+documents, divided by the information of e itself, is 1 when t never occurs without e and 0
+when t says nothing about it. Where it reaches ``disclosure``, and t and e meet in at least
+``support`` different texts, every occurrence of t is generalised to <term> in the documents
+that hold e. Words are runs of letters, compared in lower case, outside the values
+themselves; texts that differ in such values only count once.
+
+Entities in fewer texts than that, and words in so many documents that they cannot reach
+``disclosure`` for any entity left, are dropped before words and entities are paired.
 
 Defined results: null texts are empty and hold nothing; empty tables give no rows; repeated
 rows are each returned; null ids stay null; other columns are left as they are.
@@ -25,7 +29,7 @@ from pyspark.sql import functions as F
 from weekloom.llm.common import map_batches, stored, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-REACH, SUPPORT, DISCLOSURE = 5, 3, 0.9
+SUPPORT, DISCLOSURE = 3, 0.9
 #: Different words that a Python worker counts before it passes the counts on.
 HELD_WORDS = 300_000
 
@@ -78,21 +82,15 @@ def entity(kind: str, value: str) -> str:
     return f"{kind}:{value if kind == 'ip' else _DIGITS.sub('', value)}"
 
 
-def _inside(start: int, end: int, spans: list[tuple[int, int]]) -> bool:
-    return any(a < end and start < b for a, b in spans)
-
-
-def surroundings(text: str, spans: list[tuple[str, int, int]], reach: int) -> list[tuple[str, str, int, int, bytes]]:
-    """(entity, word, start, end, digest of the surrounding) for each word near a span, spans themselves left out."""
-    taken, out = [s[1:] for s in spans], []
-    for kind, start, end in spans:
-        lead, tail = text[max(0, start - 40 * reach) : start], text[end : end + 40 * reach]
-        off = start - len(lead)
-        near = [(m[0].lower(), off + m.start(), off + m.end()) for m in _WORD.finditer(lead)][-reach:]
-        near += [(m[0].lower(), end + m.start(), end + m.end()) for m in _WORD.finditer(tail)][:reach]
-        near = [x for x in near if not _inside(x[1], x[2], taken)]
-        digest = hashlib.md5(" ".join(x[0] for x in near).encode()).digest()
-        out += [(entity(kind, text[start:end]), *x, digest) for x in near]
+def outside(text: str, spans: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """(word in lower case, start, end) of each word that overlaps no span."""
+    out, taken, at, done = [], sorted(s[1:] for s in spans), 0, 0
+    for m in _WORD.finditer(text):
+        while at < len(taken) and taken[at][0] < m.end():
+            done = max(done, taken[at][1])
+            at += 1
+        if done <= m.start():
+            out.append((m[0].lower(), m.start(), m.end()))
     return out
 
 
@@ -112,22 +110,49 @@ def redacted(text: str, spans: list[tuple[str, int, int]]) -> str:
 
 # --- corpus statistics ------------------------------------------------------------------
 
-def nearby_words(docs: DataFrame, reach: int = REACH) -> DataFrame:
-    """text_key, entity, word, start, end, context: each word near a protected value, one row per place in a text."""
+def holders(docs: DataFrame) -> DataFrame:
+    """text_key, text, context (digest of the words outside values), entities, rows: each different text that holds a value."""
     def work(batches):
         for batch in batches:
             out = []
             for text in batch.column("text").to_pylist():
                 if spans := base_spans(text):
-                    key = hashlib.md5(text.encode()).digest()
-                    out += [(key, *x) for x in surroundings(text, spans, reach)]
+                    context = hashlib.md5(" ".join(w for w, _, _ in outside(text, spans)).encode()).digest()
+                    out.append((hashlib.md5(text.encode()).digest(), text, context, sorted({entity(k, text[a:b]) for k, a, b in spans})))
             if out:
-                kinds = [pa.binary(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)],
-                                                 names=["text_key", "entity", "word", "start", "end", "context"])
+                kinds = [pa.binary(), pa.string(), pa.binary(), pa.list_(pa.string())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["text_key", "text", "context", "entities"])
+
+    rows = map_batches(docs.select(text_or_empty().alias("text")), work, "text_key binary, text string, context binary, entities array<string>")
+    return rows.groupBy("text_key").agg(*[F.first(c).alias(c) for c in ("text", "context", "entities")], F.count(F.lit(1)).alias("rows"))
+
+
+def different_words(texts: DataFrame) -> DataFrame:
+    """text_key, word: the different words of each text outside values."""
+    def work(batches):
+        for batch in batches:
+            keys, words = [], []
+            for key, text in zip(batch.column("text_key").to_pylist(), batch.column("text").to_pylist()):
+                found = {w for w, _, _ in outside(text, base_spans(text))}
+                keys += [key] * len(found)
+                words += found
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(words, pa.string())], names=["text_key", "word"])
+
+    return map_batches(texts.select("text_key", "text"), work, "text_key binary, word string")
+
+
+def places(texts: DataFrame) -> DataFrame:
+    """text_key, terms: every place of the given words in each text (text_key, text, words)."""
+    def work(batches):
+        for batch in batches:
+            out = []
+            for text, words in zip(batch.column("text").to_pylist(), batch.column("words").to_pylist()):
+                told = set(words)
+                out.append([{"start": a, "end": b} for w, a, b in outside(text, base_spans(text)) if w in told])
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(out, kind)], names=["text_key", "terms"])
 
-    return map_batches(docs.select(text_or_empty().alias("text")), work,
-                       "text_key binary, entity string, word string, start long, end long, context binary")
+    return map_batches(texts.select("text_key", "text", "words"), work, "text_key binary, terms array<struct<start: long, end: long>>")
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -136,7 +161,7 @@ def word_counts(docs: DataFrame) -> DataFrame:
         held: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                held.update(set(_WORD.findall(text.lower())))
+                held.update({w.lower() for w in set(_WORD.findall(text))})
             if len(held) > HELD_WORDS:
                 yield counted(held)
                 held.clear()
@@ -150,28 +175,33 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return rows.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def disclosing(docs: DataFrame, near: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """entity, word pairs in which the word gives the entity away."""
-    contexts = near.groupBy("entity", "word", "context").agg(F.lit(1).alias("one"))
-    backed = contexts.groupBy("entity", "word").agg(F.count(F.lit(1)).alias("contexts")).where(F.col("contexts") >= support)
-    texts = docs.select(F.unhex(F.md5(text_or_empty())).alias("text_key")).groupBy("text_key").agg(F.count(F.lit(1)).alias("rows"))
-    places = near.select("text_key", "entity", "word").distinct().join(texts, "text_key")
-    together = places.groupBy("entity", "word").agg(F.sum("rows").alias("both"))
-    alone = places.groupBy("text_key", "entity").agg(F.first("rows").alias("rows")).groupBy("entity").agg(F.sum("rows").alias("of_entity"))
-    total = docs.agg(F.count(F.lit(1)).alias("total"))
-    pairs = backed.join(together, ["entity", "word"]).join(alone, "entity").join(word_counts(docs), "word")
-    pairs = pairs.withColumn("total", total.scalar())
-    information = F.log2(F.col("total") / F.col("of_entity"))
-    mutual = F.log2(F.col("both") * F.col("total") / F.col("of_entity") / F.col("n"))
-    return pairs.where((information > 0) & (mutual >= disclosure * information)).select("entity", "word")
-
-
-def found(docs: DataFrame, reach: int = REACH, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
-    """text_key, terms: places in a text whose words give away a value that the text holds."""
-    near = stored(nearby_words(docs, reach), "pii-near")
-    pairs = disclosing(docs, near, support, disclosure)
-    return near.join(pairs, ["entity", "word"]).groupBy("text_key").agg(
-        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
+def found(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
+    """text_key, terms: all places in a text of words that give away a value that the text holds."""
+    total = docs.count()
+    texts = stored(holders(docs), "pii-texts")
+    held = texts.select("text_key", "context", "rows", F.explode("entities").alias("entity"))
+    known = held.groupBy("entity").agg(F.sum("rows").alias("of_entity"), F.countDistinct("context").alias("contexts"))
+    known = known.where((F.col("contexts") >= support) & (F.col("of_entity") < total)).drop("contexts")
+    # mutual information over information reaches disclosure only with n <= of_entity * (total / of_entity) ** (1 - disclosure)
+    most = F.col("of_entity") * F.pow(total / F.col("of_entity"), F.lit(1 - disclosure)) * (1 + 1e-9)
+    live = stored(held.join(known.withColumn("most", most), "entity"), "pii-live")
+    limits = live.groupBy("text_key").agg(F.max("most").alias("limit"))
+    highest = live.agg(F.max("most")).first()[0] or 0.0
+
+    counts = stored(word_counts(docs).where(F.col("n") >= support), "pii-words")
+    common = counts.where(F.col("n") > highest).select("word")
+    cells = different_words(texts.join(limits.select("text_key"), "text_key")).join(F.broadcast(common), "word", "left_anti")
+    cells = cells.join(counts.where(F.col("n") <= highest), "word").join(limits, "text_key").where("n <= limit")
+    cells = stored(cells.select("text_key", "word", "n"), "pii-cells")
+
+    both = cells.join(live, "text_key").where("n <= most")
+    pairs = both.groupBy("entity", "word").agg(
+        F.sum("rows").alias("both"), F.countDistinct("context").alias("contexts"), F.first("n").alias("n"), F.first("of_entity").alias("of_entity"))
+    information = F.log2(total / F.col("of_entity"))
+    mutual = F.log2(F.col("both") * total / F.col("of_entity") / F.col("n"))
+    pairs = pairs.where((F.col("contexts") >= support) & (mutual >= disclosure * information)).select("entity", "word")
+    words = both.join(pairs, ["entity", "word"]).groupBy("text_key").agg(F.collect_set("word").alias("words"))
+    return places(texts.join(words, "text_key"))
 
 
 def spans_of(docs: DataFrame, **options) -> DataFrame:
