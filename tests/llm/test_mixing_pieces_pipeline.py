@@ -100,6 +100,22 @@ def test_mixing_awkward_tables(spark):
     assert mixing.mixed(empty(spark)).count() == 0
 
 
+def test_texts_of_one_id_and_size_are_mixed_each(spark):
+    texts = [f"{a} {b} end" for a in ("red", "blue", "green") for b in ("one", "two", "three", "four")]
+    for doc_id in (None, 7):
+        docs = documents(spark, texts * 2).withColumn("doc_id", F.lit(doc_id).cast("long"))
+        docs = docs.withColumn("n_chars", F.lit(0).cast("long"))
+        words = defaultdict(int)
+        for r in mixing.mixed(docs, block_words=5, shard_slots=4).collect():
+            for w in r.text.split():
+                words[w] += 1
+        once = defaultdict(int)
+        for w in " ".join(texts * 2).split():
+            once[w] += 1
+        assert sum(words.values()) == 1.5 * sum(once.values())
+        assert all(once[w] <= words[w] <= 2 * once[w] for w in once)
+
+
 # --- pieces -----------------------------------------------------------------------------
 
 def viterbi(table, word):

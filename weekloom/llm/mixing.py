@@ -10,7 +10,8 @@ is cut to the words that are left.
 
 Defined results: null or wordless texts have size 0 and nothing taken; a null source is a
 source of its own, ordered last; a table without words has targets of 0; repeated rows are
-documents of their own; documents of a source with equal ids follow in order of size. Every
+documents of their own; documents of a source with equal ids follow in order of size, then
+of a digest of all their columns. Every
 draw depends on stated seeds and row contents alone, so reruns agree.
 """
 
@@ -32,9 +33,14 @@ PRIMES = (104729, 224737, 350377, 479909, 611953, 746773, 882377, 1020379)
 SEED = 20240229
 
 
+def row_key(docs: DataFrame) -> Column:
+    """A digest of all columns: rows that share it are equal."""
+    return F.unhex(F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
+
+
 def sized(docs: DataFrame) -> DataFrame:
-    """doc_id, source, size (words) per row."""
-    return docs.select("doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"))
+    """doc_id, source, size (words), row_key per row."""
+    return docs.select("doc_id", "source", F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long").alias("size"), row_key(docs).alias("row_key"))
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float = SHARE, most: int = ROUNDS) -> DataFrame:
@@ -62,18 +68,18 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, share: float =
 
 
 def packed(sizes: DataFrame) -> DataFrame:
-    """Each row's place in its source: adds chunk, row_no and offset, in order of (chunk, doc_id, size).
+    """Each row's place in its source: adds chunk, row_no and offset, in order of (chunk, doc_id, size, row_key).
 
     Chunks are summed first, so no task numbers more than one chunk of a source.
     """
     rows = sizes.withColumn("chunk", F.coalesce(F.pmod("doc_id", F.lit(CHUNKS)), F.lit(CHUNKS)))
-    inner = Window.partitionBy("source", "chunk").orderBy("doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inner = Window.partitionBy("source", "chunk").orderBy("doc_id", "size", "row_key").rowsBetween(Window.unboundedPreceding, 0)
     outer = Window.partitionBy("source").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     bases = rows.groupBy("source", "chunk").agg(F.sum("size").alias("n")).select(
         F.col("source").alias("s"), F.col("chunk").alias("c"), F.coalesce(F.sum("n").over(outer), F.lit(0)).alias("base"))
     placed = rows.withColumns({"row_no": F.row_number().over(inner), "inner": F.sum("size").over(inner) - F.col("size")})
     return placed.join(bases, F.col("source").eqNullSafe(F.col("s")) & (F.col("chunk") == F.col("c"))).select(
-        "doc_id", "source", "size", "chunk", "row_no", (F.col("base") + F.col("inner")).alias("offset"))
+        "doc_id", "source", "size", "row_key", "chunk", "row_no", (F.col("base") + F.col("inner")).alias("offset"))
 
 
 def multiplier(n_blocks: Column, source_no: Column) -> Column:
@@ -161,23 +167,15 @@ def taken(docs: DataFrame, **options) -> DataFrame:
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: a row per piece with docs' columns; text holds the piece's words with the white space after each.
 
-    Rows equal in doc_id, source and size count as copies of one text.
+    Rows equal in all columns count as copies of one.
     """
-    def keyed(rows: DataFrame, source: str) -> DataFrame:
-        return rows.withColumns({"_doc": F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
-                                 "_source": F.coalesce(F.concat(F.lit("="), F.col(source)), F.lit(""))})
-
-    key = ["_doc", "_source", "_size"]
     rows, goals, pieces = takes(docs, **options)
     placed = packed(rows).withColumnRenamed("source", "s").join(goals, F.col("s").eqNullSafe(F.col("source")))
-    placed = keyed(placed.withColumn("_size", F.col("size")), "s")
-    cuts = placed.join(pieces, ["source_no", "chunk", "row_no"]).groupBy(*key).agg(
+    cuts = placed.join(pieces, ["source_no", "chunk", "row_no"]).groupBy(F.col("row_key").alias("_row")).agg(
         F.sort_array(F.collect_list(F.struct("shard", "slot", "first", "n"))).alias("_cuts"))
-    size = F.regexp_count(text_or_empty(), F.lit(WORD)).cast("long")
-    full = keyed(docs.withColumn("_size", size).where("_size > 0"), "source")
-    full = full.groupBy(*key).agg(*[F.first(c).alias(c) for c in docs.columns])
+    full = docs.withColumn("_row", row_key(docs)).groupBy("_row").agg(*[F.first(c).alias(c) for c in docs.columns])
     words = F.regexp_extract_all(F.col("text"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    cut = full.join(cuts, key).withColumn("_words", words).withColumn("_cut", F.explode("_cuts"))
+    cut = full.join(cuts, "_row").withColumn("_words", words).withColumn("_cut", F.explode("_cuts"))
     text = F.array_join(F.slice("_words", (F.col("_cut.first") + 1).cast("int"), F.col("_cut.n").cast("int")), "")
     out = cut.withColumn("text", text)
     if "n_chars" in docs.columns:
