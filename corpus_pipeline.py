@@ -12,21 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.llm import mixing, near_text, pieces, privacy, toxicity
-from weekloom.llm.common import stored, table
+from weekloom.llm.common import stored, table, text_or_empty
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that aren't predicted to be toxic."""
+    """Documents whose text isn't predicted to be toxic; a text's prediction is the same under every id."""
     scored = toxicity.score(docs, table(spark, sf_dir, "labels"))
-    rejected = scored.where("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*docs.columns)
+    rejected = scored.where("predicted = 1").select(F.col("text_key").alias("_key")).distinct()
+    return docs.withColumn("_key", F.unhex(F.md5(text_or_empty()))).join(rejected, "_key", "left_anti").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id; of rows that repeat an id, one."""
-    others = near_text.joined(docs).where("NOT kept").select("doc_id").distinct()
-    rest = docs.join(others, "doc_id", "left_anti").withColumn("_unnamed", F.when(F.col("doc_id").isNull(), F.col("text")))
-    return rest.dropDuplicates(["doc_id", "_unnamed"]).select(*docs.columns)
+    """One document of each group of near copies, that with the smallest id (null last); of rows with equal id and text, one."""
+    rows = docs.withColumn("_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
+    linked = near_text.joined(rows.select(F.col("_key").alias("doc_id"), "text"))
+    groups = linked.groupBy(F.col("doc_id").alias("_key")).agg(F.min("component_id").alias("group"))
+    ids = rows.groupBy("_key").agg(F.min("doc_id").alias("id"))
+    first = F.min(F.struct(F.col("id").isNull(), "id", "_key"))["_key"]
+    heads = groups.join(ids, "_key").groupBy("group").agg(first.alias("_key")).select("_key")
+    return rows.join(heads, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

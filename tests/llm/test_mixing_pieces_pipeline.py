@@ -205,6 +205,20 @@ def test_stages_have_their_effect(spark, planted):
     assert abs(sum(taken.values()) - 1.5 * sum(size.values())) <= 1 and all(n <= 2 * size[i] for i, n in taken.items())
 
 
+def test_rows_are_dropped_one_by_one(spark, planted):
+    """Null and repeated ids: a decision holds for the rows it was made for."""
+    folder, texts, toxic = planted
+    first = spark.read.parquet(f"{folder}/documents.parquet")
+    more = documents(spark, [texts[10], texts[2] + " end", texts[0], texts[4] + " fine", "quite other words stand in this one text"])
+    more = more.withColumn("doc_id", F.element_at(F.array(F.lit(None), F.lit(None), F.lit(7), F.lit(None), F.lit(9)), (F.col("doc_id") + 1).cast("int")).cast("long"))
+    kept = corpus_pipeline.drop_toxic(spark, first.union(more), folder)
+    clean = [t for i, t in enumerate(texts) if i not in toxic] + [texts[2] + " end", texts[4] + " fine", "quite other words stand in this one text"]
+    assert sorted(r.text for r in kept.collect()) == sorted(clean)
+    single = corpus_pipeline.drop_near_copies(spark, kept, folder)
+    left = [t for i, t in enumerate(texts) if i not in toxic | {201, 203}] + ["quite other words stand in this one text"]
+    assert sorted(r.text for r in single.collect()) == sorted(left)
+
+
 def test_run_applies_all_stages(spark, planted):
     folder, texts, toxic = planted
     rows = corpus_pipeline.run(spark, folder).collect()

@@ -85,7 +85,7 @@ def telling_words(docs: DataFrame, marked: DataFrame, chi_square: float, most: i
 
 
 def vectors(docs: DataFrame, vocabulary: Iterable[str]) -> DataFrame:
-    """doc_id, terms, counts: which words of the vocabulary a text holds how often."""
+    """doc_id, text_key (digest of the text), terms, counts: which words of the vocabulary a text holds how often."""
     places = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
 
     def work(batches):
@@ -97,10 +97,11 @@ def vectors(docs: DataFrame, vocabulary: Iterable[str]) -> DataFrame:
                 terms.append([t for t, _ in rows])
                 counts.append([n for _, n in rows])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
-                names=["doc_id", "terms", "counts"])
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
+                names=["doc_id", "text_key", "terms", "counts"])
 
-    return map_batches(docs.select("doc_id", text_or_empty().alias("text")), work, "doc_id long, terms array<int>, counts array<int>")
+    rows = docs.select("doc_id", F.unhex(F.md5(text_or_empty())).alias("text_key"), text_or_empty().alias("text"))
+    return map_batches(rows, work, "doc_id long, text_key binary, terms array<int>, counts array<int>")
 
 
 class Index:
@@ -240,7 +241,7 @@ def own_votes(spark: SparkSession, index: Index, examples: list, neighbours: int
 
 def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None, neighbours: int = NEIGHBOURS,
           threshold: float = THRESHOLD, **options) -> DataFrame:
-    """doc_id, score, predicted and evidence (the three nearest examples) for each row of docs (doc_id, text)."""
+    """doc_id, text_key, score, predicted and evidence (the three nearest examples) for each row of docs (doc_id, text)."""
     found, index, calibration, silent = fit(
         docs, labels, F.lit(True) if learn is None else learn, neighbours=neighbours, **options)
     model = docs.sparkSession.sparkContext.broadcast((index, calibration))
@@ -262,8 +263,8 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None, neigh
                 scores.append(known[key][0])
                 evidence.append(known[key][1])
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("toxic", pa.int32())]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
-                                             names=["doc_id", "score", "evidence"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(scores, pa.float64()), pa.array(evidence, kind)],
+                                             names=["doc_id", "text_key", "score", "evidence"])
 
-    scored = map_batches(found, work, f"doc_id long, score double, evidence {EVIDENCE}")
-    return scored.select("doc_id", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
+    scored = map_batches(found, work, f"doc_id long, text_key binary, score double, evidence {EVIDENCE}")
+    return scored.select("doc_id", "text_key", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "evidence")
