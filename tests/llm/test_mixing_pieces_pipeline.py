@@ -151,6 +151,16 @@ def test_pieces_equal_a_plain_viterbi(spark):
     assert back == {i: t or "" for i, t in enumerate(texts)}
 
 
+def test_long_words_are_solved_whole(spark):
+    """Pieces that span the 512th character, in words of its length and beyond."""
+    table = pieces.pieces()
+    texts = ["understandingthestreet" * 30, "x" * 505 + "understanding" * 60, "日本語ster" * 200, "a" * 511, "a" * 512, "short " + "Enheit" * 300]
+    for r in pieces.encode(documents(spark, texts)).collect():
+        uncut = re.findall("▁[^▁]*", "▁" + texts[r.doc_id].replace(" ", "▁"))
+        assert r.ids == [i for w in uncut for i in viterbi(table, w)]
+        assert table.decode(r.ids).decode() == texts[r.doc_id]
+
+
 def test_best_paths_have_the_library_s_score():
     import public_tokenizers
     import sentencepiece

@@ -11,8 +11,10 @@ own, scored below every piece, and is spelled by byte pieces.
 Words travel as one string per chunk of documents and bucket of words, so the shuffles
 carry each chunk's different words, not every occurrence; texts travel once, compressed.
 
-Defined results: a null or empty text has no pieces and decodes to an empty text; a word
-of more than 512 characters is cut there; a mark that stands in a text itself is read as a
+Words of more than 512 characters, for which the fold would copy long arrays, go through the
+same pass as a loop where their text is assembled; their paths are the best over the whole word.
+
+Defined results: a null or empty text has no pieces and decodes to an empty text; a mark that stands in a text itself is read as a
 space, as the library does; every other text decodes to itself; repeated rows are each
 encoded; null ids stay null; empty tables give no rows; other columns are ignored.
 """
@@ -33,6 +35,7 @@ from weekloom.llm.common import map_batches, text_or_empty, tokenizer_path
 
 MODEL = "piece_bpe_32k.model"
 MARK = "▁"
+#: Longer words are solved by a loop instead of the fold.
 LONGEST_WORD = 512
 #: Added to the lowest score for a character that is no piece.
 UNKNOWN_SCORE = -10.0
@@ -61,11 +64,32 @@ class Pieces:
         self.sizes = np.array([len(t) for t in self.texts])
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.joined = np.frombuffer(b"".join(self.texts), np.uint8)
+        self.known = {p: (i, s) for p, i, s in self.rows}
         self.unknown = min(s for _, _, s in self.rows) + UNKNOWN_SCORE
         spanning = [p for p, _, _ in self.rows if MARK in p.lstrip(MARK) or "\n" in p]
         if spanning or len(self.bytes) < 256:
             raise ValueError("the model needs byte pieces and none that spans two words")
 
+    def best(self, word: str) -> list[int]:
+        """What the fold gives, in time and memory that grow with the word's length."""
+        scores, edges = [0.0], [(-1, 0)]
+        for stop in range(1, len(word) + 1):
+            most, edge = float("-inf"), None
+            for start in range(max(0, stop - self.longest), stop):
+                part = word[start:stop]
+                found = self.known.get(part)
+                if found is None and stop - start == 1:
+                    found = (-1 - ord(part), self.unknown)
+                if found is not None and scores[start] + found[1] > most:
+                    most, edge = scores[start] + found[1], (start, found[0])
+            scores.append(most)
+            edges.append(edge)
+        ids, at = [], len(word)
+        while at:
+            at, i = edges[at]
+            ids.append(i)
+        return self.spelled(ids[::-1])
+
     def spelled(self, ids: list[int]) -> list[int]:
         """Edges of unknown characters, below 0 by their code point, as byte pieces."""
         if min(ids) >= 0:
@@ -94,10 +118,7 @@ def pieces(name: str = MODEL) -> Pieces:
 def words(text: str) -> list[str]:
     if not text:
         return []
-    found = _WORDS.findall(MARK + text.replace(" ", MARK))
-    if max(map(len, found)) <= LONGEST_WORD:
-        return found
-    return [w[i : i + LONGEST_WORD] for w in found for i in range(0, len(w), LONGEST_WORD)]
+    return _WORDS.findall(MARK + text.replace(" ", MARK))
 
 
 # --- the lattice ----------------------------------------------------------------------
@@ -156,9 +177,9 @@ def solved(rows: DataFrame, model: str = MODEL) -> DataFrame:
 # --- documents ------------------------------------------------------------------------
 
 def _by_bucket(split: list[list[str]], buckets: int) -> dict[int, list[str]]:
-    """Different words of split texts, sorted, by bucket."""
+    """Different words of split texts but the longest, sorted, by bucket."""
     out: dict[int, list[str]] = {}
-    for word in sorted(set().union(*split)):
+    for word in sorted(w for w in set().union(*split) if len(w) <= LONGEST_WORD):
         out.setdefault(zlib.crc32(word.encode("utf-8", "surrogatepass")) % buckets, []).append(word)
     return out
 
@@ -217,6 +238,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             ends = np.cumsum(np.frombuffer(data, np.uint16, n, 4)).tolist()
             ids = data[4 + 2 * n :]
             known.update((w, ids[4 * a : 4 * b]) for w, a, b in zip(asked[bucket], [0, *ends], ends))
+        known.update((w, np.array(table.best(w), np.int32).tobytes()) for w in set().union(*split) if len(w) > LONGEST_WORD)
         found = [np.frombuffer(b"".join([known[w] for w in s]), np.int32) for s in split]
         digests = [hashlib.sha256(table.decode(f)).hexdigest() for f in found]
         offsets = np.concatenate([[0], np.cumsum([len(f) for f in found])]).astype(np.int32)
