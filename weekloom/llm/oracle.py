@@ -104,5 +104,42 @@ FROM embeddings e JOIN component c ON c.a = e.vec_id LEFT JOIN counts n ON n.a =
 """
 
 
+LINE_RULES = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents
+), words AS (
+    SELECT row_no, doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w, text FROM texts
+), grams AS (
+    SELECT row_no, unnest(range(1, len(w) - 1)) AS i, unnest([w[i:i + 2] for i in range(1, len(w) - 1)]) AS g FROM words WHERE len(w) > 3
+), twice AS (
+    SELECT row_no, i FROM grams QUALIFY count(*) OVER (PARTITION BY row_no, g) > 1
+), repeats AS (
+    SELECT row_no, count(DISTINCT i + d) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS d) GROUP BY row_no
+), split AS (
+    SELECT row_no, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS line_no FROM texts
+), lines AS (
+    SELECT row_no, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n, len(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars,
+        len(regexp_extract_all(line, '[|»·•>]')) AS separators, len(regexp_extract_all(line, '[!?#*$%&<>|~^_=+\\]')) AS marks,
+        row_number() OVER (PARTITION BY row_no, line ORDER BY line_no) > 1 AS earlier
+    FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), losses AS (
+    SELECT row_no, CAST(count(*) FILTER (earlier) AS BIGINT) AS n_dup_lines, coalesce(CAST(sum(chars) FILTER (
+            separators >= 3 AND 4 * separators >= n OR marks >= 4 AND marks >= n
+            OR n < 4 AND NOT regexp_matches(line, '[.!?…:;"''”’»)\]。！？][\x20\x09-\x0D]*$') OR earlier
+            OR regexp_matches(line, '(?i)all rights reserved|copyright|terms of (use|service)|privacy policy|cookie|javascript|subscribe|sign (in|up)'
+                || '|log ?in\b|click here|powered by|lorem ipsum|licensed under|released under the|©')) AS BIGINT), 0) AS lost_chars
+    FROM lines GROUP BY row_no
+), measured AS (
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(array_to_string(w, '')) AS BIGINT) AS word_chars,
+        CAST(len(regexp_extract_all(text, '[#*$%&|<>]')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+        CAST(coalesce(r.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lost_chars, 0) AS lost_chars
+    FROM words LEFT JOIN repeats r USING (row_no) LEFT JOIN losses USING (row_no)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+    NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND lost_chars <= 0.5 * word_chars AS kept
+FROM measured
+"""
+
+
 def all_sql() -> dict[str, str]:
-    return {"op2_near_vectors": NEAR_VECTORS, "op4_ngram_join": NEAR_TEXT, "op9_source_mixing": MIXING}
+    return {"op2_near_vectors": NEAR_VECTORS, "op4_ngram_join": NEAR_TEXT, "op9_source_mixing": MIXING, "op13_line_rules": LINE_RULES}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import language, mixing, near_text, near_vectors, oracle, pieces, privacy, token_counts, token_file, toxicity, winnow
+from weekloom.llm import language, line_rules, mixing, near_text, near_vectors, oracle, pieces, privacy, token_counts, token_file, toxicity, winnow
 from weekloom.llm.common import crc_mod, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,10 +60,14 @@ def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.spans_of(table(spark, sf_dir, "documents"))
 
 
+def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.cleaned(table(spark, sf_dir, "documents")).drop("clean_text", "faults")
+
+
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_language, op2_near_vectors, op3_token_counts, op4_ngram_join, op5_pieces, op6_fingerprints, op7_token_file, op8_toxicity, op9_source_mixing,
-        op10_private_data,
+        op10_private_data, op13_line_rules,
     )}
 
 
