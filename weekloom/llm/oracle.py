@@ -104,6 +104,57 @@ FROM embeddings e JOIN component c ON c.a = e.vec_id LEFT JOIN counts n ON n.a =
 """
 
 
+HARD_NEGATIVES = """
+WITH vectors AS (
+    SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+        [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS v
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_inner_product(a.v, b.v) AS BIGINT) AS score
+    FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+), positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+    vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+PREFIX_TRIE = """
+WITH turns AS (
+    SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')} ORDER BY turn NULLS FIRST,
+        sha256(concat(len(coalesce(role, '')), ':', role, text))) AS own
+    FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+), counted AS (
+    SELECT *, xor(list_reduce([ord(x) for x in string_split(CAST(conv_id AS VARCHAR), '')], lambda c, b: list_reduce(range(8),
+        lambda d, i: CASE WHEN d & 1 = 1 THEN xor(d >> 1, 3988292384) ELSE d >> 1 END, xor(c, CAST(b AS BIGINT))), 4294967295), 4294967295) % 6 AS h
+    FROM turns
+), rebuilt AS (
+    SELECT c.conv_id, list_concat(coalesce(b.own, [])[1:c.h], c.own[c.h + 1:]) AS s
+    FROM counted c LEFT JOIN turns b ON b.conv_id = c.conv_id - c.conv_id % 100
+), prefixes AS (
+    SELECT conv_id, unnest(range(len(s) + 1)) AS depth, s FROM rebuilt
+), nodes AS (
+    SELECT s[1:depth] AS p, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+        string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(s) = depth) AS ends
+    FROM prefixes GROUP BY ALL
+), children AS (
+    SELECT p[1:depth - 1] AS p, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY ALL
+), valued AS (
+    SELECT nodes.*, coalesce(c.n, 0) AS n_children, CASE WHEN depth > 0 THEN (n_convs - 1) * len(nodes.p[-1].t) ELSE 0 END AS own
+    FROM nodes LEFT JOIN children c ON c.p = nodes.p
+), upward AS (
+    SELECT p[1:a] AS p, CAST(sum(own) AS BIGINT) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+    FROM (SELECT *, unnest(range(depth + 1)) AS a FROM valued) GROUP BY ALL
+)
+SELECT v.conv_id, v.depth, u.conv_id AS parent_conv_id, v.n_convs, v.n_children, w.n_leaves, w.saved_tokens,
+    sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM valued v JOIN upward w ON w.p = v.p LEFT JOIN nodes u ON u.p = v.p[1:v.depth - 1] AND v.depth = u.depth + 1
+"""
+
 LINE_RULES = r"""
 WITH texts AS (
     SELECT row_number() OVER () AS row_no, doc_id, coalesce(text, '') AS text FROM documents
@@ -142,4 +193,4 @@ FROM measured
 
 
 def all_sql() -> dict[str, str]:
-    return {"op2_near_vectors": NEAR_VECTORS, "op4_ngram_join": NEAR_TEXT, "op9_source_mixing": MIXING, "op13_line_rules": LINE_RULES}
+    return {"op2_near_vectors": NEAR_VECTORS, "op4_ngram_join": NEAR_TEXT, "op9_source_mixing": MIXING, "op11_prefix_trie": PREFIX_TRIE, "op12_hard_negatives": HARD_NEGATIVES, "op13_line_rules": LINE_RULES}

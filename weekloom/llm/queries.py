@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import language, line_rules, mixing, near_text, near_vectors, oracle, pieces, privacy, token_counts, token_file, toxicity, winnow
+from weekloom.llm import hard_negatives, language, line_rules, mixing, near_text, near_vectors, oracle, pieces, prefix_trie, privacy, token_counts, token_file, toxicity, winnow
 from weekloom.llm.common import crc_mod, new_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +61,21 @@ def op10_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return privacy.spans_of(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nodes, ends = prefix_trie.trie(table(spark, sf_dir, "conversations"), heads=6)
+    digests = prefix_trie.end_digests(ends)
+    nothing = F.lit(hashlib.sha256().hexdigest())
+    return nodes.join(digests, prefix_trie.KEY, "left").select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", nothing).alias("ends_sha256"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.col("label").cast("long")
+    vectors = table(spark, sf_dir, "embeddings").select(
+        "vec_id", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label).alias("label"), "embedding")
+    return hard_negatives.mine(vectors, F.col("vec_id") % 100 == 0)
+
+
 def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.cleaned(table(spark, sf_dir, "documents")).drop("clean_text", "faults")
 
@@ -67,7 +83,7 @@ def op13_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def llm_queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_language, op2_near_vectors, op3_token_counts, op4_ngram_join, op5_pieces, op6_fingerprints, op7_token_file, op8_toxicity, op9_source_mixing,
-        op10_private_data, op13_line_rules,
+        op10_private_data, op11_prefix_trie, op12_hard_negatives, op13_line_rules,
     )}
 
 
