@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,9 +19,9 @@ from weekloom.operators.features import attach_codes, category_codes
 from weekloom.operators.scoring import (
     actual_rows, forecast_rows, future_rows, gate_log, holdout_rows, test_weeks,
 )
-from weekloom.session import shared_folder
+from weekloom.session import scratch_path, shared_folder
+from weekloom.sources.tables import finished
 
-MISSING = -1.0
 PARALLEL_FITS = 4
 ALWAYS_KNOWN = {"STORE_NBR", "WEEK_OF_YEAR", "MONTH", "FAMILY_CODE", "STORE_TYPE_CODE"}
 
@@ -35,30 +35,55 @@ class Boosting:
     rate: float = LEARNING_RATE
     rows: float = ROW_SAMPLE
     columns: str = COLUMN_SAMPLE
-    bins: int = 64
+    bins: int = 256
     seed: int = 7
 
 
-def model_rows(features: DataFrame) -> DataFrame:
-    """Keys, label and the model vector.
+def model_rows(features: DataFrame, bins: int = 256, n_weeks: int = TEST_WEEKS) -> DataFrame:
+    """Keys, label and the model vector, binned once for all fits.
 
-    Spark trees reject missing values, so a missing input becomes a constant
-    plus a 0/1 marker. Category codes enter as plain numbers.
+    Each input becomes the number of its bin; bins are quantiles of the trainable rows before the newest
+    ``n_weeks`` weeks (of all trainable rows, if there are no earlier ones), so no backtest sees its own weeks.
+    Spark's trees reject missing values: an input that can be missing enters twice, with missing values
+    below all bins and above all of them. A split on either copy sends them left or right, whichever fits
+    better, as a learned default direction does. Category codes enter as numbers.
     """
     coded = features
     for column, name in [("FAMILY", "FAMILY_CODE"), ("STORE_TYPE", "STORE_TYPE_CODE")]:
         coded = attach_codes(coded, column, category_codes(features, column), name)
-    nullable = [c for c in MODEL_INPUTS if c not in ALWAYS_KNOWN]
-    inputs = [F.coalesce(F.col(c).cast("double"), F.lit(MISSING)).alias(f"X_{c}") for c in MODEL_INPUTS]
-    markers = [F.col(c).isNull().cast("double").alias(f"NO_{c}") for c in nullable]
     wide = coded.select(
-        *KEYS, "SALES", "IS_FUTURE", "SALES_LAG_52", to_log_scale(F.col("SALES")).alias("LABEL"), *inputs, *markers
+        *KEYS, "SALES", "IS_FUTURE", "SALES_LAG_52", to_log_scale(F.col("SALES")).alias("LABEL"),
+        *(F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))).alias(f"X_{c}") for c in MODEL_INPUTS),
     )
-    names = [f"X_{c}" for c in MODEL_INPUTS] + [f"NO_{c}" for c in nullable]
-    vectors = VectorAssembler(inputCols=names, outputCol="INPUTS").transform(wide)
+    inputs = [f"X_{c}" for c in MODEL_INPUTS]
+    splits = bin_edges(wide, inputs, bins, n_weeks)
+    numbers = [f"BIN_{c}" for c in MODEL_INPUTS]
+    binned = Bucketizer(inputCols=inputs, outputCols=numbers, splitsArray=splits, handleInvalid="keep").transform(wide)
+    missing = {c: F.col(f"BIN_{c}") == len(edges) - 1 for c, edges in zip(MODEL_INPUTS, splits)}
+    above = {c: (F.col(f"BIN_{c}") / (len(edges) - 1)).alias(f"HIGH_{c}") for c, edges in zip(MODEL_INPUTS, splits)}
+    below = [F.when(missing[c], -1.0).otherwise(F.col(f"BIN_{c}")).alias(f"LOW_{c}") for c in MODEL_INPUTS]
+    twice = binned.select(*KEYS, "SALES", "IS_FUTURE", "SALES_LAG_52", "LABEL", *below, *(above[c] for c in nullable_inputs()))
+    names = [f"LOW_{c}" for c in MODEL_INPUTS] + [f"HIGH_{c}" for c in nullable_inputs()]
+    vectors = VectorAssembler(inputCols=names, outputCol="INPUTS").transform(twice)
     return vectors.select(*KEYS, "SALES", "IS_FUTURE", "SALES_LAG_52", "LABEL", "INPUTS")
 
 
+def nullable_inputs() -> list[str]:
+    return [c for c in MODEL_INPUTS if c not in ALWAYS_KNOWN]
+
+
+def bin_edges(wide: DataFrame, inputs: list[str], bins: int, n_weeks: int) -> list[list[float]]:
+    """Splits of each input, from quantile sketches: at most ``bins`` bins, their ends open."""
+    first_test = F.date_sub(actual_rows(wide).agg(F.max("WEEK_START")).scalar(), 7 * (n_weeks - 1))
+    history = trainable(wide)
+    shares = [i / bins for i in range(1, bins)]
+    for rows in (history.where(F.col("WEEK_START") < first_test), history):
+        found = rows.approxQuantile(inputs, shares, 0.25 / bins)
+        if any(found):
+            break
+    return [[float("-inf"), *(sorted(set(edges)) or [0.0]), float("inf")] for edges in found]
+
+
 def trainable(rows: DataFrame) -> DataFrame:
     """Actual rows that have last year's value."""
     return actual_rows(rows).where(F.col("SALES_LAG_52").isNotNull() & F.col("SALES").isNotNull())
@@ -69,7 +94,7 @@ def fit(train: DataFrame, size: Boosting = Boosting()) -> GBTRegressionModel:
     shared_folder(train.sparkSession)  # boosting cuts its lineage with checkpoints
     regressor = GBTRegressor(
         featuresCol="INPUTS", labelCol="LABEL", predictionCol="LOG_PRED", maxIter=size.trees, maxDepth=size.depth,
-        stepSize=size.rate, subsamplingRate=size.rows, featureSubsetStrategy=size.columns, maxBins=size.bins,
+        stepSize=size.rate, subsamplingRate=size.rows, featureSubsetStrategy=size.columns, maxBins=size.bins + 2,
         seed=size.seed, checkpointInterval=10,
     )
     data = train.select("LABEL", "INPUTS").persist(StorageLevel.MEMORY_AND_DISK)
@@ -84,38 +109,49 @@ def predict(model: GBTRegressionModel, rows: DataFrame, column: str = "PRED_GBT"
 
 
 def importance(spark: SparkSession, model: GBTRegressionModel) -> DataFrame:
-    """Input name and importance (a marker counts towards its input), ascending.
+    """Input name and importance (of both copies, if there are two), ascending.
 
     At most one row per model input; its size does not depend on the data.
     """
-    nullable = [c for c in MODEL_INPUTS if c not in ALWAYS_KNOWN]
     weights = model.featureImportances.toArray()
-    rows = [(name, float(w)) for name, w in zip(MODEL_INPUTS + nullable, weights)]
+    rows = [(name, float(w)) for name, w in zip(MODEL_INPUTS + nullable_inputs(), weights)]
     table = spark.createDataFrame(rows, "FEATURE string, IMPORTANCE double")
     return table.groupBy("FEATURE").agg(F.sum("IMPORTANCE").alias("IMPORTANCE")).orderBy("IMPORTANCE", "FEATURE")
 
 
-def backtest(rows: DataFrame, size: Boosting = Boosting(), n_weeks: int = TEST_WEEKS) -> DataFrame:
+def backtest(
+    rows: DataFrame, size: Boosting = Boosting(), n_weeks: int = TEST_WEEKS, folder: str | None = None
+) -> DataFrame:
     """One-week-ahead predictions for the newest weeks, refitted per week.
 
-    At most ``n_weeks`` dates, several at a time; every fit and prediction is a distributed
-    job on rows strictly before the predicted week. ``rows`` should be stored.
+    At most ``n_weeks`` dates, several at a time, each in a scheduler pool of its own; every fit and
+    prediction is a distributed job on rows strictly before the predicted week. ``rows`` should be stored.
+    Each origin's model and predictions are stored under ``folder``; a sweep that was cut off goes on from
+    the finished ones. A folder belongs to one state of the data; other sizes have folders of their own.
     """
+    spark = rows.sparkSession
     actuals = actual_rows(rows)
     weeks = sorted(r[0] for r in test_weeks(actuals, n_weeks).collect())
     if not weeks:
         raise ValueError("no weeks to backtest")
-
-    def one(week):
-        model = fit(trainable(rows).where(F.col("WEEK_START") < F.lit(week)), size)
-        return predict(model, actuals.where(F.col("WEEK_START") == F.lit(week)))
+    base = f"{(folder or scratch_path(spark, 'sweep')).rstrip('/')}/{'-'.join(str(v) for v in vars(size).values())}"
+
+    def one(week) -> str:
+        out = f"{base}/predictions/{week}"
+        if not finished(spark, out):
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"origin-{week}")
+            try:
+                model = fit(trainable(rows).where(F.col("WEEK_START") < F.lit(week)), size)
+                model.write().overwrite().save(f"{base}/models/{week}")
+                predicted = predict(model, actuals.where(F.col("WEEK_START") == F.lit(week)))
+                predicted.select(*KEYS, "SALES", "PRED_GBT").write.mode("overwrite").parquet(out)
+            finally:
+                spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+        return out
 
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
         parts = list(pool.map(one, weeks))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out.select(*KEYS, "SALES", "PRED_GBT")
+    return spark.read.parquet(*parts)
 
 
 def gate(rows: DataFrame, run_ts: str, threshold: float, size: Boosting = Boosting()) -> DataFrame:

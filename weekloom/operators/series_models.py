@@ -15,28 +15,33 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weekloom import fixed_values
 from weekloom.fixed_values import FOURIER_ORDER, KEYS, SEASON_WEEKS, SERIES
+from weekloom.operators import fourier_arima, trend_season
 from weekloom.operators.scoring import test_weeks
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
+for module in (sys.modules[__name__], fourier_arima, trend_season, fixed_values):
+    cloudpickle.register_pickle_by_value(module)  # executors need not have this package
 
-RIDGE = 1.0
-LONG_AR = 4
 RESULT = "STORE_NBR bigint, FAMILY string, WEEK_START date, PRED double, ERROR string"
 
 
 def backtest_arima(rows: DataFrame, weeks: DataFrame | None = None) -> DataFrame:
-    """ARIMA(1,1,1) errors with yearly Fourier terms, one week ahead."""
-    return _backtest(rows, weeks, _arima_step)
+    """ARIMA(1,1,1) errors with yearly Fourier terms by exact likelihood, one week ahead."""
+    return _backtest(rows, weeks, _arima, 2 * fourier_arima.LONG_AR + 2 * FOURIER_ORDER + 4)
 
 
 def backtest_trend_season(rows: DataFrame, weeks: DataFrame | None = None) -> DataFrame:
-    """Trend, yearly season, promotions and holidays by ridge regression."""
-    return _backtest(rows, weeks, _trend_step)
+    """Piecewise linear trend, yearly season, promotions and holidays, one week ahead."""
+    return _backtest(rows, weeks, trend_season.forecasts, 2)
 
 
-def _backtest(rows: DataFrame, weeks: DataFrame | None, step: Callable) -> DataFrame:
-    """KEYS, PRED (floored at 0; NULL when the fit failed) and ERROR per test week."""
+def _backtest(rows: DataFrame, weeks: DataFrame | None, model: Callable, least: int) -> DataFrame:
+    """KEYS, PRED (floored at 0; NULL when the fit failed) and ERROR per test week.
+
+    ``model`` (sales, days, regressors, origins) predicts each origin from the rows before it; an origin
+    needs ``least`` of them.
+    """
     weeks = test_weeks(rows) if weeks is None else weeks
     amounts = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ("PROMO_ITEMS", "HOLIDAY_DAYS")]
     flagged = rows.select(*KEYS, F.unix_date("WEEK_START").alias("DAY"), "SALES", *amounts).join(
@@ -45,11 +50,10 @@ def _backtest(rows: DataFrame, weeks: DataFrame | None, step: Callable) -> DataF
 
     def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
         order = np.argsort(pdf["DAY"].to_numpy())
-        y = pdf["SALES"].to_numpy(float)[order]
+        days, y = pdf["DAY"].to_numpy(float)[order], pdf["SALES"].to_numpy(float)[order]
         regressors = np.column_stack([pdf[c].to_numpy()[order] for c in ("PROMO_ITEMS", "HOLIDAY_DAYS")])
-        season = _season(len(y))
         tests = np.flatnonzero(pdf["IS_TEST"].to_numpy()[order])
-        results = [_guarded(step, y, season, regressors, i) for i in tests]
+        results = _guarded(model, y, days, regressors, tests.tolist(), least)
         columns = {c: pdf[c].to_numpy()[order][tests] for c in KEYS}
         return pd.DataFrame({**columns, "PRED": [p for p, _ in results], "ERROR": [e for _, e in results]})
 
@@ -57,15 +61,25 @@ def _backtest(rows: DataFrame, weeks: DataFrame | None, step: Callable) -> DataF
 
 
 def _guarded(
-    step: Callable, y: np.ndarray, season: np.ndarray, regressors: np.ndarray, i: int
-) -> tuple[float | None, str | None]:
+    model: Callable, y: np.ndarray, days: np.ndarray, regressors: np.ndarray, origins: list[int], least: int
+) -> list[tuple[float | None, str | None]]:
+    """(prediction, error) per origin. A history that cannot be fitted fails its own origins only."""
+    long = [i for i in origins if i >= least]
+    found: dict[int, tuple[float | None, str | None]] = dict.fromkeys(origins, (None, "too few weeks"))
     try:
-        value = float(step(y, season, regressors, i))
-        if not np.isfinite(value):
-            return None, "fit is not finite"
-        return max(value, 0.0), None
-    except (ValueError, np.linalg.LinAlgError) as problem:
-        return None, str(problem)
+        values = model(y, days, regressors, long) if long else []
+        found |= {i: _checked(v) for i, v in zip(long, values)}
+    except (ValueError, np.linalg.LinAlgError):
+        for i in long:
+            try:
+                found[i] = _checked(model(y, days, regressors, [i])[0])
+            except (ValueError, np.linalg.LinAlgError) as problem:
+                found[i] = None, str(problem)
+    return [found[i] for i in origins]
+
+
+def _checked(value: float) -> tuple[float | None, str | None]:
+    return (max(float(value), 0.0), None) if np.isfinite(value) else (None, "fit is not finite")
 
 
 def _season(n: int) -> np.ndarray:
@@ -74,38 +88,5 @@ def _season(n: int) -> np.ndarray:
     return np.hstack([np.sin(angle), np.cos(angle)])
 
 
-def _trend_step(y: np.ndarray, season: np.ndarray, regressors: np.ndarray, i: int) -> float:
-    if i < 2:
-        raise ValueError("too few weeks")
-    t = np.arange(i + 1)
-    x = np.column_stack([t / i, season[: i + 1], regressors[: i + 1]])
-    centre = x[:i].mean(axis=0)
-    spread = x[:i].std(axis=0)
-    z = (x - centre) / np.where(spread > 0, spread, 1.0)
-    level = y[:i].mean()
-    gram = z[:i].T @ z[:i] + RIDGE * np.eye(z.shape[1])
-    return level + z[i] @ np.linalg.solve(gram, z[:i].T @ (y[:i] - level))
-
-
-def _arima_step(y: np.ndarray, season: np.ndarray, _: np.ndarray, i: int) -> float:
-    """Two-stage regression estimate (Hannan and Rissanen) on first differences."""
-    if i < 2 * LONG_AR + 2 * FOURIER_ORDER + 4:
-        raise ValueError("too few weeks")
-    dx = np.diff(season[: i + 1], axis=0)
-    dy = np.diff(y[:i])
-    n = len(dy)
-    beta = _least_squares(dx[:n], dy)
-    w = dy - dx[:n] @ beta
-    lags = np.column_stack([w[LONG_AR - k: n - k] for k in range(1, LONG_AR + 1)])
-    shocks = np.concatenate([np.zeros(LONG_AR), w[LONG_AR:] - lags @ _least_squares(lags, w[LONG_AR:])])
-    rows = slice(LONG_AR, n)
-    design = np.column_stack([w[LONG_AR - 1: n - 1], shocks[LONG_AR - 1: n - 1]])
-    phi, theta = np.clip(_least_squares(design, w[rows]), -0.99, 0.99)
-    last_shock = 0.0
-    for j in range(1, n):
-        last_shock = w[j] - phi * w[j - 1] - theta * last_shock
-    return y[i - 1] + dx[n] @ beta + phi * w[-1] + theta * last_shock
-
-
-def _least_squares(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    return np.linalg.lstsq(x, y, rcond=None)[0]
+def _arima(y: np.ndarray, _: np.ndarray, regressors: np.ndarray, origins: list[int]) -> list[float]:
+    return fourier_arima.forecasts(y, _season(len(y)), origins)

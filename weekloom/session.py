@@ -11,7 +11,7 @@ _OWN_FOLDERS: dict[str, str] = {}
 
 
 def get_session(app: str = "weekloom", master: str | None = None, conf: dict[str, str] | None = None) -> SparkSession:
-    """A session with adaptive execution, skew-join splitting and UTC dates.
+    """A session with adaptive execution, skew-join splitting, fair scheduling and UTC dates.
 
     ``forceOptimizeSkewedJoin`` lets AQE split a hot store or part even when the
     split costs one more shuffle later; results do not change.
@@ -23,6 +23,7 @@ def get_session(app: str = "weekloom", master: str | None = None, conf: dict[str
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.ui.enabled": "false",
+        "spark.scheduler.mode": "FAIR",
         **(conf or {}),
     }
     builder = SparkSession.builder.appName(app)

@@ -26,6 +26,12 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
     return reader.parquet(path)
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a table was written at the path and its write was committed."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+
+
 def latest_run(log: DataFrame) -> DataFrame:
     """Rows of the newest run. RUN_TS compares as text.
 
