@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from weekloom.fixed_values import NA_TOKENS, RAW_FILES
-
-_RECORD = "_record"
+from weekloom.sources.records import records
 
 
 def upper_columns(df: DataFrame) -> DataFrame:
@@ -28,18 +27,27 @@ def blank_missing(df: DataFrame) -> DataFrame:
 def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
     """One CSV with a header, all columns text, missing tokens as NULL.
 
-    Quoted fields may hold line breaks. Short rows are padded with NULL; a row with more
-    fields than the header stops the reading: of a row with another number of fields the
-    parser keeps the record, whose separators outside quotes are counted.
+    Quoted fields may hold line breaks; a large file is read by many tasks all the same. Short
+    rows are padded with NULL; a row with more fields than the header stops every reading,
+    whatever columns it asks for: of a row with another number of fields the parser keeps the
+    record, whose separators outside quotes are counted.
     """
-    reader = spark.read.options(header=True, inferSchema=False, quote='"', escape='"', multiLine=True)
-    names = reader.csv(path).columns
-    schema = StructType([StructField(name, StringType()) for name in [*names, _RECORD]])
-    rows = reader.schema(schema).options(columnNameOfCorruptRecord=_RECORD, enforceSchema=True).csv(path)
-    separators = F.regexp_count(F.regexp_replace(_RECORD, '"(?:[^"]|"")*"', ""), F.lit(","))
+    options = {"quote": '"', "escape": '"', "multiLine": "true"}
+    names = spark.read.options(header=True, inferSchema=False, **options).csv(path).columns
+    kept = "_record"
+    while kept in {name.lower() for name in names}:
+        kept += "_"
+    schema = StructType([StructField(name, StringType()) for name in [*names, kept]])
+    parsed = F.from_csv("record", _ddl(schema), options | {"columnNameOfCorruptRecord": kept, "mode": "PERMISSIVE"})
+    rows = records(spark, path).select(parsed.alias("row")).select("row.*")
+    separators = F.regexp_count(F.regexp_replace(F.col(kept), '"[^"]*"', ""), F.lit(","))
     message = F.lit(f"{path}: a row has more than {len(names)} fields")
-    checked = F.when(separators >= len(names), F.raise_error(message)).otherwise(F.col(names[0]))
-    return blank_missing(upper_columns(rows.withColumn(names[0], checked).drop(_RECORD)))
+    checked = F.when(separators >= len(names), F.raise_error(message)).otherwise(F.lit(True))
+    return blank_missing(upper_columns(rows.where(checked).drop(kept)))
+
+
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"`{field.name.replace('`', '``')}` string" for field in schema)
 
 
 def load_raw(
