@@ -148,3 +148,23 @@ def test_category_codes_span_several_ranges(spark):
     codes = features.category_codes(df, "FAMILY")
     assert [tuple(r) for r in codes.orderBy("FAMILY").collect()] == [(n, i) for i, n in enumerate(names)]
     assert features.category_codes(df.limit(0), "FAMILY").count() == 0
+
+
+def test_rolling_statistics_keep_their_digits_after_large_amounts(spark):
+    """Sums are exact: what a series sold before the window leaves no trace, of cents beside hundreds of millions."""
+    from decimal import Decimal
+
+    amounts = [2e8, 3e8 + 0.01, 0.03, 0.01, 0.02, 0.05, 0.01, 0.04, 0.02, 0.01, 0.03, 0.02, 0.01, 0.02, None, 0.07, float("nan"), 0.01]
+    weekly = [(1, "A", day("2019-01-07") + dt.timedelta(weeks=i), x) for i, x in enumerate(amounts)]
+    frame = spark.createDataFrame(weekly, "STORE_NBR bigint, FAMILY string, WEEK_START date, SALES double")
+    got = by(features.add_features(frame), "WEEK_START")
+    for i in range(len(amounts)):
+        row = got[day("2019-01-07") + dt.timedelta(weeks=i)]
+        past = [Decimal(str(x)) for x in amounts[max(0, i - 12) : i] if x is not None and x == x]
+        mean = float(sum(past) / len(past)) if past else None
+        assert row["SALES_ROLL_MEAN_12"] == (pytest.approx(mean, rel=1e-15) if past else None)
+        if len(past) > 1:
+            exact = (sum(x * x for x in past) - sum(past) ** 2 / len(past)) / (len(past) - 1)
+            assert row["SALES_ROLL_STD_12"] == pytest.approx(float(exact.sqrt()), rel=1e-14)
+        else:
+            assert row["SALES_ROLL_STD_12"] is None

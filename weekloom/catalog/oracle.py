@@ -126,13 +126,17 @@ def _with_future(source: str) -> str:
 
 
 def _features_of(source: str) -> str:
+    """Sums of decimals are exact; of doubles, the last digits depend on the engine."""
     lags = ", ".join(f"lag(SALES, {k}) OVER w AS SALES_LAG_{k}" for k in (1, 2, 4, 52))
     order = "PARTITION BY STORE_NBR, FAMILY ORDER BY WEEK_START"
+    exact, past4, past12 = "CAST(SALES AS DECIMAL(19, 4))", f"({order} ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING)", f"({order} ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING)"
+    spread = f"COUNT(SALES) OVER {past12} * SUM({exact} * {exact}) OVER {past12} - CAST(SUM({exact}) OVER {past12} AS DECIMAL(19, 4)) * CAST(SUM({exact}) OVER {past12} AS DECIMAL(19, 4))"
     return f"""
   SELECT *, {lags},
-         AVG(SALES) OVER ({order} ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS SALES_ROLL_MEAN_4,
-         AVG(SALES) OVER ({order} ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS SALES_ROLL_MEAN_12,
-         stddev_samp(SALES) OVER ({order} ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING) AS SALES_ROLL_STD_12,
+         CAST(SUM({exact}) OVER {past4} AS DOUBLE) / COUNT(SALES) OVER {past4} AS SALES_ROLL_MEAN_4,
+         CAST(SUM({exact}) OVER {past12} AS DOUBLE) / COUNT(SALES) OVER {past12} AS SALES_ROLL_MEAN_12,
+         CASE WHEN COUNT(SALES) OVER {past12} > 1 THEN sqrt(CAST({spread} AS DOUBLE)
+             / (COUNT(SALES) OVER {past12} * (COUNT(SALES) OVER {past12} - 1))) END AS SALES_ROLL_STD_12,
          CAST(week(WEEK_START) AS INTEGER) AS WEEK_OF_YEAR, CAST(month(WEEK_START) AS INTEGER) AS MONTH,
          CAST(year(WEEK_START) AS INTEGER) AS YEAR
   FROM {source} WINDOW w AS ({order})"""

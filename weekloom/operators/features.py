@@ -110,16 +110,42 @@ def add_next_week(kept: DataFrame, next_week: Column, last_week: Column | None =
 
 
 def add_features(rows: DataFrame) -> DataFrame:
-    """Lags, rolling statistics of past weeks only, and calendar columns."""
-    def past(weeks: int) -> WindowSpec:
-        return _series_order().rowsBetween(-weeks, -1)
+    """Lags, rolling statistics of past weeks only, and calendar columns.
+
+    Rolling sums are differences of running sums of exact decimals, of amounts and of their squares: each
+    row costs the same whatever the window, and neither order nor earlier amounts touch the last digits.
+    Amounts count to four decimals; a series' sums must stay below 10^12.
+    """
+    amount = F.when(~F.isnan("SALES"), F.col("SALES")).cast("decimal(16,4)")
+    order = _series_order()
+    until_now = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = rows.select(
+        *rows.columns,
+        *[F.lag("SALES", k).over(order).alias(f"SALES_LAG_{k}") for k in LAG_WEEKS],
+        F.count(amount).over(until_now).alias("_N"),
+        F.sum(amount).over(until_now).cast("decimal(20,4)").alias("_SUM"),
+        F.sum(amount * amount).over(until_now).cast("decimal(36,8)").alias("_SQUARES"),
+    )
+
+    def past(column: str, weeks: int) -> Column:
+        """The running value's growth over the ``weeks`` rows before this one."""
+        return F.lag(column, 1).over(order) - F.coalesce(F.lag(column, weeks + 1).over(order), F.lit(0).cast(running.schema[column].dataType))
+
+    def mean(weeks: int) -> Column:
+        return F.try_divide(past("_SUM", weeks).cast("double"), past("_N", weeks))
+
+    def deviation(weeks: int) -> Column:
+        n = past("_N", weeks)
+        total, squares = past("_SUM", weeks).cast("decimal(16,4)"), past("_SQUARES", weeks).cast("decimal(32,8)")
+        spread = n.cast("decimal(3,0)") * squares - total * total
+        return F.when(n > 1, F.sqrt(spread.cast("double") / (n * (n - 1))))
 
     week = F.col("WEEK_START")
-    return rows.select(
+    return running.select(
         *rows.columns,
-        *[F.lag("SALES", k).over(_series_order()).alias(f"SALES_LAG_{k}") for k in LAG_WEEKS],
-        *[F.avg("SALES").over(past(n)).alias(f"SALES_ROLL_MEAN_{n}") for n in ROLLING_MEAN_WEEKS],
-        F.stddev_samp("SALES").over(past(ROLLING_STD_WEEKS)).alias(f"SALES_ROLL_STD_{ROLLING_STD_WEEKS}"),
+        *[f"SALES_LAG_{k}" for k in LAG_WEEKS],
+        *[mean(n).alias(f"SALES_ROLL_MEAN_{n}") for n in ROLLING_MEAN_WEEKS],
+        deviation(ROLLING_STD_WEEKS).alias(f"SALES_ROLL_STD_{ROLLING_STD_WEEKS}"),
         F.weekofyear(week).alias("WEEK_OF_YEAR"), F.month(week).alias("MONTH"), F.year(week).alias("YEAR"),
     )
 
