@@ -37,6 +37,8 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Longer words are solved by a loop instead of the fold.
 LONGEST_WORD = 512
+#: Bytes of text in a chunk of documents, which one task holds at once.
+CHUNK_BYTES = 4 << 20
 #: Added to the lowest score for a character that is no piece.
 UNKNOWN_SCORE = -10.0
 _WORDS = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
@@ -191,10 +193,10 @@ def _inflate(column) -> list[str]:
 
 def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """doc_id, n_tokens, ids, decoded_sha256 (of the text that the ids decode to) for each row of docs (doc_id, text)."""
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    chunks = buckets = 2 * parts
     text = text_or_empty()
+    # A chunk holds as much, and a bucket gathers as much, whatever the table holds.
+    total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    chunks = buckets = max(1, -(-total // CHUNK_BYTES))
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", text.alias("text"))
 
     def deflate(batches):
