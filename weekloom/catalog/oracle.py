@@ -266,6 +266,17 @@ pairs AS (
 _CTES = {"staging": STAGING, "features": FEATURES, "scores": SCORES, "documents": DOCUMENTS}
 
 
+def _refreshed() -> str:
+    """The documents without every fifth store, and what became of each."""
+    scores = SCORES.strip().replace("\nfacts AS (", "\nevery_fact AS (") + ",\nfacts AS (SELECT * FROM every_fact WHERE STORE_NBR % 5 <> 2)"
+    shared = ",\n".join([STAGING.strip(), FEATURES.strip(), scores, DOCUMENTS.strip()])
+    return f"""WITH {shared}
+SELECT STORE_NBR, CASE STORE_NBR % 5 WHEN 0 THEN 'new' WHEN 1 THEN 'changed' ELSE 'same' END AS STATE,
+       CAST(CASE STORE_NBR % 5 WHEN 1 THEN 2 ELSE 1 END AS BIGINT) AS N_LOGGED, WEEK_START, SUMMARY FROM store_docs
+UNION ALL SELECT STORE_NBR, 'changed', 2, WEEK_START, SUMMARY FROM chain_docs
+UNION ALL SELECT DISTINCT STORE_NBR, 'vanished', 2, NULL, NULL FROM every_fact WHERE STORE_NBR % 5 = 2"""
+
+
 def _with(level: str, select: str) -> str:
     """``select`` after all shared expressions up to ``level``."""
     if level == "vectors":
@@ -486,6 +497,9 @@ SELECT STORE_NBR, FAMILY, WEEK_START, round(FORECAST, 2) AS FORECAST, round(LAST
         "family_moves": documents("SELECT * FROM moves"),
         "store_documents": documents("SELECT * FROM store_docs"),
         "chain_document": documents("SELECT * FROM chain_docs"),
+        "document_refresh": _refreshed(),
+        "append_replay": scores("""SELECT RUN_TS, MODEL, COUNT(*) AS N_ROWS, COUNT(*) AS N_DIFFERENT, round(SUM(FORECAST), 6) AS TOTAL_FORECAST,
+       COUNT(*) AS N_NOTED, TRUE AS SETTLED FROM forecasts GROUP BY 1, 2"""),
         "store_summaries": documents("SELECT * FROM store_docs UNION ALL SELECT * FROM chain_docs"),
         "vector_normalise": vectors("SELECT vec_id, POS, round(VALUE, 6) AS VALUE FROM units"),
         "cosine_topk": vectors("SELECT vec_id, store_nbr, round(RAW, 3) AS score FROM (SELECT * FROM scored ORDER BY RAW DESC, vec_id LIMIT 10)"),

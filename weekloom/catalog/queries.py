@@ -8,12 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom import schemas
-from weekloom.catalog.frames import CHECK_THRESHOLD, NEW_RUN, Frames, money, rounded
+from weekloom.catalog.frames import CHECK_THRESHOLD, NEW_RUN, OLD_RUN, Frames, money, rounded
 from weekloom.fixed_values import KEYS, NAIVE_MODEL, RAW_FILES, SERIES
 from weekloom.functions import casts
 from weekloom.operators import (
     answers, audit, features, global_model, narrative, quality, reports, retrieval, scoring, series_models, staging,
 )
+from weekloom.plans import refresh
 from weekloom.session import scratch_path
 from weekloom.sources import raw, star, tables, vector_index
 
@@ -92,6 +93,20 @@ def append_log(f: Frames) -> DataFrame:
     return rounded(rows, TOTAL_FORECAST=6)
 
 
+@query
+def append_replay(f: Frames) -> DataFrame:
+    """A log whose newer run was cut short and written again: each row once, and every run as its note says."""
+    path = scratch_path(f.spark, "replayed")
+    schema = schemas.FORECASTS
+    tables.append_run(f.forecasts.where((F.col("RUN_TS") == OLD_RUN) | (F.col("STORE_NBR") % 2 == 0)), path)
+    tables.append_run(f.forecasts.where(F.col("RUN_TS") == NEW_RUN), path)
+    log = tables.read_table(f.spark, path, schema)
+    found = log.groupBy("RUN_TS", "MODEL").agg(
+        F.count(F.lit(1)).alias("N_ROWS"), F.count_distinct(*KEYS).alias("N_DIFFERENT"), F.sum("FORECAST").alias("TOTAL_FORECAST"))
+    status = tables.run_status(f.spark, path, schema).select("RUN_TS", "N_NOTED", "SETTLED")
+    return rounded(found.join(status, "RUN_TS"), TOTAL_FORECAST=6)
+
+
 @query
 def latest_run(f: Frames) -> DataFrame:
     return rounded(tables.latest_run(f.forecasts), FORECAST=2)
@@ -514,6 +529,19 @@ def store_summaries(f: Frames) -> DataFrame:
     return narrative.summaries(f.facts)
 
 
+@query
+def document_refresh(f: Frames) -> DataFrame:
+    """Two refreshes: a fifth of the stores is new in the second, a fifth changed, a fifth vanished."""
+    out, kind = scratch_path(f.spark, "refreshed"), F.col("STORE_NBR") % 5
+    before = f.facts.where(kind != 0).withColumn("FORECAST", F.col("FORECAST") + F.when(kind == 1, 1000.0).otherwise(0.0))
+    refresh.refresh_changed(f.spark, f.stored(before, "facts-before"), out, OLD_RUN)
+    states = refresh.refresh_changed(f.spark, f.stored(f.facts.where(kind != 2), "facts-now"), out, NEW_RUN)
+    log = refresh.document_log(f.spark, out)
+    logged = log.groupBy("STORE_NBR").agg(F.count(F.lit(1)).alias("N_LOGGED"))
+    current = refresh.current_documents(log).select("STORE_NBR", "WEEK_START", "SUMMARY")
+    return states.drop("DIGEST").join(logged, "STORE_NBR").join(current, "STORE_NBR", "left")
+
+
 @query
 def vector_normalise(f: Frames) -> DataFrame:
     values = f.index.select("vec_id", F.posexplode("vector").alias("POS", "VALUE"))

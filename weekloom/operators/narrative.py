@@ -75,9 +75,10 @@ def _week(facts: DataFrame) -> Column:
     return iso_text(facts.agg(F.max("WEEK_START")).scalar())
 
 
-def store_documents(facts: DataFrame) -> DataFrame:
-    """STORE_NBR, WEEK_START, SUMMARY: one document per store."""
-    rows = store_totals(facts).join(family_moves(facts), "STORE_NBR", "left").withColumn("WEEK", _week(facts))
+def store_documents(facts: DataFrame, week: Column | None = None) -> DataFrame:
+    """STORE_NBR, WEEK_START, SUMMARY: one document per store; ``week`` if it isn't the newest one of these facts."""
+    week = _week(facts) if week is None else week
+    rows = store_totals(facts).join(family_moves(facts), "STORE_NBR", "left").withColumn("WEEK", week)
     fc = F.col("FC")
 
     def versus(old: str) -> list[Column]:

@@ -38,3 +38,7 @@ ACCURACY_LOG = (
 MODEL_RESULTS = "MODEL string, SCOPE string, N bigint, WAPE double, RMSE double"
 STORE_SUMMARIES = "STORE_NBR bigint, WEEK_START string, SUMMARY string"
 VECTOR_INDEX = "store_nbr bigint, week_start string, text string, vector array<float>"
+# What each refresh wrote: a document as it stands from that run on, or that it is gone.
+DOCUMENT_LOG = (
+    "STORE_NBR bigint, WEEK_START string, SUMMARY string, VECTOR array<float>, DIGEST string, GONE boolean, RUN_TS string"
+)

@@ -17,8 +17,34 @@ def overwrite_table(df: DataFrame, path: str, partition: str | None = None) -> i
 
 
 def append_run(df: DataFrame, path: str) -> int:
-    """Add one run's rows to a log, one folder per RUN_TS."""
-    return _write(df, path, "append", "RUN_TS")
+    """Add one run's rows to a log, one folder per RUN_TS; returns the rows written.
+
+    A run written again under its RUN_TS replaces what it wrote before, other runs stay: only the folders
+    of the given runs are exchanged, when all rows are written. ``<path>_RUNS`` then notes the number of
+    rows of each, so that ``run_status`` finds a run that was cut off. Without rows nothing changes.
+    """
+    seen = Observation("run_written")
+    span = F.min("RUN_TS").alias("first"), F.max("RUN_TS").alias("last")
+    _replace_runs(df.observe(seen, F.count(F.lit(1)).alias("rows"), *span), path)
+    if seen.get["rows"]:
+        stored = read_table(df.sparkSession, path, df.schema).where(F.col("RUN_TS").between(seen.get["first"], seen.get["last"]))
+        _replace_runs(_rows_per_run(stored), f"{path.rstrip('/')}_RUNS")
+    return seen.get["rows"]
+
+
+def run_status(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    """RUN_TS, N_ROWS found, N_NOTED and SETTLED (they are equal) of each run of a log."""
+    found = _rows_per_run(read_table(spark, path, schema))
+    noted = read_table(spark, f"{path.rstrip('/')}_RUNS", "N_ROWS bigint, RUN_TS string").withColumnRenamed("N_ROWS", "N_NOTED")
+    return found.join(noted, "RUN_TS", "full").withColumn("SETTLED", F.col("N_ROWS").eqNullSafe(F.col("N_NOTED")))
+
+
+def _rows_per_run(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("RUN_TS").agg(F.count(F.lit(1)).alias("N_ROWS"))
+
+
+def _replace_runs(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("RUN_TS").parquet(path)
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:
@@ -27,9 +53,13 @@ def read_table(spark: SparkSession, path: str, schema: StructType | str | None =
 
 
 def finished(spark: SparkSession, path: str) -> bool:
-    """Whether a table was written at the path and its write was committed."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    """Whether a whole table was written at the path and its write was committed."""
+    return exists(spark, f"{path.rstrip('/')}/_SUCCESS")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def latest_run(log: DataFrame) -> DataFrame:
