@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from helpers import by, day, plan, rows
 from weekloom import schemas
+from weekloom.catalog.queries import all_queries
 from weekloom.operators import quality, staging
+from weekloom.sources import tables
 
 RAW_HOLIDAYS = "DATE string, TYPE string, LOCALE string, LOCALE_NAME string, TRANSFERRED string"
 
@@ -67,6 +69,31 @@ def test_salting_hot_stores_changes_nothing(side):
     assert spread.select("SALT").distinct().count() == 6
 
 
+def test_frequent_stores_are_noted_by_the_write_itself(spark, side, tmp_path):
+    daily, *others = side
+    path = str(tmp_path / "daily")
+    assert tables.overwrite_tracked(daily.where("STORE_NBR is null or STORE_NBR < 3"), path, "STORE_NBR") + tables.append_tracked(
+        daily.where("STORE_NBR >= 3"), path, "STORE_NBR") == 900
+    exact = {r[0]: r[1] for r in daily.groupBy("STORE_NBR").count().collect()}
+    limit = sorted(exact.values())[-3]
+    hot = tables.frequent_values(spark, path, limit)
+    assert {r["_HOT"] for r in hot.collect()} == {k for k, n in exact.items() if n > limit}
+    with_null = tables.frequent_values(spark, path, min(exact.values()) - 1)
+    assert {r["_HOT"] for r in with_null.collect()} == set(exact) and None in exact
+    stored = spark.read.schema(schemas.SALES_DAILY).parquet(path)
+    told = staging.enrich(stored, *others, hot=with_null)
+    assert sorted(rows(told), key=str) == sorted(rows(staging.enrich(daily, *others)), key=str)
+    # the frequent stores come from the sketch: the joins read the daily table once
+    assert plan(staging.enrich(stored, *others, hot=with_null)).count(f"{path}]") == 1
+    spread = staging.salt_rows(stored.repartition(6), "STORE_NBR", with_null).where("STORE_NBR is null")
+    assert spread.select("SALT").distinct().count() > 1
+
+
+def test_enriched_query_reads_its_lines_twice(spark, sf_dir):
+    """Once to store the daily table, once for the transactions."""
+    assert plan(all_queries()["sales_enriched"](spark, sf_dir)).count("lineitem.parquet") == 1
+
+
 def test_enriched_columns_match_a_lookup(side):
     daily, stores, oil, holidays, traffic = side
     prices, days, visits = by(oil, "DATE"), by(holidays, "STORE_NBR", "DATE"), by(traffic, "STORE_NBR", "DATE")

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 HOT_ROWS = 10_000_000
 SALTS = 64
 SPREAD = 8
+#: Values that a frequency sketch follows. It surely has every value with more than 7 rows in 16,384.
+TRACKED = 10_000
 
 
 def hot_values(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -23,6 +25,22 @@ def hot_values(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
     return counts.where(F.col("_N") > hot_rows).select(F.col(key).alias("_HOT"), F.lit(True).alias("_IS_HOT"))
 
 
+def frequency_sketch(key: str) -> Column:
+    """An aggregate that follows the most frequent values of ``key`` (NULL too) in bounded memory; sketches can be combined."""
+    return F.expr(f"approx_top_k_accumulate({key}, {TRACKED})")
+
+
+def hot_in_sketches(sketches: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """As ``hot_values``, from the column SKETCH of one or more parts of a table: no row of it is read.
+
+    Only how rows are spread depends on it, never a result, so counts may be off within the sketch's bounds.
+    At most TRACKED values.
+    """
+    combined = sketches.agg(F.expr(f"approx_top_k_combine(SKETCH, {TRACKED})").alias("ALL"))
+    values = combined.select(F.explode(F.expr(f"approx_top_k_estimate(ALL, {TRACKED})")).alias("V"))
+    return values.where(F.col("V.count") > hot_rows).select(F.col("V.item").alias("_HOT"), F.lit(True).alias("_IS_HOT"))
+
+
 def salt_rows(df: DataFrame, key: str, hot: DataFrame, salts: int = SALTS) -> DataFrame:
     """Add SALT: rows of hot values are spread by input partition, others get 0.
 

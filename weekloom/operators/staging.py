@@ -135,16 +135,17 @@ def store_holidays(holidays: DataFrame, stores: DataFrame, salts: int = 16) -> D
 
 def enrich(
     daily: DataFrame, stores: DataFrame, oil: DataFrame, holidays: DataFrame, transactions: DataFrame,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS, hot: DataFrame | None = None,
 ) -> DataFrame:
     """Daily sales with store, price, holiday and traffic columns (all left joins).
 
     Holidays and traffic share the (store, date) key, so they meet first and the
     daily rows join once on it. ``oil`` has one row per calendar day, small enough to be
     broadcast unless a stray date stretches the calendar; Spark decides.
-    Rows of a store with more than ``hot_rows`` rows are salted.
+    Rows of a store with more than ``hot_rows`` rows are salted. ``hot`` names these stores when the daily
+    table is stored with a sketch of them (``frequent_values``); else its rows are counted.
     """
-    hot = hot_values(daily, "STORE_NBR", hot_rows)
+    hot = hot_values(daily, "STORE_NBR", hot_rows) if hot is None else hot
     store_days = holidays.join(transactions, ["STORE_NBR", "DATE"], "full")
     return (
         salt_rows(daily, "STORE_NBR", hot)

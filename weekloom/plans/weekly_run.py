@@ -12,7 +12,7 @@ from weekloom.operators import global_model, narrative, quality, staging
 from weekloom.operators.features import build_features
 from weekloom.operators.global_model import Boosting
 from weekloom.session import scratch_path
-from weekloom.sources.tables import append_run, overwrite_table, read_table
+from weekloom.sources.tables import append_run, frequent_values, overwrite_table, overwrite_tracked, read_table
 from weekloom.sources.vector_index import write_index
 
 UNIQUE_KEYS = {
@@ -47,7 +47,9 @@ def stage(
     def keep(name: str, df: DataFrame, schema: str) -> DataFrame:
         return _stored(spark, df, f"{out}/STAGING/{name}", schema)
 
-    daily = keep("SALES_DAILY", staging.type_sales(raw["TRAIN"], date_formats), schemas.SALES_DAILY)
+    daily_path = f"{out}/STAGING/SALES_DAILY"
+    overwrite_tracked(staging.type_sales(raw["TRAIN"], date_formats), daily_path, "STORE_NBR")
+    daily = read_table(spark, daily_path, schemas.SALES_DAILY)
     unread = quality.unparsed_dates(daily).first()[0]
     if unread:
         raise ValueError(f"{unread} rows of TRAIN have no readable date")
@@ -64,7 +66,7 @@ def stage(
         quality.assert_unique(tables[name].dropna(subset=keys), keys, name)
     weekly = staging.weekly_sales(daily, stores, oil, holidays, traffic)
     if keep_enriched:
-        enriched = staging.enrich(daily, stores, oil, holidays, traffic)
+        enriched = staging.enrich(daily, stores, oil, holidays, traffic, hot=frequent_values(spark, daily_path))
         tables["SALES_DAILY_ENRICHED"] = keep("SALES_DAILY_ENRICHED", enriched, schemas.SALES_DAILY_ENRICHED)
     tables["SALES_WEEKLY"] = keep("SALES_WEEKLY", weekly, schemas.SALES_WEEKLY)
     totals = quality.reconcile(daily, tables["SALES_WEEKLY"])

@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from weekloom.fixed_values import ROW_LIMIT
+from weekloom.operators.skew import HOT_ROWS, frequency_sketch, hot_in_sketches
 
 JSON_DECIMALS = 10
+SKETCHES = "SKETCH struct<sketch: binary, maxItemsTracked: int, itemDataType: bigint, itemDataTypeDDL: string>"
 
 
 def overwrite_table(df: DataFrame, path: str, partition: str | None = None) -> int:
@@ -16,6 +18,33 @@ def overwrite_table(df: DataFrame, path: str, partition: str | None = None) -> i
     return _write(df, path, "overwrite", partition)
 
 
+def overwrite_tracked(df: DataFrame, path: str, key: str) -> int:
+    """``overwrite_table`` that also keeps a sketch of the frequent values of ``key``, made by the write itself."""
+    return _write_tracked(df, path, key, "overwrite")
+
+
+def append_tracked(df: DataFrame, path: str, key: str) -> int:
+    """Add rows to a tracked table; their sketch is added to the others."""
+    return _write_tracked(df, path, key, "append")
+
+
+def _write_tracked(df: DataFrame, path: str, key: str, mode: str) -> int:
+    spark, seen = df.sparkSession, Observation("rows_tracked")
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), frequency_sketch(key).alias("sketch")).write.mode(mode).parquet(path)
+    sketch = spark.createDataFrame([(seen.get["sketch"],)], SKETCHES)
+    sketch.coalesce(1).write.mode(mode).parquet(_sketches(path))
+    return seen.get["rows"]
+
+
+def frequent_values(spark: SparkSession, path: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The hot values of a tracked table's key, from its sketches."""
+    return hot_in_sketches(read_table(spark, _sketches(path), SKETCHES), hot_rows)
+
+
+def _sketches(path: str) -> str:
+    return f"{path.rstrip('/')}_FREQUENT"
+
+
 def append_run(df: DataFrame, path: str) -> int:
     """Add one run's rows to a log, one folder per RUN_TS; returns the rows written.
 
