@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from helpers import by, rows
 from weekloom.functions.vectors import l2_normalise
-from weekloom.operators import answers, audit, retrieval
+from weekloom.operators import answers, audit, clustered_search, retrieval
 
 
 @pytest.fixture(scope="module")
@@ -72,6 +72,50 @@ def test_batch_search_needs_no_driver_and_skips_missing_vectors(spark, index, ve
     assert retrieval.batch_search(index.limit(0), questions, "doc").count() == 0
 
 
+def questions_of(spark, vectors, n):
+    texts = {i: (f"store {i % 9} and store {(i + 3) % 9}" if i % 2 else None) for i in range(n)}
+    frame = spark.createDataFrame([(i, t, vectors[i].tolist()) for i, t in texts.items()], "QUESTION_ID bigint, QUESTION string, VECTOR array<double>")
+    return frame, {i: {i % 9, (i + 3) % 9} if t else set() for i, t in texts.items()}
+
+
+def test_clustered_search_equals_brute_force(spark, index, vectors):
+    questions, named = questions_of(spark, vectors, 12)
+    clusters = clustered_search.ClusteredIndex(index, "doc", per_cluster=10, block=4)
+    got = clustered_search.clustered_search(clusters, questions, "doc", k=20).collect()
+    for i, stores in named.items():
+        mine = sorted((r for r in got if r["QUESTION_ID"] == i), key=lambda r: r["RANK"])
+        assert [r["doc"] for r in mine] == ranked(vectors, vectors[i], stores, 20)
+        assert all((r["matched_by"] == "store filter") == (r["store_nbr"] in stores) for r in mine)
+
+
+def test_bounds_rule_out_most_clusters(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    middles = rng.normal(size=(30, 16))
+    made = (middles[:, None, :] + rng.normal(size=(30, 40, 16)) / 50).reshape(-1, 16)
+    made /= np.linalg.norm(made, axis=1, keepdims=True)
+    index = spark.createDataFrame([(i, i % 9, v.tolist()) for i, v in enumerate(made)], "doc bigint, store_nbr bigint, vector array<double>")
+    met = []
+    plain = clustered_search._asked_blocks
+    monkeypatch.setattr(clustered_search, "_asked_blocks", lambda i, pairs, k: met.append(pairs.agg(F.sum("SIZE")).first()[0] or 0) or plain(i, pairs, k))
+    questions = spark.createDataFrame([(i, None, made[i].tolist()) for i in range(0, 1200, 40)], "QUESTION_ID bigint, QUESTION string, VECTOR array<double>")
+    clusters = clustered_search.ClusteredIndex(index, "doc", per_cluster=20)
+    got = clustered_search.clustered_search(clusters, questions, "doc", k=5).collect()
+    assert sum(met) < 0.25 * 30 * 1200
+    for i in range(0, 1200, 40):
+        assert [r["doc"] for r in sorted((r for r in got if r["QUESTION_ID"] == i), key=lambda r: r["RANK"])] == ranked(made, made[i], set(), 5)
+
+
+def test_clustered_search_skips_missing_vectors_and_empty_sides(spark, index, vectors):
+    schema = "QUESTION_ID bigint, QUESTION string, VECTOR array<double>"
+    questions = spark.createDataFrame([(1, "store 77", vectors[5].tolist()), (2, "store 3", None)], schema)
+    more = index.union(spark.createDataFrame([(500, 3, None), (501, 3, [None] * 8), (502, None, vectors[5].tolist())], index.schema))
+    clusters = clustered_search.ClusteredIndex(more, "doc", per_cluster=30)
+    found = clustered_search.clustered_search(clusters, questions, "doc", k=3).orderBy("RANK").collect()
+    assert [r["doc"] for r in found] == [5, 502, *ranked(vectors, vectors[5], set(), 2)[1:]] and found[1]["store_nbr"] is None
+    assert clustered_search.clustered_search(clusters, questions.limit(0), "doc").count() == 0
+    assert clustered_search.clustered_search(clustered_search.ClusteredIndex(index.limit(0), "doc"), questions.limit(0), "doc").count() == 0
+
+
 def test_unit_length_takes_one_length_per_vector(spark):
     vector = F.transform(F.sequence(F.lit(1), F.lit(1500)), lambda x: x.cast("double"))
     made = spark.range(1).select(l2_normalise(vector).alias("v")).first()[0]

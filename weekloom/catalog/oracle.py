@@ -508,6 +508,9 @@ SELECT vec_id, store_nbr, round(RAW, 3) AS score, CASE WHEN store_nbr IN (3, 7)
 FROM (SELECT * FROM scored ORDER BY store_nbr IN (3, 7) DESC, RAW DESC, vec_id LIMIT 150)"""),
         "batch_topk": vectors("""
 SELECT QUESTION_ID, RANK, vec_id, store_nbr, round(RAW, 3) AS score, CASE WHEN NAMED THEN 'store filter' ELSE 'semantic' END AS matched_by
+FROM (SELECT *, row_number() OVER (PARTITION BY QUESTION_ID ORDER BY NAMED DESC, RAW DESC, vec_id) AS RANK FROM pairs) WHERE RANK <= 5"""),
+        "clustered_topk": vectors("""
+SELECT QUESTION_ID, RANK, vec_id, store_nbr, round(RAW, 3) AS score, CASE WHEN NAMED THEN 'store filter' ELSE 'semantic' END AS matched_by
 FROM (SELECT *, row_number() OVER (PARTITION BY QUESTION_ID ORDER BY NAMED DESC, RAW DESC, vec_id) AS RANK FROM pairs) WHERE RANK <= 5"""),
         # query log and answers
         "sql_audit": f"WITH {_audit()}\nSELECT * FROM audited",

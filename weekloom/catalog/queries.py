@@ -12,7 +12,7 @@ from weekloom.catalog.frames import CHECK_THRESHOLD, NEW_RUN, OLD_RUN, Frames, m
 from weekloom.fixed_values import KEYS, NAIVE_MODEL, RAW_FILES, SERIES
 from weekloom.functions import casts
 from weekloom.operators import (
-    answers, audit, features, global_model, narrative, quality, reports, retrieval, scoring, series_models, staging,
+    answers, audit, clustered_search, features, global_model, narrative, quality, reports, retrieval, scoring, series_models, staging,
 )
 from weekloom.plans import refresh
 from weekloom.session import scratch_path
@@ -565,6 +565,13 @@ def batch_topk(f: Frames) -> DataFrame:
     return ranked.withColumn("RANK", F.col("RANK").cast("bigint"))
 
 
+@query
+def clustered_topk(f: Frames) -> DataFrame:
+    """The same questions, asked of clusters."""
+    ranked = clustered_search.clustered_search(clustered_search.ClusteredIndex(f.index, "vec_id"), f.questions, "vec_id", k=5)
+    return ranked.withColumn("RANK", F.col("RANK").cast("bigint"))
+
+
 # --- query log and answers ----------------------------------------------------
 
 @query
