@@ -222,3 +222,54 @@ def test_backtest_run_stores_both_tables(spark, seasonal, tmp_path):
     assert set(predictions.columns) == {
         "STORE_NBR", "FAMILY", "WEEK_START", "SALES", "IS_TOP", "PRED_NAIVE52", "PRED_ARIMA", "PRED_TREND", "PRED_GBT"}
     assert {r["MODEL"] for r in results.collect()} == {"naive_52", "arima_fourier", "trend_season", "gbt_global"}
+
+
+def test_a_split_sends_missing_values_where_they_fit_best(spark):
+    """One tree of depth 1 equals the best split over all inputs, thresholds and sides for missing values."""
+    import itertools
+    import random
+
+    from weekloom.fixed_values import MODEL_INPUTS
+
+    draw = random.Random(3)
+    for good_side in (-1, 1):  # missing values behave like small, then like large ones
+        data = []
+        for i in range(90):
+            lag = None if i % 4 == 0 else float(draw.randint(1, 12))
+            level = (9.0 if good_side > 0 else 1.0) if lag is None else lag
+            data.append((1 + i % 3, "AB"[i % 2], week(i), 100.0 * (level > 6) + draw.random(), lag, 5.0, draw.choice([None, 1.0, 2.0])))
+        frame = spark.createDataFrame(data, "STORE_NBR bigint, FAMILY string, WEEK_START date, SALES double, SALES_LAG_1 double, SALES_LAG_52 double, SALES_LAG_2 double")
+        filled = frame.withColumns({c: F.lit(1.0) for c in MODEL_INPUTS if c not in frame.columns and not c.endswith("_CODE")})
+        vectors = global_model.model_rows(filled.withColumn("STORE_TYPE", F.lit("T")).withColumn("IS_FUTURE", F.lit(0)), n_weeks=1)
+        size = Boosting(trees=1, depth=1, rate=1.0, rows=1.0, columns="all")
+        found = by(global_model.predict(global_model.fit(global_model.trainable(vectors), size), vectors), "WEEK_START")
+        label = [math.log1p(r[3]) for r in data]
+        best = None
+        inputs = {"lag": [r[4] for r in data], "other": [r[6] for r in data], "store": [float(r[0]) for r in data], "family": [float(r[1] == "B") for r in data]}
+        for values, missing_left in itertools.product(inputs.values(), (True, False)):
+            for cut in sorted({v for v in values if v is not None}) + [math.inf]:
+                left = [missing_left if v is None else v < cut for v in values]
+                sides = [[y for y, at in zip(label, left) if at == side] for side in (True, False)]
+                if all(sides):
+                    means = [sum(s) / len(s) for s in sides]
+                    error = sum((y - means[not at]) ** 2 for y, at in zip(label, left))
+                    best = min(best or (math.inf,), (error, [means[not at] for at in left]))
+        predicted = [math.log1p(found[week(i)]["PRED_GBT"]) for i in range(90)]
+        assert predicted == pytest.approx(best[1], abs=1e-9)
+
+
+def test_a_sweep_goes_on_from_finished_origins(spark, seasonal, tmp_path, monkeypatch):
+    vectors, folder = global_model.model_rows(seasonal), str(tmp_path / "sweep")
+    small = Boosting(trees=2, depth=2, bins=16)
+    first = sorted(global_model.backtest(vectors, small, n_weeks=3, folder=folder).collect())
+    fits = []
+    plain = global_model.fit
+    monkeypatch.setattr(global_model, "fit", lambda train, size: fits.append(size) or plain(train, size))
+    again = global_model.backtest(vectors, small, n_weeks=3, folder=folder)
+    assert not fits and sorted(again.collect()) == first and len(first) == 36
+    base = next((tmp_path / "sweep").iterdir()) / "predictions"
+    (base / str(week(167)) / "_SUCCESS").unlink()  # as if cut off there
+    assert sorted(global_model.backtest(vectors, small, n_weeks=3, folder=folder).collect()) == first
+    assert len(fits) == 1 and len(list(base.iterdir())) == 3
+    global_model.backtest(vectors, Boosting(trees=1, depth=2, bins=16), n_weeks=1, folder=folder)
+    assert len(fits) == 2  # another size has a folder of its own

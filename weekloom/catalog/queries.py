@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom import schemas
@@ -418,6 +418,34 @@ def trend_season_checked(f: Frames) -> DataFrame:
     return _valid(series_models.backtest_trend_season(f.actuals, scoring.test_weeks(f.kept)).join(f.tested.select(*KEYS, "SALES"), KEYS))
 
 
+@query
+def series_fits_checked(f: Frames) -> DataFrame:
+    """What both per-series fits must hold to, for every series."""
+    return series_models.check_fits(f.actuals, scoring.test_weeks(f.kept))
+
+
+def _valid_number(column: str) -> Column:
+    good = F.col(column).isNotNull() & ~F.isnan(column) & F.col(column).between(0, 1e15)
+    return F.coalesce(good, F.lit(False)).alias(column.replace("PRED_", "VALID_"))
+
+
+@query
+def backtest_predictions(f: Frames) -> DataFrame:
+    """The stored table of a backtest run over all series and eight origins; the boosted model at a small size."""
+    models = [_valid_number(c) for c in ("PRED_ARIMA", "PRED_TREND", "PRED_GBT")]
+    return rounded(f.backtest.select(*KEYS, "SALES", "IS_TOP", "PRED_NAIVE52", *models), SALES=2, PRED_NAIVE52=2)
+
+
+@query
+def forecast_example(f: Frames) -> DataFrame:
+    """The biggest series' last 30 weeks with the test-week predictions of all models, the boosted one at a small size."""
+    models = ["PRED_NAIVE52", "PRED_ARIMA", "PRED_TREND", "PRED_GBT"]
+    predictions = f.backtest
+    history = reports.biggest_series_history(f.actuals, scoring.top_series(f.kept))
+    both = reports.forecast_example(history, predictions, models)
+    return rounded(both.select(*KEYS, "SALES", "PRED_NAIVE52", *map(_valid_number, models[1:])), SALES=2, PRED_NAIVE52=2)
+
+
 # --- reports ------------------------------------------------------------------
 
 @query

@@ -108,6 +108,25 @@ def _neighbours(surface: np.ndarray) -> np.ndarray:
     return np.max([wide[1 + a : 1 + a + n, 1 + b : 1 + b + m] for a in (-1, 0, 1) for b in (-1, 0, 1) if a or b], axis=0)
 
 
+def dense_likelihood(columns: np.ndarray, phi: float, theta: float) -> float:
+    """What ``profiles`` gives for one process, from the full covariance matrix: a check, cubic in the length."""
+    n = len(columns)
+    covariance = np.full(n, (phi + theta) * (1 + phi * theta) / (1 - phi**2)) * np.concatenate([[1.0], phi ** np.arange(n - 1)])
+    covariance[0] = (1 + 2 * phi * theta + theta**2) / (1 - phi**2)
+    full = covariance[np.abs(np.subtract.outer(np.arange(n), np.arange(n)))]
+    products = columns.T @ np.linalg.solve(full, columns)
+    return float(profile(n, products[None], np.array([np.linalg.slogdet(full)[1]]))[0][0])
+
+
+def optimum(y: np.ndarray, waves: np.ndarray) -> tuple[bool, bool]:
+    """Whether the fit of a whole history has the likelihood of its covariance matrix, and none below the two-stage estimate's."""
+    columns = np.column_stack([np.diff(waves[: len(y)], axis=0), np.diff(y)])
+    value, phi, theta = fitted(columns, [len(columns)])[0]
+    guess = profiles(columns, *(np.array([c]) for c in two_stage(columns[:, -1], columns[:, :-1])))[0]
+    room = 1e-6 * (1 + abs(value))
+    return abs(dense_likelihood(columns, phi, theta) - value) <= room, value >= guess - room
+
+
 def forecasts(y: np.ndarray, waves: np.ndarray, origins: list[int]) -> list[float]:
     """For each origin i, the value at i from y[:i] and the waves (n x k) up to i."""
     last = max(origins)

@@ -100,3 +100,8 @@ def family_change(forecasts: DataFrame, features: DataFrame) -> DataFrame:
     totals = _against_last_week(forecasts, features, "FAMILY")
     largest = totals.orderBy(F.desc_nulls_last("TOTAL_FORECAST"), "FAMILY").limit(1)
     return largest.withColumn("PCT_CHANGE", percent_change(F.col("TOTAL_FORECAST"), F.col("LAST_WEEK")))
+
+
+def forecast_example(history: DataFrame, predictions: DataFrame, columns: list[str]) -> DataFrame:
+    """The biggest series' newest weeks (biggest_series_history) beside every model's test-week predictions."""
+    return history.join(predictions.select(*KEYS, *columns), KEYS, "left")

@@ -23,12 +23,13 @@ from weekloom.operators.scoring import test_weeks
 for module in (sys.modules[__name__], fourier_arima, trend_season, fixed_values):
     cloudpickle.register_pickle_by_value(module)  # executors need not have this package
 
+LEAST_ARIMA = 2 * fourier_arima.LONG_AR + 2 * FOURIER_ORDER + 4
 RESULT = "STORE_NBR bigint, FAMILY string, WEEK_START date, PRED double, ERROR string"
 
 
 def backtest_arima(rows: DataFrame, weeks: DataFrame | None = None) -> DataFrame:
     """ARIMA(1,1,1) errors with yearly Fourier terms by exact likelihood, one week ahead."""
-    return _backtest(rows, weeks, _arima, 2 * fourier_arima.LONG_AR + 2 * FOURIER_ORDER + 4)
+    return _backtest(rows, weeks, _arima, LEAST_ARIMA)
 
 
 def backtest_trend_season(rows: DataFrame, weeks: DataFrame | None = None) -> DataFrame:
@@ -36,6 +37,32 @@ def backtest_trend_season(rows: DataFrame, weeks: DataFrame | None = None) -> Da
     return _backtest(rows, weeks, trend_season.forecasts, 2)
 
 
+def check_fits(rows: DataFrame, weeks: DataFrame | None = None) -> DataFrame:
+    """Per series, the newest test week and what the fits of all weeks before the tested ones hold to.
+
+    ARIMA_EXACT: the likelihood is that of the covariance matrix; ARIMA_BEST: it isn't below the two-stage
+    estimate's; TREND_OPTIMAL: the slope changes meet the optimality conditions. NULL for too short a history.
+    """
+    weeks = test_weeks(rows) if weeks is None else weeks
+    span = weeks.agg(F.min("WEEK_START").alias("FIRST"), F.max("WEEK_START").alias("LAST"))
+    first, last = (span.select(c).scalar() for c in ("FIRST", "LAST"))
+    amounts = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in ("PROMO_ITEMS", "HOLIDAY_DAYS")]
+    history = rows.where(F.col("WEEK_START") < first).select(*SERIES, F.unix_date("WEEK_START").alias("DAY"), "SALES", *amounts)
+
+    def per_series(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("DAY")
+        y, days = pdf["SALES"].to_numpy(float), pdf["DAY"].to_numpy(float)
+        regressors = pdf[["PROMO_ITEMS", "HOLIDAY_DAYS"]].to_numpy()
+        exact = best = optimal = None
+        if len(y) >= LEAST_ARIMA:
+            exact, best = map(bool, fourier_arima.optimum(y, _season(len(y))))
+            optimal = bool(trend_season.optimum(y, days, regressors))
+        return pd.DataFrame({**{c: pdf[c].iloc[:1] for c in SERIES}, "ARIMA_EXACT": [exact], "ARIMA_BEST": [best], "TREND_OPTIMAL": [optimal]})
+
+    schema = "STORE_NBR bigint, FAMILY string, ARIMA_EXACT boolean, ARIMA_BEST boolean, TREND_OPTIMAL boolean"
+    return history.groupBy(*SERIES).applyInPandas(per_series, schema).withColumn("WEEK_START", last)
+
+
 def _backtest(rows: DataFrame, weeks: DataFrame | None, model: Callable, least: int) -> DataFrame:
     """KEYS, PRED (floored at 0; NULL when the fit failed) and ERROR per test week.
 

@@ -119,6 +119,14 @@ class Fit:
         return self.scale * (plain @ self.rest + hinges @ self.changes)
 
 
+def optimum(y: np.ndarray, days: np.ndarray, regressors: np.ndarray) -> bool:
+    """Whether the slope changes fitted to a whole history meet the optimality conditions."""
+    fit = Fit(y, days, regressors)
+    if not len(fit.changes):
+        return True
+    return violation(fit.gram, fit.pull, fit.penalty, fit.changes) <= 1e-4 * fit.penalty + 1e-8
+
+
 def forecasts(y: np.ndarray, days: np.ndarray, regressors: np.ndarray, origins: list[int]) -> list[float]:
     """For each origin i, the value at i from y[:i], and the days and regressors up to i."""
     return [float(Fit(y[:i], days[:i], regressors[:i]).at(days[i : i + 1], regressors[i : i + 1])[0]) for i in origins]
