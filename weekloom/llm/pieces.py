@@ -37,8 +37,8 @@ MODEL = "piece_bpe_32k.model"
 MARK = "▁"
 #: Longer words are solved by a loop instead of the fold.
 LONGEST_WORD = 512
-#: Bytes of text in a chunk of documents, which one task holds at once.
-CHUNK_BYTES = 4 << 20
+#: Bytes of text in a chunk of documents, which one task holds at once, and in a shuffle partition.
+CHUNK_BYTES, PARTITION_BYTES, MOST_PARTITIONS = 4 << 20, 8 << 20, 20_000
 #: Added to the lowest score for a character that is no piece.
 UNKNOWN_SCORE = -10.0
 _WORDS = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
@@ -197,6 +197,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
     # A chunk holds as much, and a bucket gathers as much, whatever the table holds.
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
     chunks = buckets = max(1, -(-total // CHUNK_BYTES))
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), min(MOST_PARTITIONS, -(-total // PARTITION_BYTES)))
     dealt = docs.select(F.pmod(F.xxhash64("doc_id", text), F.lit(chunks)).cast("int").alias("chunk"), "doc_id", text.alias("text"))
 
     def deflate(batches):
@@ -205,7 +206,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             z = [write.compress(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("chunk"), batch.column("doc_id"), pa.array(z, pa.binary())], names=["chunk", "doc_id", "z"])
 
-    texts = map_batches(dealt, deflate, "chunk int, doc_id long, z binary").repartition("chunk")
+    texts = map_batches(dealt, deflate, "chunk int, doc_id long, z binary").repartition(parts, "chunk")
 
     def listed(key, table):
         found = _by_bucket([words(t) for t in _inflate(table.column("z"))], buckets)
@@ -213,7 +214,7 @@ def encode(docs: DataFrame, model: str = MODEL) -> DataFrame:
             "chunk": pa.array([key[0].as_py()] * len(found), pa.int32()), "bucket": pa.array(found.keys(), pa.int32()),
             "words": pa.array([" ".join(w) for w in found.values()], pa.string())})
 
-    lists = texts.groupBy("chunk").applyInArrow(listed, "chunk int, bucket int, words string").repartition("bucket")
+    lists = texts.groupBy("chunk").applyInArrow(listed, "chunk int, bucket int, words string").repartition(parts, "bucket")
     # the unused minimum keeps the column, and so the exchange, the same in both branches: it is made once
     different = lists.select("bucket", "chunk", F.explode(F.split("words", " ")).alias("word")).groupBy("bucket", "word").agg(F.min("chunk").alias("chunk"))
     answers = solved(different, model).where("chunk >= 0").select(F.col("bucket").alias("answer_bucket"), "word", "ids")
