@@ -38,7 +38,7 @@ MARK = "▁"
 #: Longer words are solved by a loop instead of the fold.
 LONGEST_WORD = 512
 #: Bytes of text in a chunk of documents, which one task holds at once, and in a shuffle partition.
-CHUNK_BYTES, PARTITION_BYTES, MOST_PARTITIONS = 4 << 20, 8 << 20, 20_000
+CHUNK_BYTES, PARTITION_BYTES, MOST_PARTITIONS = 2 << 20, 8 << 20, 20_000
 #: Added to the lowest score for a character that is no piece.
 UNKNOWN_SCORE = -10.0
 _WORDS = re.compile(f"{MARK}+[^{MARK}\n]*|\n|[^{MARK}\n]+")
