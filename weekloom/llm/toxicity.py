@@ -1,41 +1,45 @@
 """Toxicity by nearest labelled examples.
 
-Words that occur more often in toxic than in other labelled texts (chi-square over all
-labelled texts, copies counted once) span a TF-IDF space; document frequencies come from
-all documents, and a word weighs in proportion to (t - c) / (t + c), where t and c are the
-shares of toxic and other texts that hold it. A text's score is the distance-weighted vote of the labelled examples
-nearest by exact cosine, found through an inverted index in blocks of examples: a block's
-bound is the sum over the query's words of weight times the largest weight in the block;
-the block with the highest bound is read first, then all whose bound reaches the neighbours
-found there. Votes are calibrated on the examples themselves, each left out of its own vote.
-
-Fitted on bounded parameters: at most ``terms`` words and ``examples`` examples per label,
-drawn by hash from all that there are. Everything else covers all rows.
-
-Defined results: a text without any of the words (also empty or null) has no neighbours
-and scores the share of toxic labels among such texts, 0 where none is labelled; a
-document with several labels is toxic if one of them is; null labels are unlabelled; empty
-tables give no rows; repeated rows are each scored; other columns are ignored.
+The words of the labelled examples, all of them, span a TF-IDF space. Document frequencies
+come from all documents. A word's idf is scaled by (t - c) / (t + c), where t and c are the
+shares of toxic and other examples that hold it, smoothed towards each other by
+``SMOOTHING`` texts and never below ``LEAST_LEAD``, so every word counts. A text's score is
+the distance-weighted vote of the labelled examples nearest by exact cosine, found through
+an inverted index in blocks of like examples: a block's bound is the sum over the query's
+words of weight times the largest weight in the block; the block with the highest bound is
+read first, then every other one whose bound reaches the neighbours found there. Votes are
+calibrated on the examples themselves, each left out of its own vote.
+
+Fitted on a bounded sample: at most ``examples`` different labelled texts per label, drawn
+by hash from all that there are. Everything else covers all rows.
+
+Defined results: a text without any word of the examples (also empty or null) has no
+neighbours and scores the share of toxic labels, 0 where nothing is labelled; a document
+with several labels is toxic if one of them is; null labels are unlabelled; empty tables
+give no rows; repeated rows are each scored; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import map_batches, stored, text_or_empty
+from weekloom.llm.common import map_batches, mix64, stored, text_or_empty
 
-TERMS, EXAMPLES, NEIGHBOURS, BLOCK = 20_000, 20_000, 25, 1024
-CHI_SQUARE, THRESHOLD = 30.0, 0.7
-HELD_WORDS = 300_000
+EXAMPLES, NEIGHBOURS, BLOCK = 20_000, 25, 512
+SMOOTHING, LEAST_LEAD, THRESHOLD = 8.0, 0.05, 0.7
 #: Added to distances, so that an equal text doesn't outweigh all others.
 SOFTENING = 0.05
+#: Dimensions and rounds of the grouping of like examples.
+SKETCH, ROUNDS = 64, 8
+#: Texts whose answer a worker remembers, for copies.
+REMEMBERED = 4096
 _WORD = re.compile(r"[^\W\d_]+")
 EVIDENCE = "array<struct<doc_id: long, cosine: double, toxic: int>>"
 
@@ -44,120 +48,164 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def hashed(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of a text's different words, and how often it holds each."""
+    found = Counter(words_of(text))
+    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in found), np.uint64, len(found))
+    return hashes, np.fromiter(found.values(), np.int32, len(found))
+
+
+def spans(lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
+    """The numbers from each low to before its high, end to end."""
+    sizes = highs - lows
+    return np.repeat(lows - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+
+
 # --- fitting ------------------------------------------------------------------------------
 
 def labelled(docs: DataFrame, labels: DataFrame, learn: Column) -> DataFrame:
-    """doc_id, toxic: one row per different labelled text among the rows to learn from."""
-    marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    keys = docs.where(learn).select("doc_id", F.unhex(F.md5(text_or_empty())).alias("key"))
-    return keys.join(marks, "doc_id").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic")).drop("key")
-
+    """text_key, doc_id, toxic, place (a hash to draw by): one row per different labelled text among the rows to learn from."""
+    marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+    keys = docs.where(learn).select("doc_id", F.unhex(F.md5(text_or_empty())).alias("text_key"))
+    rows = keys.join(marks, "doc_id").groupBy("text_key").agg(F.min("doc_id").alias("doc_id"), F.max("toxic").alias("toxic"))
+    return rows.withColumn("place", F.xxhash64("text_key"))
+
+
+def drawn(docs: DataFrame, marked: DataFrame, examples: int) -> tuple[DataFrame, dict[int, int]]:
+    """(place, doc_id, toxic, hashes, counts of the examples; different labelled texts by label)."""
+    sizes = {r.toxic: r.n for r in marked.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    parts = marked.limit(0)
+    for toxic, n in sorted(sizes.items()):
+        # about a tenth more than wanted by hash, then the exact number
+        some = F.pmod("place", F.lit(1 << 30)) < int(min(1.0, examples / n * 1.1 + 1e-6) * (1 << 30))
+        parts = parts.union(marked.where((F.col("toxic") == toxic) & some).orderBy("place").limit(examples))
+    chosen = stored(parts, "toxic-chosen")
 
-def telling_words(docs: DataFrame, marked: DataFrame, chi_square: float, most: int) -> dict[str, float]:
-    """The words most clearly commoner in toxic texts, with (t - c) / (t + c) of the shares of toxic and other texts that hold them."""
     def work(batches):
-        held: dict[str, list[int]] = {}
         for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                for word in set(words_of(text)):
-                    held.setdefault(word, [0, 0])[toxic] += 1
-            if len(held) > HELD_WORDS:
-                yield counted(held)
-                held.clear()
-        if held:
-            yield counted(held)
-
-    def counted(held):
-        other, toxic = zip(*held.values())
-        return pa.RecordBatch.from_arrays([pa.array(held.keys(), pa.string()), pa.array(other, pa.int64()), pa.array(toxic, pa.int64())],
-                                          names=["word", "b", "a"])
-
-    texts = docs.select("doc_id", text_or_empty().alias("text")).join(marked, "doc_id").select("text", "toxic")
-    counts = map_batches(texts, work, "word string, b long, a long").groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
-    sums = marked.agg(F.sum("toxic").cast("double").alias("p"), F.sum(1 - F.col("toxic")).cast("double").alias("n"))
-    counts = counts.withColumns({"p": sums.select("p").scalar(), "n": sums.select("n").scalar()})
-    a, b, p, n = (F.col(c) for c in "abpn")
-    gap = a * (n - b) - b * (p - a)
-    chi = F.try_divide((p + n) * gap * gap, (a + b) * (p + n - a - b) * p * n)
-    rows = counts.where(gap > 0).withColumn("chi", chi).where(F.col("chi") >= chi_square)
-    lead = (gap / (a * n + b * p)).alias("lead")
-    return dict(sorted((r.word, r.lead) for r in rows.orderBy(F.desc("chi"), "word").limit(most).select("word", lead).collect()))
-
-
-def vectors(docs: DataFrame, vocabulary: Iterable[str]) -> DataFrame:
-    """doc_id, text_key (digest of the text), terms, counts: which words of the vocabulary a text holds how often."""
-    places = docs.sparkSession.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary)})
+            found = [hashed(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([
+                *(batch.column(c) for c in ("place", "doc_id", "toxic")),
+                pa.array([h.view(np.int64) for h, _ in found], pa.list_(pa.int64())), pa.array([n for _, n in found], pa.list_(pa.int32())),
+            ], names=["place", "doc_id", "toxic", "hashes", "counts"])
+
+    keys = docs.select("doc_id", F.unhex(F.md5(text_or_empty())).alias("text_key"), text_or_empty().alias("text"))
+    texts = keys.join(chosen, ["doc_id", "text_key"]).select("place", "doc_id", "toxic", "text")
+    rows = map_batches(texts, work, "place long, doc_id long, toxic int, hashes array<long>, counts array<int>", 500)
+    return stored(rows.dropDuplicates(["place"]), "toxic-examples"), sizes
+
+
+def _lists(column) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets, values) of a list column."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return column.offsets.to_numpy().astype(np.int64), column.values.to_numpy(zero_copy_only=False)
+
+
+def vectors(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
+    """doc_id, text_key (digest of the text), terms, counts: which words of the vocabulary (sorted hashes) a text holds how often."""
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches):
         for batch in batches:
-            known, terms, counts = places.value, [], []
+            terms, counts = [], []
             for text in batch.column("text").to_pylist():
-                found = Counter(known[w] for w in words_of(text) if w in known) if known else {}
-                rows = sorted(found.items())
-                terms.append([t for t, _ in rows])
-                counts.append([n for _, n in rows])
+                hashes, n = hashed(text)
+                at = np.searchsorted(shared.value, hashes)
+                known = at < len(shared.value)
+                known[known] = shared.value[at[known]] == hashes[known]
+                order = np.argsort(at[known])
+                terms.append(at[known][order].astype(np.int32))
+                counts.append(n[known][order])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("text_key"), pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
                 names=["doc_id", "text_key", "terms", "counts"])
 
     rows = docs.select("doc_id", F.unhex(F.md5(text_or_empty())).alias("text_key"), text_or_empty().alias("text"))
-    return map_batches(rows, work, "doc_id long, text_key binary, terms array<int>, counts array<int>")
+    return map_batches(rows, work, "doc_id long, text_key binary, terms array<int>, counts array<int>", 500)
+
+
+def document_frequencies(found: DataFrame, terms: int) -> np.ndarray:
+    """How many rows hold each term, counted per task before the shuffle."""
+    def work(batches):
+        held = np.zeros(terms, np.int64)
+        for batch in batches:
+            offsets, values = _lists(batch.column("terms"))
+            held += np.bincount(values[offsets[0] : offsets[-1]], minlength=terms)
+        some = np.flatnonzero(held)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(held[some])], names=["term", "n"])
+
+    seen = np.zeros(terms)
+    if terms:
+        rows = map_batches(found.select("terms"), work, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+        seen[rows.column("term").to_numpy()] = rows.column("n").to_numpy()
+    return seen
 
 
 class Index:
-    """Examples as unit TF-IDF vectors in inverted lists, cut into blocks of consecutive examples."""
+    """Examples as unit TF-IDF vectors in inverted lists, cut into blocks of like examples.
+
+    A list is a run of (block, largest weight) entries, and each of those a run of postings.
+    """
 
-    def __init__(self, idf: np.ndarray, examples: list[tuple[int, int, list[int], list[int]]], block: int = BLOCK):
-        self.idf, self.block = idf, block
+    def __init__(self, idf: np.ndarray, examples: list[tuple], block: int = BLOCK):
+        """examples: (doc_id, toxic, terms, counts), numbered as they come."""
+        self.idf = np.asarray(idf, float)
         self.ids = np.array([e[0] for e in examples], np.int64)
         self.toxic = np.array([e[1] for e in examples], np.int8)
-        lists: dict[int, list[tuple[int, float]]] = {}
-        for number, (_, _, terms, counts) in enumerate(examples):
-            for term, weight in zip(terms, self.unit(terms, counts)):
-                lists.setdefault(term, []).append((number, weight))
-        self.lists = {}
-        self.highest = np.zeros((len(idf), -(-len(examples) // block)), np.float64)
-        for term, entries in lists.items():
-            numbers = np.array([n for n, _ in entries], np.int64)
-            weights = np.array([w for _, w in entries])
-            starts = np.searchsorted(numbers, np.arange(self.highest.shape[1] + 1) * block)
-            self.lists[term] = (starts, numbers, weights)
-            np.maximum.at(self.highest[term], numbers // block, weights)
-
-    def unit(self, terms: list[int], counts: list[int]) -> np.ndarray:
-        weights = (1 + np.log(np.array(counts, float))) * self.idf[terms]
+        number = np.repeat(np.arange(len(examples)), [len(e[2]) for e in examples])
+        term = np.concatenate([np.asarray(e[2], np.int64) for e in examples]) if examples else np.empty(0, np.int64)
+        count = np.concatenate([np.asarray(e[3], float) for e in examples]) if examples else np.empty(0)
+        weight = (1 + np.log(count)) * self.idf[term]
+        weight /= np.sqrt(np.bincount(number, weight * weight, len(examples)))[number]
+        order = np.argsort(like(number, term, weight, len(examples), block), kind="stable")
+        self.number = order.astype(np.int32)  # of the example at each position
+        self.position = np.empty(len(order), np.int32)
+        self.position[order] = np.arange(len(order))
+        self.blocks = -(-len(examples) // block)
+        position = self.position[number]
+        by_term = np.lexsort((position, term))
+        term, position, weight = term[by_term], position[by_term], weight[by_term]
+        run = np.flatnonzero(np.diff(term * (self.blocks + 1) + position // block, prepend=-1))
+        self.entries = np.searchsorted(term[run], np.arange(len(self.idf) + 1)).astype(np.int32)
+        self.entry_block = (position[run] // block).astype(np.int32)
+        self.entry_most = np.maximum.reduceat(weight, run) if len(run) else weight
+        self.postings = np.append(run, len(term)).astype(np.int64)
+        self.at, self.weight = position.astype(np.int32), weight
+
+    def unit(self, terms, counts) -> np.ndarray:
+        weights = (1 + np.log(np.asarray(counts, float))) * self.idf[terms]
         return weights / np.sqrt((weights * weights).sum())
 
-    def nearest(self, terms: list[int], counts: list[int], k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    def nearest(self, terms, counts, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(example numbers, cosines) of the k nearest, ties to the smaller number; examples sharing no word are left out."""
-        unit = self.unit(terms, counts)
-        query = [(w, *self.lists[t]) for t, w in zip(terms, unit) if t in self.lists]
-        if not query:
+        terms = np.asarray(terms, np.int64)
+        if not len(terms) or not self.blocks:
             return np.empty(0, np.int64), np.empty(0)
-        bounds = unit @ self.highest[terms]
-        first = int(bounds.argmax())
-        numbers, cosines = self.best(query, first, first + 1, k, without)
-        least = cosines[-1] - 1e-12 if len(numbers) == k else 0.0
-        more = np.flatnonzero((bounds >= least) & (bounds > 0))
-        if len(more) > 1:  # a stretch of blocks costs one pass over each list
-            numbers, cosines = self.best(query, int(more[0]), int(more[-1]) + 1, k, without)
-        return numbers, cosines
-
-    def best(self, query: list[tuple], low: int, high: int, k: int, without: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k nearest among the blocks from low to before high."""
-        base = low * self.block
-        sums = np.zeros((high - low) * self.block)
-        for weight, starts, entries, weights in query:
-            part = slice(starts[low], starts[high])
-            sums[entries[part] - base] += weight * weights[part]
-        if 0 <= without - base < len(sums):
-            sums[without - base] = 0
+        lows, highs = self.entries[terms], self.entries[terms + 1]
+        asked, entry = np.repeat(self.unit(terms, counts), highs - lows), spans(lows, highs)
+        block = self.entry_block[entry]
+        bounds = np.bincount(block, asked * self.entry_most[entry], self.blocks)
+        first = block == bounds.argmax()
+        sums = self.scored(entry[first], asked[first], without)
+        least = np.partition(sums, -k)[-k] - 1e-9 if len(sums) > k else 0.0
+        more = (bounds[block] >= least) & ~first
+        if more.any():
+            sums += self.scored(entry[more], asked[more], without)
         # whoever cannot be among the k best isn't sorted
         least = np.partition(sums, -k)[-k] - 1e-11 if len(sums) > k else 0.0
-        numbers = np.flatnonzero((sums > 0) & (sums >= least))
-        cosines = sums[numbers]
+        near = np.flatnonzero((sums > 0) & (sums >= least))
+        numbers, cosines = self.number[near].astype(np.int64), sums[near]
         best = np.lexsort((numbers, -cosines.round(12)))[:k]
-        return numbers[best] + base, cosines[best]
+        return numbers[best], cosines[best]
+
+    def scored(self, entry: np.ndarray, asked: np.ndarray, without: int) -> np.ndarray:
+        """What the postings of some entries add to the cosine of each position."""
+        lows, highs = self.postings[entry], self.postings[entry + 1]
+        at = spans(lows, highs)
+        sums = np.bincount(self.at[at], self.weight[at] * np.repeat(asked, highs - lows), len(self.number))
+        if without >= 0:
+            sums[self.position[without]] = 0
+        return sums
 
     def vote(self, found: tuple[np.ndarray, np.ndarray]) -> float:
         numbers, cosines = found
@@ -165,15 +213,34 @@ class Index:
         return float((weights * self.toxic[numbers]).sum() / weights.sum())
 
 
+def like(number: np.ndarray, term: np.ndarray, weight: np.ndarray, examples: int, block: int) -> np.ndarray:
+    """A group per example, so that blocks of a group's examples have few words in common with other texts: k-means on signed sums."""
+    groups = -(-examples // block)
+    if groups < 2:
+        return np.zeros(examples, np.int64)
+    scrambled = mix64(term.astype(np.uint64) + np.uint64(1))
+    place, sign = (scrambled % np.uint64(SKETCH)).astype(np.int64), np.where(scrambled >> np.uint64(63), 1.0, -1.0)
+    sketch = np.bincount(number * SKETCH + place, sign * weight, examples * SKETCH).reshape(-1, SKETCH)
+    sketch /= np.maximum(1e-12, np.sqrt((sketch * sketch).sum(1, keepdims=True)))
+    centres = sketch[np.linspace(0, examples - 1, groups).astype(int)]
+    for _ in range(ROUNDS):
+        group = (sketch @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, group, sketch)
+        size = np.sqrt((sums * sums).sum(1, keepdims=True))
+        centres = np.where(size > 0, sums / np.maximum(1e-12, size), centres)
+    return (sketch @ centres.T).argmax(1)
+
+
 class Calibration:
-    """Votes to probabilities: smoothed shares per tenth of the vote, made non-decreasing by pooling."""
+    """Votes to probabilities: smoothed shares per tenth of the vote, made non-decreasing by pooling, straight lines between."""
 
     def __init__(self, votes: np.ndarray, toxic: np.ndarray, weights: np.ndarray, prior: float):
         tenth = np.minimum((votes * 10).astype(int), 9)
         mass = np.bincount(tenth, weights, 10)
         hits = np.bincount(tenth, weights * toxic, 10)
-        centre = (np.arange(10) + 0.5) / 10
-        pools = [[h + (c + prior) / 2, m + 1.0, 1] for h, m, c in zip(hits, mass, centre)]
+        self.centres = (np.arange(10) + 0.5) / 10
+        pools = [[h + (c + prior) / 2, m + 1.0, 1] for h, m, c in zip(hits, mass, self.centres)]
         kept: list[list[float]] = []
         for pool in pools:
             kept.append(pool)
@@ -183,60 +250,62 @@ class Calibration:
         self.shares = [h / m for h, m, n in kept for _ in range(int(n))]
 
     def __call__(self, vote: float) -> float:
-        return float(min(1.0, self.shares[min(int(vote * 10), 9)]))
+        return float(min(1.0, np.interp(vote, self.centres, self.shares)))
+
+
+def leads(term: np.ndarray, toxic: np.ndarray, terms: int, sizes: tuple[int, int]) -> np.ndarray:
+    """(t - c) / (t + c) of each term's smoothed shares of toxic and other examples, at least LEAST_LEAD; term, toxic: a place per posting."""
+    others, toxics = sizes
+    part = toxics / max(1, others + toxics)
+    t = (np.bincount(term, toxic, terms) + SMOOTHING * part) / max(1, toxics)
+    c = (np.bincount(term, 1 - toxic, terms) + SMOOTHING * (1 - part)) / max(1, others)
+    return np.maximum(LEAST_LEAD, (t - c) / np.maximum(t + c, 1e-300))
 
 
-def fit(docs: DataFrame, labels: DataFrame, learn: Column, terms: int = TERMS, examples: int = EXAMPLES,
-        neighbours: int = NEIGHBOURS, chi_square: float = CHI_SQUARE) -> tuple[DataFrame, Index, Calibration, float]:
+def fit(docs: DataFrame, labels: DataFrame, learn: Column, examples: int = EXAMPLES,
+        neighbours: int = NEIGHBOURS) -> tuple[DataFrame, Index, Calibration, float]:
     """(vectors of all docs, index, calibration, score without any word)."""
-    marked = stored(labelled(docs, labels, learn), "toxic-labels")
-    vocabulary = telling_words(docs, marked, chi_square, terms)
+    rows, sizes = drawn(docs, stored(labelled(docs, labels, learn), "toxic-labels"), examples)
+    known = rows.orderBy("place").toArrow()
+    place, toxic = known.column("place").to_numpy(), known.column("toxic").to_numpy().astype(int)
+    offsets, hashes = _lists(known.column("hashes"))
+    counts = _lists(known.column("counts"))[1]
+    vocabulary = np.unique(hashes.view(np.uint64))
     found = stored(vectors(docs, vocabulary), "toxic-vectors")
     total = found.count()
-    seen = np.zeros(len(vocabulary))
-    for r in found.select(F.explode("terms").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n")).collect():
-        seen[r.t] = r.n
-    idf = (np.log((1 + total) / (1 + seen)) + 1) * np.array(list(vocabulary.values()))
-
-    known = found.join(marked, "doc_id")
-    sizes = {(r.toxic, r.told): r.n for r in known.groupBy("toxic", (F.size("terms") > 0).alias("told")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    rows, rates = [], {}
-    for toxic in (0, 1):
-        n = sizes.get((toxic, True), 0)
-        if n:
-            rates[toxic] = min(1.0, examples / n)
-            place = F.xxhash64("terms", "counts", "doc_id")
-            part = known.where((F.col("toxic") == toxic) & (F.size("terms") > 0))
-            # about a tenth more than wanted by hash, then the exact number
-            part = part.where(F.pmod(place, F.lit(1 << 30)) < int(min(1.0, rates[toxic] * 1.1 + 1e-6) * (1 << 30)))
-            rows += part.orderBy(place, "doc_id").limit(examples).select("doc_id", "toxic", "terms", "counts").collect()
-    index = Index(idf, [tuple(r) for r in sorted(rows, key=lambda r: r.doc_id)])
-    silent = [sizes.get((t, False), 0) for t in (0, 1)]
-    prior = silent[1] / (sum(silent) + 1)
-    votes = own_votes(found.sparkSession, index, sorted(rows, key=lambda r: r.doc_id), neighbours)
-    toxic = index.toxic[[n for n, _ in votes]].astype(int)
-    weights = np.array([1 / rates[t] for t in toxic.tolist()])
-    return found, index, Calibration(np.array([v for _, v in votes]), toxic, weights, prior), prior
-
-
-def own_votes(spark: SparkSession, index: Index, examples: list, neighbours: int) -> list[tuple[int, float]]:
+    term = np.searchsorted(vocabulary, hashes.view(np.uint64))
+    drawn_of = (int((toxic == 0).sum()), int((toxic == 1).sum()))
+    idf = np.log((1 + total) / (1 + document_frequencies(found, len(vocabulary)))) + 1
+    idf *= leads(term, np.repeat(toxic, np.diff(offsets)), len(vocabulary), drawn_of)
+    ids = known.column("doc_id").to_numpy()
+    index = Index(idf, [(ids[i], toxic[i], term[a:b], counts[a:b]) for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:]))])
+    prior = sizes.get(1, 0) / (sum(sizes.values()) + 1)
+    number, votes = own_votes(rows, index, place, vocabulary, neighbours)
+    weights = np.array([sizes.get(t, 0) / max(1, drawn_of[t]) for t in (0, 1)])[toxic[number]]
+    return found, index, Calibration(votes, toxic[number], weights, prior), prior
+
+
+def own_votes(rows: DataFrame, index: Index, place: np.ndarray, vocabulary: np.ndarray, neighbours: int) -> tuple[np.ndarray, np.ndarray]:
     """(number, vote) of each example among the others, computed by the executors; examples without neighbours are left out."""
-    shared = spark.sparkContext.broadcast(index)
-    rows = [(n, list(e.terms), list(e.counts)) for n, e in enumerate(examples)]
-    asked = spark.createDataFrame(rows, "number long, terms array<int>, counts array<int>")
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast((index, place, vocabulary))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def work(batches):
         for batch in batches:
+            index, place, vocabulary = shared.value
             out = []
-            for n, terms, counts in zip(*(batch.column(c).to_pylist() for c in ("number", "terms", "counts"))):
-                near = shared.value.nearest(terms, counts, neighbours, without=n)
+            for p, hashes, counts in zip(*(batch.column(c) for c in ("place", "hashes", "counts"))):
+                number = int(np.searchsorted(place, p.as_py()))
+                terms = np.searchsorted(vocabulary, hashes.values.to_numpy().view(np.uint64))
+                near = index.nearest(terms, counts.values.to_numpy(), neighbours, without=number)
                 if len(near[0]):
-                    out.append((n, shared.value.vote(near)))
+                    out.append((number, index.vote(near)))
             yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()), pa.array([v for _, v in out], pa.float64())],
                                              names=["number", "vote"])
 
-    return sorted(tuple(r) for r in map_batches(asked.repartition(parts), work, "number long, vote double").collect())
+    found = map_batches(rows.select("place", "hashes", "counts").repartition(parts, "place"), work, "number long, vote double").orderBy("number").toArrow()
+    return found.column("number").to_numpy(), found.column("vote").to_numpy()
 
 
 def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None, neighbours: int = NEIGHBOURS,
@@ -248,14 +317,14 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None, neigh
 
     def work(batches):
         index, calibration = model.value
-        known: dict[tuple, tuple] = {}
+        known: dict[bytes, tuple] = {}
         for batch in batches:
+            (begin, terms), (_, counts) = _lists(batch.column("terms")), _lists(batch.column("counts"))
             scores, evidence = [], []
-            for terms, counts in zip(batch.column("terms").to_pylist(), batch.column("counts").to_pylist()):
-                key = (tuple(terms), tuple(counts))
+            for key, a, b in zip(batch.column("text_key").to_pylist(), begin[:-1], begin[1:]):
                 if key not in known:
-                    near = index.nearest(terms, counts, neighbours) if terms else ([], [])
-                    if len(known) > 50_000:
+                    near = index.nearest(terms[a:b], counts[a:b], neighbours)
+                    if len(known) >= REMEMBERED:
                         known.clear()
                     known[key] = (
                         calibration(index.vote(near)) if len(near[0]) else silent,
