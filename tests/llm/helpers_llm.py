@@ -20,7 +20,7 @@ def awkward(spark):
         (6, "word " * 30_000, "en", "b", 150_000), (7, "x" * 3_000, "en", "b", 3_000), (8, "日本語 🙂 é ▁ \u0001", "ja", "b", 12),
     ]
     frame = spark.createDataFrame(rows, SCHEMA)
-    for name in ("score", "label", "word", "size", "chunk", "part", "class_id", "bucket", "target", "terms", "place", "n"):
+    for name in ("score", "label", "word", "size", "chunk", "part", "class_id", "bucket", "target", "terms", "place", "n", "_key", "_row", "_cuts", "key", "digest", "text_key", "told", "row", "cuts", "cut", "words", "a.b", "a`b"):
         frame = frame.withColumn(name, F.lit("extra"))
     return frame
 

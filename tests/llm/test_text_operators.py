@@ -1,4 +1,6 @@
 import hashlib
+import math
+import random
 import re
 from collections import Counter
 
@@ -132,6 +134,52 @@ def test_words_far_from_a_value_disclose_it_everywhere_in_the_text(spark):
     assert all("kestrel" not in clean[i].lower() for i in range(4))
 
 
+@pytest.mark.parametrize("also", [[], [f"mail kestrel@site{i}.org now" for i in range(8)]])
+def test_words_inside_values_count_for_nothing(spark, also):
+    draw = random_texts(25, 60, (6, 12))
+    texts = [f"{draw[i]} kestrel jo@ex.org the {draw[i + 20]}" for i in range(4)] + [f"the {t}" for t in draw[20:]] + also
+    got = {r.doc_id: r for r in privacy.spans_of(documents(spark, texts)).collect()}
+    for i in range(4):
+        at = texts[i].index("kestrel")
+        assert f"term:{at}:{at + 7}" in got[i].spans
+
+
+def plain_terms(texts, support=3, disclosure=0.9):
+    """Every place of a disclosing word, by text, from all pairs of words and values."""
+    different = sorted(set(texts))
+    spans = {t: privacy.base_spans(t) for t in different}
+    words = {t: {w for w, _, _ in privacy.outside(t, spans[t])} for t in different}
+    around = {t: " ".join(w for w, _, _ in privacy.outside(t, spans[t])) for t in different}
+    held = {t: {privacy.entity(k, t[a:b]) for k, a, b in spans[t]} for t in different}
+    rows = Counter(texts)
+    n = Counter(w for t in texts for w in words[t])
+    told = {t: set() for t in different}
+    for e in set().union(*held.values()):
+        holders = [t for t in different if e in held[t]]
+        of_entity = sum(rows[t] for t in holders)
+        if of_entity == len(texts):
+            continue
+        for w in set().union(*(words[t] for t in holders)):
+            meet = [t for t in holders if w in words[t]]
+            mutual = math.log2(sum(rows[t] for t in meet) * len(texts) / of_entity / n[w])
+            if len({around[t] for t in meet}) >= support and mutual >= disclosure * math.log2(len(texts) / of_entity) - 1e-12:
+                for t in meet:
+                    told[t].add(w)
+    return {t: [("term", a, b) for w, a, b in privacy.outside(t, spans[t]) if w in told[t]] for t in different}
+
+
+def test_added_spans_equal_all_pairs(spark):
+    draw, pick = random_texts(35, 400, (5, 9), 60), random.Random(35)
+    values = ["jo@ex.org", "al@ex.org", "1.2.3.4", "+49 170 1234567"]
+    birds = ["osprey", "heron", "wren", "stork"]
+    texts = [f"{t} {birds[i % 4]} {values[i % 4]} {pick.choice(values)} {t[:3]}" if i < 60 else t for i, t in enumerate(draw)]
+    texts += texts[:5] + [f"signed {t} jo@ex.org al@ex.org bee@ex.org" for t in draw[100:104]] + ["wren@ex.org", "", "heron alone"]
+    want = plain_terms(texts)
+    assert sum(map(len, want.values())) > 20
+    for r in privacy.spans_of(documents(spark, texts)).collect():
+        assert r.spans == privacy.joined([*plain_spans(texts[r.doc_id]), *want[texts[r.doc_id]]])
+
+
 def test_words_outside_values():
     text = "Ab jo@ex.org cd +49 170 1234567 Ef"
     assert privacy.outside(text, privacy.base_spans(text)) == [("ab", 0, 2), ("cd", 13, 15), ("ef", 32, 34)]

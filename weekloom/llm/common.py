@@ -28,19 +28,36 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column), F.lit(""))
 
 
+def unused(df: DataFrame, *stems: str) -> list[str]:
+    """Names that df has no column of: the stems, with underscores where they are taken."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        out.append(stem)
+    return out
+
+
+def quoted(names: list[str]) -> list[Column]:
+    """Columns by name, whatever characters that holds."""
+    return [F.col("`" + n.replace("`", "``") + "`") for n in names]
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the value as text, modulo n."""
     return F.crc32(F.col(column).cast("string").cast("binary")) % n
 
 
 def map_batches(df: DataFrame, work: Callable[[Batches], Batches], schema: str, barrier_rows: int = 2000) -> DataFrame:
-    """``work`` over Arrow batches of bounded size: at most ``barrier_rows`` rows and 32 MB."""
+    """``work`` over Arrow batches of at most ``barrier_rows`` rows, wherever and whenever the plan runs."""
     # Workers that start elsewhere find this package where the driver has it, unless it is installed or shipped.
     df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
-    conf = df.sparkSession.conf
-    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(barrier_rows))
-    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
-    return df.mapInArrow(work, schema)
+
+    def limited(batches: Batches) -> Batches:
+        return work(batch.slice(at, barrier_rows) for batch in batches for at in range(0, max(1, batch.num_rows), barrier_rows))
+
+    return df.mapInArrow(limited, schema)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

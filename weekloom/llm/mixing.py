@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import WORD, stored, text_or_empty
+from weekloom.llm.common import WORD, quoted, stored, text_or_empty, unused
 
 BLOCK_WORDS = 1024
 SHARD_SLOTS = 4096
@@ -35,7 +35,7 @@ SEED = 20240229
 
 def row_key(docs: DataFrame) -> Column:
     """A digest of all columns: rows that share it are equal."""
-    return F.unhex(F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns]))))
+    return F.unhex(F.md5(F.to_json(F.struct(*quoted(docs.columns)))))
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -171,13 +171,14 @@ def mixed(docs: DataFrame, **options) -> DataFrame:
     """
     rows, goals, pieces = takes(docs, **options)
     placed = packed(rows).withColumnRenamed("source", "s").join(goals, F.col("s").eqNullSafe(F.col("source")))
-    cuts = placed.join(pieces, ["source_no", "chunk", "row_no"]).groupBy(F.col("row_key").alias("_row")).agg(
-        F.sort_array(F.collect_list(F.struct("shard", "slot", "first", "n"))).alias("_cuts"))
-    full = docs.withColumn("_row", row_key(docs)).groupBy("_row").agg(*[F.first(c).alias(c) for c in docs.columns])
-    words = F.regexp_extract_all(F.col("text"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
-    cut = full.join(cuts, "_row").withColumn("_words", words).withColumn("_cut", F.explode("_cuts"))
-    text = F.array_join(F.slice("_words", (F.col("_cut.first") + 1).cast("int"), F.col("_cut.n").cast("int")), "")
-    out = cut.withColumn("text", text)
+    row, cuts, words, cut = unused(docs, "row", "cuts", "words", "cut")
+    taken = placed.join(pieces, ["source_no", "chunk", "row_no"]).groupBy(F.col("row_key").alias(row)).agg(
+        F.sort_array(F.collect_list(F.struct("shard", "slot", "first", "n"))).alias(cuts))
+    full = docs.withColumn(row, row_key(docs)).groupBy(row).agg(*[F.first(c).alias(n) for c, n in zip(quoted(docs.columns), docs.columns)])
+    split = F.regexp_extract_all(F.col("text"), F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+    out = full.join(taken, row).withColumn(words, split).withColumn(cut, F.explode(cuts))
+    text = F.array_join(F.slice(words, (F.col(cut)["first"] + 1).cast("int"), F.col(cut)["n"].cast("int")), "")
+    out = out.withColumn("text", text)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(dict(docs.dtypes)["n_chars"]))
-    return out.select(*docs.columns)
+    return out.select(*quoted(docs.columns))

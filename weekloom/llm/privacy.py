@@ -26,12 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import map_batches, stored, text_or_empty
+from weekloom.llm.common import map_batches, stored, text_or_empty, unused
 
 KINDS = ("email", "ip", "card", "phone")
 SUPPORT, DISCLOSURE = 3, 0.9
 #: Different words that a Python worker counts before it passes the counts on.
 HELD_WORDS = 300_000
+#: The most words that are sent to every task, about 10 MB.
+SENT_WORDS = 300_000
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -156,12 +158,13 @@ def places(texts: DataFrame) -> DataFrame:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word, n: rows of docs that hold the word. Counted per task before the shuffle."""
+    """word, n: rows of docs that hold the word outside values. Counted per task before the shuffle."""
     def work(batches):
         held: Counter[str] = Counter()
         for batch in batches:
             for text in batch.column("text").to_pylist():
-                held.update({w.lower() for w in set(_WORD.findall(text))})
+                spans = base_spans(text)
+                held.update({w for w, _, _ in outside(text, spans)} if spans else {w.lower() for w in set(_WORD.findall(text))})
             if len(held) > HELD_WORDS:
                 yield counted(held)
                 held.clear()
@@ -180,27 +183,33 @@ def found(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSUR
     total = docs.count()
     texts = stored(holders(docs), "pii-texts")
     held = texts.select("text_key", "context", "rows", F.explode("entities").alias("entity"))
-    known = held.groupBy("entity").agg(F.sum("rows").alias("of_entity"), F.countDistinct("context").alias("contexts"))
+    # entities that the same texts hold count alike: they are paired with words once, as the digest of that set of texts
+    known = held.groupBy("entity").agg(
+        F.sum("rows").alias("of_entity"), F.countDistinct("context").alias("contexts"),
+        F.bit_xor(F.xxhash64("text_key")).alias("set"), F.bit_xor(F.xxhash64(F.lit(1), "text_key")).alias("set2"))
     known = known.where((F.col("contexts") >= support) & (F.col("of_entity") < total)).drop("contexts")
     # mutual information over information reaches disclosure only with n <= of_entity * (total / of_entity) ** (1 - disclosure)
     most = F.col("of_entity") * F.pow(total / F.col("of_entity"), F.lit(1 - disclosure)) * (1 + 1e-9)
-    live = stored(held.join(known.withColumn("most", most), "entity"), "pii-live")
+    live = stored(held.join(known.withColumn("most", most), "entity").drop("entity").distinct(), "pii-live")
     limits = live.groupBy("text_key").agg(F.max("most").alias("limit"))
     highest = live.agg(F.max("most")).first()[0] or 0.0
 
     counts = stored(word_counts(docs).where(F.col("n") >= support), "pii-words")
     common = counts.where(F.col("n") > highest).select("word")
-    cells = different_words(texts.join(limits.select("text_key"), "text_key")).join(F.broadcast(common), "word", "left_anti")
+    cells = different_words(texts.join(limits.select("text_key"), "text_key"))
+    if common.count() <= SENT_WORDS:  # else the next join drops them
+        cells = cells.join(F.broadcast(common), "word", "left_anti")
     cells = cells.join(counts.where(F.col("n") <= highest), "word").join(limits, "text_key").where("n <= limit")
     cells = stored(cells.select("text_key", "word", "n"), "pii-cells")
 
     both = cells.join(live, "text_key").where("n <= most")
-    pairs = both.groupBy("entity", "word").agg(
-        F.sum("rows").alias("both"), F.countDistinct("context").alias("contexts"), F.first("n").alias("n"), F.first("of_entity").alias("of_entity"))
+    entities = ["set", "set2", "of_entity"]
+    pairs = both.groupBy(*entities, "word").agg(
+        F.sum("rows").alias("both"), F.countDistinct("context").alias("contexts"), F.first("n").alias("n"))
     information = F.log2(total / F.col("of_entity"))
     mutual = F.log2(F.col("both") * total / F.col("of_entity") / F.col("n"))
-    pairs = pairs.where((F.col("contexts") >= support) & (mutual >= disclosure * information)).select("entity", "word")
-    words = both.join(pairs, ["entity", "word"]).groupBy("text_key").agg(F.collect_set("word").alias("words"))
+    pairs = pairs.where((F.col("contexts") >= support) & (mutual >= disclosure * information)).select(*entities, "word")
+    words = both.join(pairs, [*entities, "word"]).groupBy("text_key").agg(F.collect_set("word").alias("words"))
     return places(texts.join(words, "text_key"))
 
 
@@ -231,18 +240,21 @@ def spans_of(docs: DataFrame, **options) -> DataFrame:
 def sanitised(docs: DataFrame, **options) -> DataFrame:
     """docs with every span of its text generalised to its kind; n_chars, if there, follows."""
     added = found(docs, **options)
-    rows = docs.withColumn("_key", F.unhex(F.md5(text_or_empty()))).join(added.toDF("_key", "_terms"), "_key", "left")
-    kinds, columns = dict(docs.dtypes), docs.columns
+    text_key, told = unused(docs, "text_key", "told")
+    rows = docs.withColumn(text_key, F.unhex(F.md5(text_or_empty()))).join(added.toDF(text_key, told), text_key, "left").drop(text_key)
+    kinds, names = dict(docs.dtypes), [f"c{i}" for i in range(len(docs.columns))]
+    place = docs.columns.index("text")
 
     def work(batches):
         for batch in batches:
             texts = []
-            for text, terms in zip(batch.column("text").to_pylist(), batch.column("_terms").to_pylist()):
+            for text, terms in zip(batch.column(place).to_pylist(), batch.column("told").to_pylist()):
                 spans = base_spans(text) if text else []
                 texts.append(redacted(text, spans + [("term", t["start"], t["end"]) for t in terms or []]) if text else text)
-            out = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
-            yield pa.RecordBatch.from_arrays(out, names=columns)
+            out = [pa.array(texts, pa.string()) if i == place else batch.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(out, names=names)
 
-    schema = ", ".join(f"`{c}` {kinds[c]}" for c in columns)
-    out = map_batches(rows.drop("_key"), work, schema)
+    # plain names for the way through Arrow, as columns may be called anything
+    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema))
+    out = map_batches(rows.toDF(*names, "told"), work, schema).toDF(*docs.columns)
     return out.withColumn("n_chars", F.char_length("text").cast(kinds["n_chars"])) if "n_chars" in kinds else out
