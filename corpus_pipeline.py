@@ -12,25 +12,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weekloom.llm import mixing, near_text, pieces, privacy, toxicity
-from weekloom.llm.common import stored, table, text_or_empty
+from weekloom.llm.common import quoted, stored, table, text_or_empty, unused
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose text isn't predicted to be toxic; a text's prediction is the same under every id."""
+    (text_key,) = unused(docs, "text_key")
     scored = toxicity.score(docs, table(spark, sf_dir, "labels"))
-    rejected = scored.where("predicted = 1").select(F.col("text_key").alias("_key")).distinct()
-    return docs.withColumn("_key", F.unhex(F.md5(text_or_empty()))).join(rejected, "_key", "left_anti").select(*docs.columns)
+    rejected = scored.where("predicted = 1").select(F.col("text_key").alias(text_key)).distinct()
+    return docs.withColumn(text_key, F.unhex(F.md5(text_or_empty()))).join(rejected, text_key, "left_anti").select(*quoted(docs.columns))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id (null last); of rows with equal id and text, one."""
-    rows = docs.withColumn("_key", F.xxhash64(F.col("doc_id").isNull(), "doc_id", F.col("text").isNull(), "text"))
-    linked = near_text.joined(rows.select(F.col("_key").alias("doc_id"), "text"))
-    groups = linked.groupBy(F.col("doc_id").alias("_key")).agg(F.min("component_id").alias("group"))
-    ids = rows.groupBy("_key").agg(F.min("doc_id").alias("id"))
-    first = F.min(F.struct(F.col("id").isNull(), "id", "_key"))["_key"]
-    heads = groups.join(ids, "_key").groupBy("group").agg(first.alias("_key")).select("_key")
-    return rows.join(heads, "_key", "left_semi").dropDuplicates(["_key"]).select(*docs.columns)
+    key, digest, held = unused(docs, "key", "digest", "held")
+    parts = [F.col("doc_id").isNull(), F.col("doc_id"), F.col("text").isNull(), F.col("text")]
+    rows = docs.withColumns({key: F.xxhash64(*parts), digest: F.unhex(F.md5(F.to_json(F.struct("doc_id", "text"))))})
+    linked = near_text.joined(rows.select(F.col(key).alias("doc_id"), "text"))
+    groups = linked.groupBy(F.col("doc_id").alias(key)).agg(F.min("component_id").alias("group"))
+    ids = rows.groupBy(key).agg(F.min("doc_id").alias("id"), (F.min(digest) != F.max(digest)).alias(held))
+    first = F.min(F.struct(F.col("id").isNull(), "id", key))[key]
+    heads = groups.join(ids, key).groupBy("group").agg(first.alias(key)).select(key)
+    # different rows that share a 64-bit key stay, whatever their links
+    heads = heads.union(ids.where(held).select(key)).distinct()
+    return rows.join(heads, key, "left_semi").dropDuplicates([digest]).select(*quoted(docs.columns))
 
 
 def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
