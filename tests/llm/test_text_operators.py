@@ -1,5 +1,6 @@
 import hashlib
 import math
+import pickle
 import random
 import re
 from collections import Counter
@@ -285,16 +286,19 @@ def test_scores_equal_a_plain_search_over_all_words(spark):
         assert got[i].score == pytest.approx(likely, abs=1e-6)
 
 
-def test_index_finds_the_exact_nearest():
+@pytest.mark.parametrize("light, share", [(0.15, 1 / 8), (0.5, 0.0), (0.05, 0.0), (9.0, 0.0), (0.0, 1.0)])
+def test_index_finds_the_exact_nearest(light, share, monkeypatch):
     import numpy as np
 
+    monkeypatch.setattr(toxicity, "LIGHT", light)
+
     draw = np.random.default_rng(1)
     idf = draw.uniform(0.5, 3, 40)
     examples = []
     for i in range(700):
         terms = sorted(draw.choice(40, draw.integers(1, 6), replace=False).tolist())
         examples.append((i, int(draw.integers(2)), terms, draw.integers(1, 4, len(terms)).tolist()))
-    index = toxicity.Index(idf, examples, block=16)
+    index = pickle.loads(pickle.dumps(toxicity.Index(idf, examples, block=16, common=share)))
     dense = np.zeros((700, 40))
     for i, (_, _, terms, counts) in enumerate(examples):
         dense[i, terms] = index.unit(terms, counts)

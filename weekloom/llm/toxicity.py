@@ -5,10 +5,10 @@ come from all documents. A word's idf is scaled by (t - c) / (t + c), where t an
 shares of toxic and other examples that hold it, smoothed towards each other by
 ``SMOOTHING`` texts and never below ``LEAST_LEAD``, so every word counts. A text's score is
 the distance-weighted vote of the labelled examples nearest by exact cosine, found through
-an inverted index in blocks of like examples: a block's bound is the sum over the query's
-words of weight times the largest weight in the block; the block with the highest bound is
-read first, then every other one whose bound reaches the neighbours found there. Votes are
-calibrated on the examples themselves, each left out of its own vote.
+an inverted index in blocks of like examples: a text's light words, common ones that can add
+little to any cosine, are left out first; what they add in a block is at most the sum of
+weight times the largest weight there, and only examples that reach the k-th best cosine
+with that bound are finished, from counts that are kept per example. Votes are calibrated on the examples themselves, each left out of its own vote.
 
 Fitted on a bounded sample: at most ``examples`` different labelled texts per label, drawn
 by hash from all that there are. Everything else covers all rows.
@@ -27,12 +27,17 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.llm.common import map_batches, mix64, stored, text_or_empty
 
 EXAMPLES, NEIGHBOURS, BLOCK = 20_000, 25, 512
+#: Words in more than this share of the examples are common.
+COMMON = 1 / 8
+#: What a text's light words, the common ones that say least, may add to a cosine at most.
+LIGHT = 0.15
 SMOOTHING, LEAST_LEAD, THRESHOLD = 8.0, 0.05, 0.7
 #: Added to distances, so that an equal text doesn't outweigh all others.
 SOFTENING = 0.05
@@ -90,7 +95,8 @@ def drawn(docs: DataFrame, marked: DataFrame, examples: int) -> tuple[DataFrame,
             ], names=["place", "doc_id", "toxic", "hashes", "counts"])
 
     keys = docs.select("doc_id", F.unhex(F.md5(text_or_empty())).alias("text_key"), text_or_empty().alias("text"))
-    texts = keys.join(chosen, ["doc_id", "text_key"]).select("place", "doc_id", "toxic", "text")
+    # at most ``examples`` rows per label
+    texts = keys.join(F.broadcast(chosen), ["doc_id", "text_key"]).select("place", "doc_id", "toxic", "text")
     rows = map_batches(texts, work, "place long, doc_id long, toxic int, hashes array<long>, counts array<int>", 500)
     return stored(rows.dropDuplicates(["place"]), "toxic-examples"), sizes
 
@@ -145,32 +151,55 @@ class Index:
     """Examples as unit TF-IDF vectors in inverted lists, cut into blocks of like examples.
 
     A list is a run of (block, largest weight) entries, and each of those a run of postings.
+    Only what the rest follows from is sent: list sizes, places, counts and idf.
     """
 
-    def __init__(self, idf: np.ndarray, examples: list[tuple], block: int = BLOCK):
-        """examples: (doc_id, toxic, terms, counts), numbered as they come."""
-        self.idf = np.asarray(idf, float)
-        self.ids = np.array([e[0] for e in examples], np.int64)
-        self.toxic = np.array([e[1] for e in examples], np.int8)
-        number = np.repeat(np.arange(len(examples)), [len(e[2]) for e in examples])
-        term = np.concatenate([np.asarray(e[2], np.int64) for e in examples]) if examples else np.empty(0, np.int64)
-        count = np.concatenate([np.asarray(e[3], float) for e in examples]) if examples else np.empty(0)
-        weight = (1 + np.log(count)) * self.idf[term]
-        weight /= np.sqrt(np.bincount(number, weight * weight, len(examples)))[number]
-        order = np.argsort(like(number, term, weight, len(examples), block), kind="stable")
-        self.number = order.astype(np.int32)  # of the example at each position
-        self.position = np.empty(len(order), np.int32)
-        self.position[order] = np.arange(len(order))
-        self.blocks = -(-len(examples) // block)
-        position = self.position[number]
-        by_term = np.lexsort((position, term))
-        term, position, weight = term[by_term], position[by_term], weight[by_term]
-        run = np.flatnonzero(np.diff(term * (self.blocks + 1) + position // block, prepend=-1))
-        self.entries = np.searchsorted(term[run], np.arange(len(self.idf) + 1)).astype(np.int32)
-        self.entry_block = (position[run] // block).astype(np.int32)
+    def __init__(self, idf: np.ndarray, examples: list[tuple], block: int = BLOCK, common: float = COMMON):
+        """examples: (doc_id, toxic, terms, counts), numbered as they come; ``common`` is a share of them."""
+        n, idf = len(examples), np.asarray(idf, float)
+        number = np.repeat(np.arange(n, dtype=np.int32), [len(e[2]) for e in examples])
+        term, count = (np.concatenate([np.empty(0, np.int32), *(np.asarray(e[i], np.int32) for e in examples)]) for i in (2, 3))
+        order = np.argsort(like(number, term, count, idf, n, block), kind="stable").astype(np.int32)
+        position = np.empty(n, np.int32)
+        position[order] = np.arange(n)
+        by_term = np.argsort(term.astype(np.int64) * n + position[number])
+        self.__setstate__({
+            "idf": idf, "block": block, "common": common, "number": order, "position": position,
+            "ids": np.array([e[0] for e in examples], np.int64), "toxic": np.array([e[1] for e in examples], np.int8),
+            "sizes": np.bincount(term, minlength=len(idf)).astype(np.int32),
+            "at": position[number][by_term].astype(np.min_scalar_type(max(0, n - 1))),
+            "count": count[by_term].astype(np.min_scalar_type(int(count.max(initial=0))))})
+
+    def __getstate__(self) -> dict:
+        return self.sent
+
+    def __setstate__(self, sent: dict) -> None:
+        self.sent = sent
+        vars(self).update({k: v for k, v in sent.items() if k not in ("sizes", "count")})
+        n, sizes = len(self.ids), sent["sizes"]
+        self.blocks, self.block_of = -(-n // self.block), np.arange(n) // self.block
+        self.logs = np.append(0, 1 + np.log(np.arange(1, int(sent["count"].max(initial=0)) + 1)))
+        weight = self.logs[sent["count"]] * np.repeat(self.idf, sizes)
+        self.scale = 1 / np.sqrt(np.bincount(self.at, weight * weight, n))
+        weight *= self.scale[self.at]
+        block = (self.at // np.int32(self.block)).astype(np.int32)
+        change = np.diff(block, prepend=-1) != 0
+        starts = np.concatenate([[0], np.cumsum(sizes)])
+        change[starts[:-1][sizes > 0]] = True
+        run = np.flatnonzero(change).astype(np.int32)
+        self.entries = np.searchsorted(run, starts).astype(np.int32)
+        self.entry_block, self.weight = block[run], weight
         self.entry_most = np.maximum.reduceat(weight, run) if len(run) else weight
-        self.postings = np.append(run, len(term)).astype(np.int64)
-        self.at, self.weight = position.astype(np.int32), weight
+        self.postings = np.append(run, len(weight)).astype(np.int32)
+        self.most = np.zeros(len(sizes))
+        self.most[sizes > 0] = np.maximum.reduceat(weight, starts[:-1][sizes > 0]) if len(run) else 0
+        many = np.flatnonzero(sizes > sent["common"] * n)
+        self.row = np.full(len(sizes), -1, np.int32)
+        self.row[many] = np.arange(len(many))
+        self.rows = np.zeros((len(many), n), sent["count"].dtype)
+        for row, term in enumerate(many):
+            part = slice(starts[term], starts[term + 1])
+            self.rows[row, self.at[part]] = sent["count"][part]
 
     def unit(self, terms, counts) -> np.ndarray:
         weights = (1 + np.log(np.asarray(counts, float))) * self.idf[terms]
@@ -181,31 +210,39 @@ class Index:
         terms = np.asarray(terms, np.int64)
         if not len(terms) or not self.blocks:
             return np.empty(0, np.int64), np.empty(0)
+        unit = self.unit(terms, counts)
+        most = unit * self.most[terms]
+        order = np.argsort(most)
+        light = np.zeros(len(terms), bool)
+        light[order] = (np.cumsum(most[order]) <= LIGHT) & (self.row[terms[order]] >= 0)
+        sums = self.listed(terms[~light], unit[~light])
+        if without >= 0:
+            sums[self.position[without]] = -np.inf
+        terms, unit = terms[light], unit[light]
         lows, highs = self.entries[terms], self.entries[terms + 1]
-        asked, entry = np.repeat(self.unit(terms, counts), highs - lows), spans(lows, highs)
-        block = self.entry_block[entry]
-        bounds = np.bincount(block, asked * self.entry_most[entry], self.blocks)
-        first = block == bounds.argmax()
-        sums = self.scored(entry[first], asked[first], without)
-        least = np.partition(sums, -k)[-k] - 1e-9 if len(sums) > k else 0.0
-        more = (bounds[block] >= least) & ~first
-        if more.any():
-            sums += self.scored(entry[more], asked[more], without)
-        # whoever cannot be among the k best isn't sorted
-        least = np.partition(sums, -k)[-k] - 1e-11 if len(sums) > k else 0.0
-        near = np.flatnonzero((sums > 0) & (sums >= least))
-        numbers, cosines = self.number[near].astype(np.int64), sums[near]
+        entry = spans(lows, highs)
+        bounds = np.bincount(self.entry_block[entry], np.repeat(unit, highs - lows) * self.entry_most[entry], self.blocks)
+        least = 0.0
+        if len(sums) > 2 * k:  # the k-th best of some likely ones that are finished first
+            likely = self.finished(np.argpartition(sums, -2 * k)[-2 * k :], sums, terms, unit)
+            least = np.partition(likely, -k)[-k] - 1e-9
+        near = np.flatnonzero(sums + bounds[self.block_of] >= max(least, 1e-300))
+        cosines = self.finished(near, sums, terms, unit)
+        near, cosines = near[cosines > 0], cosines[cosines > 0]
+        numbers = self.number[near].astype(np.int64)
         best = np.lexsort((numbers, -cosines.round(12)))[:k]
         return numbers[best], cosines[best]
 
-    def scored(self, entry: np.ndarray, asked: np.ndarray, without: int) -> np.ndarray:
-        """What the postings of some entries add to the cosine of each position."""
-        lows, highs = self.postings[entry], self.postings[entry + 1]
+    def finished(self, near: np.ndarray, sums: np.ndarray, terms: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """Cosines of some positions: their sums, and what the given common words add."""
+        counted = self.rows[self.row[terms][:, None], near]
+        return sums[near] + (unit * self.idf[terms]) @ self.logs[counted] * self.scale[near]
+
+    def listed(self, terms: np.ndarray, unit: np.ndarray) -> np.ndarray:
+        """What the lists of some terms add to the cosine of each position."""
+        lows, highs = self.postings[self.entries[terms]], self.postings[self.entries[terms + 1]]
         at = spans(lows, highs)
-        sums = np.bincount(self.at[at], self.weight[at] * np.repeat(asked, highs - lows), len(self.number))
-        if without >= 0:
-            sums[self.position[without]] = 0
-        return sums
+        return np.bincount(self.at[at], self.weight[at] * np.repeat(unit, highs - lows), len(self.number))
 
     def vote(self, found: tuple[np.ndarray, np.ndarray]) -> float:
         numbers, cosines = found
@@ -213,14 +250,18 @@ class Index:
         return float((weights * self.toxic[numbers]).sum() / weights.sum())
 
 
-def like(number: np.ndarray, term: np.ndarray, weight: np.ndarray, examples: int, block: int) -> np.ndarray:
+def like(number: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np.ndarray, examples: int, block: int) -> np.ndarray:
     """A group per example, so that blocks of a group's examples have few words in common with other texts: k-means on signed sums."""
     groups = -(-examples // block)
     if groups < 2:
         return np.zeros(examples, np.int64)
-    scrambled = mix64(term.astype(np.uint64) + np.uint64(1))
-    place, sign = (scrambled % np.uint64(SKETCH)).astype(np.int64), np.where(scrambled >> np.uint64(63), 1.0, -1.0)
-    sketch = np.bincount(number * SKETCH + place, sign * weight, examples * SKETCH).reshape(-1, SKETCH)
+    scrambled = mix64(np.arange(1, len(idf) + 1, dtype=np.uint64))
+    place, sign = (scrambled % np.uint64(SKETCH)).astype(np.int32), np.where(scrambled >> np.uint64(63), idf, -idf)
+    sketch = np.zeros(examples * SKETCH)
+    for low in range(0, len(term), 1 << 20):
+        part = slice(low, low + (1 << 20))
+        sketch += np.bincount(number[part].astype(np.int64) * SKETCH + place[term[part]], (1 + np.log(count[part])) * sign[term[part]], len(sketch))
+    sketch = sketch.reshape(-1, SKETCH)
     sketch /= np.maximum(1e-12, np.sqrt((sketch * sketch).sum(1, keepdims=True)))
     centres = sketch[np.linspace(0, examples - 1, groups).astype(int)]
     for _ in range(ROUNDS):
@@ -263,37 +304,36 @@ def leads(term: np.ndarray, toxic: np.ndarray, terms: int, sizes: tuple[int, int
 
 
 def fit(docs: DataFrame, labels: DataFrame, learn: Column, examples: int = EXAMPLES,
-        neighbours: int = NEIGHBOURS) -> tuple[DataFrame, Index, Calibration, float]:
-    """(vectors of all docs, index, calibration, score without any word)."""
+        neighbours: int = NEIGHBOURS) -> tuple[DataFrame, Broadcast, Calibration, float]:
+    """(vectors of all docs, shared index, calibration, score without any word)."""
     rows, sizes = drawn(docs, stored(labelled(docs, labels, learn), "toxic-labels"), examples)
-    known = rows.orderBy("place").toArrow()
-    place, toxic = known.column("place").to_numpy(), known.column("toxic").to_numpy().astype(int)
-    offsets, hashes = _lists(known.column("hashes"))
-    counts = _lists(known.column("counts"))[1]
+    known = rows.toArrow()
+    place, toxic, ids = (known.column(c).to_numpy() for c in ("place", "toxic", "doc_id"))
+    (offsets, hashes), (_, counts) = _lists(known.column("hashes")), _lists(known.column("counts"))
     vocabulary = np.unique(hashes.view(np.uint64))
     found = stored(vectors(docs, vocabulary), "toxic-vectors")
     total = found.count()
-    term = np.searchsorted(vocabulary, hashes.view(np.uint64))
+    term = np.searchsorted(vocabulary, hashes.view(np.uint64)).astype(np.int32)
+    del known, hashes
     drawn_of = (int((toxic == 0).sum()), int((toxic == 1).sum()))
     idf = np.log((1 + total) / (1 + document_frequencies(found, len(vocabulary)))) + 1
     idf *= leads(term, np.repeat(toxic, np.diff(offsets)), len(vocabulary), drawn_of)
-    ids = known.column("doc_id").to_numpy()
-    index = Index(idf, [(ids[i], toxic[i], term[a:b], counts[a:b]) for i, (a, b) in enumerate(zip(offsets[:-1], offsets[1:]))])
+    order = np.argsort(place)
+    index = Index(idf, [(ids[i], toxic[i], term[offsets[i] : offsets[i + 1]], counts[offsets[i] : offsets[i + 1]]) for i in order])
+    shared = docs.sparkSession.sparkContext.broadcast(index)
     prior = sizes.get(1, 0) / (sum(sizes.values()) + 1)
-    number, votes = own_votes(rows, index, place, vocabulary, neighbours)
-    weights = np.array([sizes.get(t, 0) / max(1, drawn_of[t]) for t in (0, 1)])[toxic[number]]
-    return found, index, Calibration(votes, toxic[number], weights, prior), prior
+    number, votes = own_votes(rows, shared, place[order], vocabulary, neighbours)
+    weights = np.array([sizes.get(t, 0) / max(1, drawn_of[t]) for t in (0, 1)])[index.toxic[number]]
+    return found, shared, Calibration(votes, index.toxic[number], weights, prior), prior
 
 
-def own_votes(rows: DataFrame, index: Index, place: np.ndarray, vocabulary: np.ndarray, neighbours: int) -> tuple[np.ndarray, np.ndarray]:
+def own_votes(rows: DataFrame, shared: Broadcast, place: np.ndarray, vocabulary: np.ndarray, neighbours: int) -> tuple[np.ndarray, np.ndarray]:
     """(number, vote) of each example among the others, computed by the executors; examples without neighbours are left out."""
-    spark = rows.sparkSession
-    shared = spark.sparkContext.broadcast((index, place, vocabulary))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = rows.sparkSession.sparkContext.broadcast((place, vocabulary))
 
     def work(batches):
         for batch in batches:
-            index, place, vocabulary = shared.value
+            index, (place, vocabulary) = shared.value, known.value
             out = []
             for p, hashes, counts in zip(*(batch.column(c) for c in ("place", "hashes", "counts"))):
                 number = int(np.searchsorted(place, p.as_py()))
@@ -304,19 +344,18 @@ def own_votes(rows: DataFrame, index: Index, place: np.ndarray, vocabulary: np.n
             yield pa.RecordBatch.from_arrays([pa.array([n for n, _ in out], pa.int64()), pa.array([v for _, v in out], pa.float64())],
                                              names=["number", "vote"])
 
-    found = map_batches(rows.select("place", "hashes", "counts").repartition(parts, "place"), work, "number long, vote double").orderBy("number").toArrow()
+    found = map_batches(rows.select("place", "hashes", "counts"), work, "number long, vote double").toArrow().sort_by("number")
     return found.column("number").to_numpy(), found.column("vote").to_numpy()
 
 
 def score(docs: DataFrame, labels: DataFrame, learn: Column | None = None, neighbours: int = NEIGHBOURS,
           threshold: float = THRESHOLD, **options) -> DataFrame:
     """doc_id, text_key, score, predicted and evidence (the three nearest examples) for each row of docs (doc_id, text)."""
-    found, index, calibration, silent = fit(
+    found, shared, calibration, silent = fit(
         docs, labels, F.lit(True) if learn is None else learn, neighbours=neighbours, **options)
-    model = docs.sparkSession.sparkContext.broadcast((index, calibration))
 
     def work(batches):
-        index, calibration = model.value
+        index = shared.value
         known: dict[bytes, tuple] = {}
         for batch in batches:
             (begin, terms), (_, counts) = _lists(batch.column("terms")), _lists(batch.column("counts"))
