@@ -50,9 +50,10 @@ def crc_mod(column: str, n: int) -> Column:
 
 
 def map_batches(df: DataFrame, work: Callable[[Batches], Batches], schema: str, barrier_rows: int = 2000) -> DataFrame:
-    """``work`` over Arrow batches of at most ``barrier_rows`` rows, wherever and whenever the plan runs."""
+    """``work`` over Arrow batches of at most ``barrier_rows`` rows, wherever and whenever the plan runs, and 32 MB."""
     # Workers that start elsewhere find this package where the driver has it, unless it is installed or shipped.
     df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
     def limited(batches: Batches) -> Batches:
         return work(batch.slice(at, barrier_rows) for batch in batches for at in range(0, max(1, batch.num_rows), barrier_rows))
