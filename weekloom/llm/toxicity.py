@@ -158,18 +158,18 @@ class Index:
     def __init__(self, idf: np.ndarray, examples: list[tuple], block: int = BLOCK, common: float = COMMON):
         """examples: (doc_id, toxic, terms, counts), numbered as they come; ``common`` is a share of them."""
         n, idf = len(examples), np.asarray(idf, float)
-        number = np.repeat(np.arange(n, dtype=np.int32), [len(e[2]) for e in examples])
-        term, count = (np.concatenate([np.empty(0, np.int32), *(np.asarray(e[i], np.int32) for e in examples)]) for i in (2, 3))
-        order = np.argsort(like(number, term, count, idf, n, block), kind="stable").astype(np.int32)
+        order = np.argsort(like(examples, idf, block), kind="stable").astype(np.int32)
         position = np.empty(n, np.int32)
         position[order] = np.arange(n)
-        by_term = np.argsort(term.astype(np.int64) * n + position[number])
+        kind = np.min_scalar_type(max((int(np.max(e[3], initial=0)) for e in examples), default=0))
+        term = np.concatenate([np.empty(0, np.int32), *(np.asarray(examples[i][2], np.int32) for i in order)])
+        count = np.concatenate([np.empty(0, kind), *(np.asarray(examples[i][3], kind) for i in order)])
+        at = np.repeat(np.arange(n, dtype=np.min_scalar_type(max(0, n - 1))), [len(examples[i][2]) for i in order])
+        by_term = np.argsort(term, kind="stable")
         self._known({
             "idf": idf, "block": block, "common": common, "number": order, "position": position,
             "ids": np.array([e[0] for e in examples], np.int64), "toxic": np.array([e[1] for e in examples], np.int8),
-            "sizes": np.bincount(term, minlength=len(idf)).astype(np.int32),
-            "at": position[number][by_term].astype(np.min_scalar_type(max(0, n - 1))),
-            "count": count[by_term].astype(np.min_scalar_type(int(count.max(initial=0))))})
+            "sizes": np.bincount(term, minlength=len(idf)).astype(np.int32), "at": at[by_term], "count": count[by_term]})
 
     def __getstate__(self) -> dict:
         return self.sent
@@ -259,20 +259,18 @@ class Index:
         return float((weights * self.toxic[numbers]).sum() / weights.sum())
 
 
-def like(number: np.ndarray, term: np.ndarray, count: np.ndarray, idf: np.ndarray, examples: int, block: int) -> np.ndarray:
+def like(examples: list[tuple], idf: np.ndarray, block: int) -> np.ndarray:
     """A group per example, so that blocks of a group's examples have few words in common with other texts: k-means on signed sums."""
-    groups = -(-examples // block)
+    groups = -(-len(examples) // block)
     if groups < 2:
-        return np.zeros(examples, np.int64)
+        return np.zeros(len(examples), np.int64)
     scrambled = mix64(np.arange(1, len(idf) + 1, dtype=np.uint64))
     place, sign = (scrambled % np.uint64(SKETCH)).astype(np.int32), np.where(scrambled >> np.uint64(63), idf, -idf)
-    sketch = np.zeros(examples * SKETCH)
-    for low in range(0, len(term), 1 << 20):
-        part = slice(low, low + (1 << 20))
-        sketch += np.bincount(number[part].astype(np.int64) * SKETCH + place[term[part]], (1 + np.log(count[part])) * sign[term[part]], len(sketch))
-    sketch = sketch.reshape(-1, SKETCH)
+    sketch = np.zeros((len(examples), SKETCH))
+    for line, (_, _, terms, counts) in zip(sketch, examples):
+        line += np.bincount(place[terms], (1 + np.log(counts)) * sign[terms], SKETCH)
     sketch /= np.maximum(1e-12, np.sqrt((sketch * sketch).sum(1, keepdims=True)))
-    centres = sketch[np.linspace(0, examples - 1, groups).astype(int)]
+    centres = sketch[np.linspace(0, len(examples) - 1, groups).astype(int)]
     for _ in range(ROUNDS):
         group = (sketch @ centres.T).argmax(1)
         sums = np.zeros_like(centres)
@@ -304,11 +302,12 @@ class Calibration:
 
 
 def leads(term: np.ndarray, toxic: np.ndarray, terms: int, sizes: tuple[int, int]) -> np.ndarray:
-    """(t - c) / (t + c) of each term's smoothed shares of toxic and other examples, at least LEAST_LEAD; term, toxic: a place per posting."""
+    """(t - c) / (t + c) of each term's smoothed shares of toxic and other examples, at least LEAST_LEAD; term, toxic (boolean): a place per posting."""
     others, toxics = sizes
     part = toxics / max(1, others + toxics)
-    t = (np.bincount(term, toxic, terms) + SMOOTHING * part) / max(1, toxics)
-    c = (np.bincount(term, 1 - toxic, terms) + SMOOTHING * (1 - part)) / max(1, others)
+    held = np.bincount(term[toxic], minlength=terms)
+    t = (held + SMOOTHING * part) / max(1, toxics)
+    c = (np.bincount(term, minlength=terms) - held + SMOOTHING * (1 - part)) / max(1, others)
     return np.maximum(LEAST_LEAD, (t - c) / np.maximum(t + c, 1e-300))
 
 
@@ -327,7 +326,7 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column, examples: int = EXAMP
     total = found.count()
     drawn_of = (int((toxic == 0).sum()), int((toxic == 1).sum()))
     idf = np.log((1 + total) / (1 + document_frequencies(found, len(vocabulary)))) + 1
-    idf *= leads(term, np.repeat(toxic, np.diff(offsets)), len(vocabulary), drawn_of)
+    idf *= leads(term, np.repeat(toxic == 1, np.diff(offsets)), len(vocabulary), drawn_of)
     order = np.argsort(place)
     index = Index(idf, [(ids[i], toxic[i], term[offsets[i] : offsets[i + 1]], counts[offsets[i] : offsets[i + 1]]) for i in order])
     shared = docs.sparkSession.sparkContext.broadcast(index)
