@@ -1,4 +1,5 @@
 import datetime as dt
+import pathlib
 import random
 import statistics
 
@@ -6,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import by, day, plan, rows
-from weekloom import schemas
+from weekloom import schemas, session
 from weekloom.operators import features
 
 MONDAY = day("2024-01-01")
@@ -168,3 +169,22 @@ def test_rolling_statistics_keep_their_digits_after_large_amounts(spark):
             assert row["SALES_ROLL_STD_12"] == pytest.approx(float(exact.sqrt()), rel=1e-14)
         else:
             assert row["SALES_ROLL_STD_12"] is None
+
+
+def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    sparse = weekly_frame(spark, {(s, f): {i: float(i) for i in range(30)} for s in range(40) for f in "AB"})
+    assert session.partitions_for(sparse) == cores  # no files
+    path = str(tmp_path / "a b%3A=1")
+    sparse.repartition(3).write.parquet(path)
+    stored = spark.read.schema(sparse.schema).parquet(path)
+    size = sum(f.stat().st_size for f in pathlib.Path(path).glob("part-*"))
+    assert session.partitions_for(stored.where("STORE_NBR > 3")) == cores
+    monkeypatch.setattr(session, "PARTITION_BYTES", size // 50)
+    assert session.partitions_for(stored) in (50, 51, 52)
+    monkeypatch.setattr(session, "MOST_PARTITIONS", 20)
+    assert session.partitions_for(stored) == 20
+    built = features.build_features(stored, spark.createDataFrame(HOLIDAYS, schemas.STORE_HOLIDAYS))
+    assert "REPARTITION_BY_NUM" in plan(built)
+    expected = features.build_features(sparse, spark.createDataFrame(HOLIDAYS, schemas.STORE_HOLIDAYS))
+    assert sorted(rows(built), key=str) == sorted(rows(expected), key=str)

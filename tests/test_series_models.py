@@ -176,3 +176,10 @@ def test_series_are_told_apart_in_any_batches(spark):
     assert {r.STORE_NBR for r in found if r.ERROR and r.WEEK_START > first + dt.timedelta(weeks=9)} == {4}
     checked = series_models.check_fits(rows.where("STORE_NBR <> 4"), weeks).collect()
     assert len(checked) == 5 and all(r.ARIMA_EXACT is None for r in checked)
+
+
+def test_missing_sales_fail_their_own_origins_at_once():
+    y, days, regressors = many(7)
+    y[0, 60] = np.nan
+    found = series_models._guarded(trend_season.forecasts, y[0], days, regressors[0], [50, 140], 2)
+    assert found[0][1] is None and found[1] == (None, "SVD did not converge in Linear Least Squares")
