@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 
+from helpers import plan
 from weekloom.fixed_values import NA_TOKENS
 from weekloom.sources import raw, records
 
@@ -94,3 +95,21 @@ def test_changed_ranges_are_refused(spark, tmp_path, small_ranges):
     spark.conf.set("spark.sql.files.openCostInBytes", "3100")
     with pytest.raises(PySparkException, match="byte ranges of the files have changed"):
         frame.collect()
+
+
+def test_only_ranges_with_quotes_are_looked_at_line_by_line(spark, tmp_path, small_ranges, monkeypatch):
+    text, expected = random_file(5, 300, 0.0)
+    (tmp_path / "plain.csv").write_text(text)
+    (tmp_path / "mixed.csv").write_text(text + random_file(6, 200, 0.9)[0].split("\n", 1)[1])
+    mixed = records.range_starts(records.lines(spark, str(tmp_path / "mixed.csv")))
+    assert len(mixed) >= 4
+    got = [list(r) for r in raw.read_csv_text(spark, str(tmp_path / "mixed.csv")).collect()]
+    assert sorted(got, key=str) == sorted([[None if v in NA_TOKENS else v for v in r] for r in expected + random_file(6, 200, 0.9)[1]], key=str)
+    monkeypatch.setattr(type(spark.range(1)), "mapInArrow", None)
+    plain = records.range_starts(records.lines(spark, str(tmp_path / "plain.csv")))
+    assert len(plain) >= 3 and set(plain.values()) == {None}
+
+
+def test_records_with_few_separators_are_parsed_once(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("a,b\n1,2\n")
+    assert "octet_length(replace" in plan(raw.read_csv_text(spark, str(tmp_path / "x.csv")))

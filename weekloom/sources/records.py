@@ -14,7 +14,7 @@ import sys
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need not have this package
@@ -70,14 +70,24 @@ def records(spark: SparkSession, path: str) -> DataFrame:
         pieces = rows.join(these, ["file", "start"], "left_semi").select("value", "file", "start").mapInArrow(cut, "file string, owner long, start long, piece string")
         text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "piece"))), lambda p: p["piece"]), "\n")
         found = found.unionByName(pieces.groupBy("file", "owner").agg(text.alias("record")).select("record"))
-    return found.select(F.regexp_replace("record", "\r$", "").alias("record")).where("record != ''")
+    ended = F.when(F.contains("record", F.lit("\r")), F.regexp_replace("record", "\r$", "")).otherwise(F.col("record"))
+    return found.select(ended.alias("record")).where("record != ''")
 
 
 def range_starts(rows: DataFrame) -> dict[tuple[str, int], int | None]:
     """For each byte range: where the range starts in which the record lies that is open at its start; None if none is.
 
-    One row per byte range passes through the driver, as the ranges themselves do.
+    One row per byte range passes through the driver, as the ranges themselves do. Only lines of ranges that
+    hold a quote are looked at one by one; any other range ends as it starts.
     """
+    ranges = rows.groupBy("file", "start").agg(F.max(F.contains("value", F.lit(QUOTE))).alias("quoted")).collect()
+    quoted = [(r.file, r.start) for r in ranges if r.quoted]
+    plain = [Row(file=r.file, start=r.start, outside=False, inside=True, fresh=False) for r in ranges if not r.quoted]
+    if len(quoted) < len(ranges):
+        # At most one row per byte range.
+        these = F.broadcast(rows.sparkSession.createDataFrame(quoted, "file string, start long"))
+        rows = rows.join(these, ["file", "start"], "left_semi").select("value", "file", "start")
+
     def ends(batches):
         now, outside, inside, fresh = None, False, True, False
         for batch in batches:
@@ -98,7 +108,8 @@ def range_starts(rows: DataFrame) -> dict[tuple[str, int], int | None]:
         if now is not None:
             yield _batch([(*now, outside, inside, fresh)], [pa.string(), pa.int64(), pa.bool_(), pa.bool_(), pa.bool_()], ["file", "start", "outside", "inside", "fresh"])
 
-    found = rows.mapInArrow(ends, "file string, start long, outside boolean, inside boolean, fresh boolean").collect()
+    schema = "file string, start long, outside boolean, inside boolean, fresh boolean"
+    found = plain + (rows.mapInArrow(ends, schema).collect() if quoted else [])
     out: dict[tuple[str, int], int | None] = {}
     file, owner = None, None
     for r in sorted(found, key=lambda r: (r.file, r.start)):
@@ -128,6 +139,8 @@ def _read(batches, starts: dict, torn: bool):
                     raise ValueError("the byte ranges of the files have changed since they were read; read the files again")
                 now, held, owner = key, [], starts[key]
                 inside, header = owner is not None, key[1] == 0
+            if header and not inside and not held and not pc.any(pc.match_substring(value, QUOTE)).as_py():
+                value, header = value.slice(1), False
             if not inside and not torn and not header and not pc.any(pc.match_substring(value, QUOTE)).as_py():
                 yield _batch(out, kinds, names)
                 out = []
@@ -153,12 +166,13 @@ def _read(batches, starts: dict, torn: bool):
 
 def _grouped(batch: pa.RecordBatch):
     """(values, (file, start)) of each run of lines of one byte range."""
-    files, starts = batch.column("file").to_pylist(), batch.column("start").to_pylist()
-    at = 0
-    for end in range(1, len(files) + 1):
-        if end == len(files) or starts[end] != starts[at] or files[end] != files[at]:
-            yield batch.column("value").slice(at, end - at), (files[at], starts[at])
-            at = end
+    value, files, starts = (batch.column(name) for name in ("value", "file", "start"))
+    if not batch.num_rows:
+        return
+    changed = pc.or_(pc.not_equal(files[1:], files[:-1]), pc.not_equal(starts[1:], starts[:-1]))
+    cuts = [0, *(at + 1 for at in pc.indices_nonzero(changed).to_pylist()), batch.num_rows]
+    for at, end in zip(cuts, cuts[1:]):
+        yield value.slice(at, end - at), (files[at].as_py(), starts[at].as_py())
 
 
 def _batch(rows: list[tuple], kinds: list, names: list[str]) -> pa.RecordBatch:
