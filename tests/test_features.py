@@ -188,3 +188,19 @@ def test_partitions_follow_the_input(spark, tmp_path, monkeypatch):
     assert "REPARTITION_BY_NUM" in plan(built)
     expected = features.build_features(sparse, spark.createDataFrame(HOLIDAYS, schemas.STORE_HOLIDAYS))
     assert sorted(rows(built), key=str) == sorted(rows(expected), key=str)
+
+
+def test_rows_from_a_week_on_equal_those_of_the_whole_history(spark, sparse):
+    late = sparse | {(4, "B"): {2: 7.0, 5: 3.0}, (5, "A"): {66: 1.5, 68: 2.5}}
+    holidays = spark.createDataFrame(HOLIDAYS, schemas.STORE_HOLIDAYS)
+    weekly = weekly_frame(spark, late)
+    whole = features.build_features(weekly, holidays)
+    for i in (1, 30, 61, 68, 69):
+        oldest = F.lit(week(i))
+        got = features.build_features(weekly, holidays, oldest=oldest)
+        assert sorted(rows(got), key=str) == sorted(rows(whole.where(F.col("WEEK_START") >= oldest)), key=str)
+        assert got.count() == 5 * (70 - i)
+    # weeks that nothing looks back to are not laid out
+    assert rows(features.densify(weekly, F.lit(week(0)), F.lit(week(69)), F.lit(week(60))).agg(F.min("WEEK_START"), F.count("*"))) == [(week(60), 6 * 10)]
+    with pytest.raises(ValueError, match="dense"):
+        features.build_features(weekly, holidays, dense=False, oldest=F.lit(week(1)))
