@@ -4,6 +4,7 @@ import random
 import statistics
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from helpers import by, day, plan, rows
@@ -202,5 +203,7 @@ def test_rows_from_a_week_on_equal_those_of_the_whole_history(spark, sparse):
         assert got.count() == 5 * (70 - i)
     # weeks that nothing looks back to are not laid out
     assert rows(features.densify(weekly, F.lit(week(0)), F.lit(week(69)), F.lit(week(60))).agg(F.min("WEEK_START"), F.count("*"))) == [(week(60), 6 * 10)]
+    with pytest.raises(PySparkException, match="sequence boundaries"):
+        features.build_features(weekly.union(weekly.where("SALES = 3")), holidays, oldest=F.lit(week(68))).collect()
     with pytest.raises(ValueError, match="dense"):
         features.build_features(weekly, holidays, dense=False, oldest=F.lit(week(1)))
