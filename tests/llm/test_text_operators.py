@@ -5,6 +5,7 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -310,6 +311,60 @@ def test_index_finds_the_exact_nearest(share):
         assert i not in index.nearest(terms, counts, 10, without=i)[0]
 
 
+def two_languages(n):
+    """Examples of two languages in turn: ten common words each, and rare words of their own."""
+    import numpy as np
+
+    draw, out = np.random.default_rng(3), []
+    for i in range(n):
+        common = i % 2 * 10 + np.flatnonzero(draw.random(10) < 0.8)
+        terms = np.concatenate([common, 20 + np.sort(draw.choice(5000, 12, replace=False))])
+        out.append((i, int(draw.integers(2)), terms, draw.integers(1, 3, len(terms))))
+    return draw.uniform(0.5, 1, 5020), out
+
+
+def test_blocks_hold_like_examples():
+    idf, examples = two_languages(600)
+    group = toxicity.like(examples, idf, 300)
+    assert {len({group[i] for i in range(p, 600, 2)}) for p in (0, 1)} == {1} and group[0] != group[1]
+
+
+def test_common_words_of_far_blocks_are_not_read(monkeypatch):
+    """A text's own block is multiplied out; of the other one only the lists of rare words are read."""
+    idf, examples = two_languages(600)
+    index, read = pickle.loads(pickle.dumps(toxicity.Index(idf, examples, block=300))), []
+    lists = toxicity.Index.read
+    monkeypatch.setattr(toxicity.Index, "read", lambda self, lows, highs, asked: read.append((highs - lows).sum()) or lists(self, lows, highs, asked))
+    for _, _, terms, counts in examples[:50]:
+        read.clear()
+        numbers, _ = index.nearest(terms, counts, 5)
+        assert len(numbers) == 5 and sum(read) < 100
+
+
+def test_words_are_runs_of_letters_whatever_their_place():
+    texts = ["", "1 2 _", "Ab ab_aB9b", "İ ß ΑΣ ΑΣΑ _a1b٣c", "²x ½ Ⅷ\n\U0001d4d0 été", " ".join(random_texts(5, 40))]
+    known = {}
+    for text in texts:
+        plain = Counter(re.findall(r"[^\W\d_]+", text.lower()))
+        hashes, counts = toxicity.hashed("?! " + text)
+        for word, n in plain.items():
+            known.setdefault(word, int(toxicity.hashed(word)[0][0]))
+        assert dict(zip(hashes.tolist(), counts.tolist())) == {known[w]: n for w, n in plain.items()}
+    assert len(set(known.values())) == len(known)
+
+
+def test_a_task_multiplies_on_one_thread(spark):
+    import os
+
+    from weekloom.llm.common import map_batches
+
+    def work(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([os.environ.get("OPENBLAS_NUM_THREADS")] * len(batch))], names=["n"])
+
+    assert {r.n for r in map_batches(spark.range(3), work, "n string").collect()} == {"1"}
+
+
 def test_toxicity_without_labels_or_rows(spark):
     docs, labels = labelled_documents(spark)
     none = labels.where("toxic > 1")

@@ -53,6 +53,8 @@ def map_batches(df: DataFrame, work: Callable[[Batches], Batches], schema: str,
     """``work`` over Arrow batches of at most ``barrier_rows`` rows, wherever and whenever the plan runs, and 32 MB."""
     # Workers that start elsewhere find this package where the driver has it, unless it is installed or shipped.
     df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+    # A task has one core: products on more threads only wait for each other, at the price of processor time.
+    df.sparkSession.sparkContext.environment.setdefault("OPENBLAS_NUM_THREADS", "1")
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
     def limited(batches: Batches) -> Batches:

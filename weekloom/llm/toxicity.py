@@ -5,10 +5,13 @@ come from all documents. A word's idf is scaled by (t - c) / (t + c), where t an
 shares of toxic and other examples that hold it, smoothed towards each other by
 ``SMOOTHING`` texts and never below ``LEAST_LEAD``, so every word counts. A text's score is
 the distance-weighted vote of the labelled examples nearest by exact cosine, found through
-an inverted index in blocks of like examples: a block's bound is the most that common words,
-multiplied out for many texts at once, give one of its examples, and the sum over the other
-words of weight times the largest weight in the block; the block with the highest bound is
-read first, then every other one whose bound reaches the neighbours found there. Votes are calibrated on the examples themselves, each left out of its own vote.
+an inverted index in blocks of like examples. Lists of words that few of a block's examples
+hold are read; for words that are common in a block, the block with the most of their postings
+is dealt with first, multiplied out for many texts at once, then every other one whose bound
+reaches the neighbours found: the most that the lists read give one of its examples, and the sum over
+the common words of weight times the largest weight in the block. Sums in single precision tell who
+may be among the nearest; their cosines are computed in double precision. Votes are calibrated
+on the examples themselves, each left out of its own vote.
 
 Fitted on a bounded sample: at most ``examples`` different labelled texts per label, drawn
 by hash from all that there are. Everything else covers all rows.
@@ -22,49 +25,77 @@ give no rows; repeated rows are each scored; other columns are ignored.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import map_batches, mix64, stored, text_or_empty
+from weekloom.llm.common import map_batches, span_hashes, stored, text_or_empty
 
-EXAMPLES, NEIGHBOURS, BLOCK = 20_000, 25, 512
-#: Words in more than this share of the examples are common.
-COMMON = 1 / 8
+EXAMPLES, NEIGHBOURS, BLOCK = 20_000, 25, 4096
+#: Words in more than this share of a block's examples are common there.
+COMMON = 1 / 10
+#: Postings that are weighed at once when an index arrives.
+PART = 1 << 20
+#: Cells of a matrix that a text is multiplied with in the time in which one posting is read.
+CELLS = 250
 #: Texts that are asked for at once.
 GROUP = 64
 SMOOTHING, LEAST_LEAD, THRESHOLD = 8.0, 0.05, 0.7
 #: Added to distances, so that an equal text doesn't outweigh all others.
 SOFTENING = 0.05
-#: Dimensions and rounds of the grouping of like examples.
-SKETCH, ROUNDS = 64, 8
+#: Words and rounds of the grouping of like examples.
+SKETCH, ROUNDS = 256, 8
 #: Texts whose answer a worker remembers, for copies.
 REMEMBERED = 4096
 _WORD = re.compile(r"[^\W\d_]+")
+_TABLES: dict[str, np.ndarray] = {}
 EVIDENCE = "array<struct<doc_id: long, cosine: double, toxic: int>>"
 
 
-def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+def letters() -> np.ndarray:
+    """Whether a code point may stand in a word, made once per process."""
+    if "letters" not in _TABLES:
+        table = np.zeros(0x110000, bool)
+        for found in _WORD.finditer("".join(map(chr, range(0x110000)))):
+            table[found.start() : found.end()] = True
+        _TABLES["letters"] = table
+    return _TABLES["letters"]
 
 
 def hashed(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of a text's different words, and how often it holds each."""
-    found = Counter(words_of(text))
-    hashes = np.fromiter((xxhash.xxh3_64_intdigest(w.encode("utf-8", "surrogatepass")) for w in found), np.uint64, len(found))
-    return hashes, np.fromiter(found.values(), np.int32, len(found))
+    """Sorted 64-bit hashes of a text's different words, runs of letters in lower case, and how often it holds each."""
+    codes = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.zeros(len(codes) + 2, np.int8)
+    inside[1:-1] = letters()[codes]
+    edges = np.flatnonzero(np.diff(inside))
+    hashes = np.sort(span_hashes(codes, edges[::2], edges[1::2]))
+    first = np.flatnonzero(np.diff(hashes, prepend=~hashes[:1]))
+    return hashes[first], np.diff(first, append=len(hashes)).astype(np.int32)
 
 
 def spans(lows: np.ndarray, highs: np.ndarray) -> np.ndarray:
     """The numbers from each low to before its high, end to end."""
     sizes = highs - lows
-    return np.repeat(lows - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+    ends = np.cumsum(sizes)
+    out = np.repeat(lows - ends + sizes, sizes)
+    run = _TABLES.get("run", out[:0])
+    if len(run) < len(out):
+        run = _TABLES["run"] = np.arange(2 * len(out))
+    out += run[: len(out)]
+    return out
+
+
+def reached(sums: np.ndarray, k: int) -> float:
+    """A value that at least k of the sums reach: the k-th largest, or that of the largest of slices; 0 if there are fewer."""
+    if len(sums) <= k:
+        return 0.0
+    if len(sums) >= 64 * k:
+        sums = sums[: len(sums) // 32 * 32].reshape(32, -1).max(0)
+    return max(0.0, float(np.partition(sums, -k)[-k]))
 
 
 # --- fitting ------------------------------------------------------------------------------
@@ -114,18 +145,17 @@ def vectors(docs: DataFrame, vocabulary: np.ndarray) -> DataFrame:
 
     def work(batches):
         for batch in batches:
-            terms, counts = [], []
+            terms, counts = [np.empty(0, np.int32)], [np.empty(0, np.int32)]
             for text in batch.column("text").to_pylist():
                 hashes, n = hashed(text)
                 at = np.searchsorted(shared.value, hashes)
                 known = at < len(shared.value)
                 known[known] = shared.value[at[known]] == hashes[known]
-                order = np.argsort(at[known])
-                terms.append(at[known][order].astype(np.int32))
-                counts.append(n[known][order])
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text_key"), pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int32()))],
-                names=["doc_id", "text_key", "terms", "counts"])
+                terms.append(at[known].astype(np.int32))
+                counts.append(n[known])
+            offsets = pa.array(np.cumsum([len(t) for t in terms]).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(c))) for c in (terms, counts)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), *lists], names=["doc_id", "text_key", "terms", "counts"])
 
     rows = docs.select("doc_id", F.unhex(F.md5(text_or_empty())).alias("text_key"), text_or_empty().alias("text"))
     return map_batches(rows, work, "doc_id long, text_key binary, terms array<int>, counts array<int>", 500)
@@ -151,23 +181,27 @@ def document_frequencies(found: DataFrame, terms: int) -> np.ndarray:
 class Index:
     """Examples as unit TF-IDF vectors in inverted lists, cut into blocks of like examples.
 
-    A list is a run of (block, largest weight) entries, and each of those a run of postings.
+    A list is a run of postings by position, and positions go by block. Words that many examples of a block hold are
+    also laid out as a matrix of the block, which is multiplied with many texts at once where that costs less than reading lists.
     Only what the rest follows from is sent: list sizes, places, counts and idf.
     """
 
     def __init__(self, idf: np.ndarray, examples: list[tuple], block: int = BLOCK, common: float = COMMON):
-        """examples: (doc_id, toxic, terms, counts), numbered as they come; ``common`` is a share of them."""
+        """examples: (doc_id, toxic, terms, counts), numbered as they come; ``block`` is how many a block holds on average,
+        ``common`` a share of a block."""
         n, idf = len(examples), np.asarray(idf, float)
-        order = np.argsort(like(examples, idf, block), kind="stable").astype(np.int32)
+        group = like(examples, idf, block)
+        order = np.argsort(group, kind="stable").astype(np.int32)
         position = np.empty(n, np.int32)
         position[order] = np.arange(n)
+        held = np.bincount(group)
         kind = np.min_scalar_type(max((int(np.max(e[3], initial=0)) for e in examples), default=0))
         term = np.concatenate([np.empty(0, np.int32), *(np.asarray(examples[i][2], np.int32) for i in order)])
         count = np.concatenate([np.empty(0, kind), *(np.asarray(examples[i][3], kind) for i in order)])
         at = np.repeat(np.arange(n, dtype=np.min_scalar_type(max(0, n - 1))), [len(examples[i][2]) for i in order])
         by_term = np.argsort(term, kind="stable")
         self._known({
-            "idf": idf, "block": block, "common": common, "number": order, "position": position,
+            "idf": idf, "bounds": np.concatenate([[0], np.cumsum(held[held > 0])]), "common": common, "number": order, "position": position,
             "ids": np.array([e[0] for e in examples], np.int64), "toxic": np.array([e[1] for e in examples], np.int8),
             "sizes": np.bincount(term, minlength=len(idf)).astype(np.int32), "at": at[by_term], "count": count[by_term]})
 
@@ -176,32 +210,58 @@ class Index:
 
     def _known(self, sent: dict) -> None:
         self.sent = sent
-        vars(self).update({k: v for k, v in sent.items() if k not in ("sizes", "count")})
+        vars(self).update({k: v for k, v in sent.items() if k not in ("sizes", "at", "count")})
 
     def __setstate__(self, sent: dict) -> None:
         """What searches need besides, made where the index arrives."""
         self._known(sent)
-        n, sizes = len(self.ids), sent["sizes"]
-        self.blocks = -(-n // self.block)
-        logs = 1 + np.log(np.arange(int(sent["count"].max(initial=0)) + 1).clip(1))
-        weight = logs[sent["count"]] * np.repeat(self.idf, sizes)
-        weight *= (1 / np.sqrt(np.bincount(self.at, weight * weight, n)))[self.at]
-        block = (self.at // np.int32(self.block)).astype(np.int32)
-        change = np.diff(block, prepend=-1) != 0
-        starts = np.concatenate([[0], np.cumsum(sizes)])
-        change[starts[:-1][sizes > 0]] = True
-        run = np.flatnonzero(change).astype(np.int32)
-        self.entries = np.searchsorted(run, starts).astype(np.int32)
-        self.entry_block, self.weight = block[run], weight
-        self.entry_most = np.maximum.reduceat(weight, run) if len(run) else weight
-        self.postings = np.append(run, len(weight)).astype(np.int32)
-        many = np.flatnonzero(sizes > sent["common"] * n)
+        n, sizes, bounds, at, count = len(self.ids), sent["sizes"], self.bounds, sent["at"], sent["count"]
+        self.sent = {}
+        self.starts = np.concatenate([[0], np.cumsum(sizes)])
+        self.logs = 1 + np.log(np.arange(int(count.max(initial=0)) + 1).clip(1))
+        # the same postings by example, for cosines in double precision
+        term = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        by_example = np.argsort(at, kind="stable")
+        self.terms, self.term_counts = term[by_example], count[by_example]
+        self.begins = np.concatenate([[0], np.cumsum(np.bincount(at, minlength=n))])
+        del by_example
+        parts, squares = [slice(low, low + PART) for low in range(0, len(at), PART)], np.zeros(n)
+        for part in parts:
+            squares += np.bincount(at[part], (self.logs[count[part]] * self.idf[term[part]]) ** 2, n)
+        self.scale = 1 / np.sqrt(np.maximum(squares, 1e-300))
+        # a posting's weight and place side by side, read as one
+        self.postings = np.empty((len(at), 2), np.int32)
+        weight = self.postings.view(np.float32)[:, 0]
+        self.postings[:, 1] = at
+        for part in parts:
+            weight[part] = self.logs[count[part]] * self.idf[term[part]] * self.scale[at[part]]
+        del term
+        # words that are common in a block, and their postings by block
+        often = np.flatnonzero(sizes > (np.diff(bounds).min() if n else 0) * sent["common"])
+        cuts = [self.starts[t] + np.searchsorted(at[self.starts[t] : self.starts[t + 1]], bounds) for t in often]
+        self.cuts = np.array(cuts, np.int64).reshape(len(often), len(bounds))
+        self.dense = np.diff(self.cuts) > sent["common"] * np.diff(bounds)
+        some = self.dense.any(1)
+        often, self.cuts, self.dense = often[some], self.cuts[some], self.dense[some]
         self.row = np.full(len(sizes), -1, np.int32)
-        self.row[many] = np.arange(len(many))
-        self.rows = np.zeros((len(many), n))
-        for row, term in enumerate(many):
-            part = slice(starts[term], starts[term + 1])
-            self.rows[row, self.at[part]] = weight[part]
+        self.row[often] = np.arange(len(often))
+        self.held = np.where(self.dense, np.diff(self.cuts), 0)
+        most = np.array([[weight[a:b].max(initial=0) for a, b in zip(line, line[1:])] for line in self.cuts]).reshape(self.dense.shape)
+        self.most = np.where(self.dense, most, 0)
+        self.rows, self.matrices = [], []
+        for b, (low, high) in enumerate(zip(bounds[:-1], bounds[1:])):
+            rows = np.flatnonzero(self.dense[:, b])
+            matrix, number = np.zeros((len(rows), high - low), np.float32), np.full(len(often), -1, np.int32)
+            for line, r in zip(matrix, rows):
+                part = slice(self.cuts[r, b], self.cuts[r, b + 1])
+                line[self.postings[part, 1] - low] = weight[part]
+            number[rows] = np.arange(len(rows))
+            self.rows.append(number)
+            self.matrices.append(matrix)
+        self.asked = np.zeros(len(sizes))
+        # postings that cost as much as a text's part of a product; how far single precision may be off
+        self.price = np.array([m.size / CELLS for m in self.matrices])
+        self.off = (max((len(m) for m in self.matrices), default=0) + 8) * 2.0**-23
 
     def unit(self, terms, counts) -> np.ndarray:
         weights = (1 + np.log(np.asarray(counts, float))) * self.idf[terms]
@@ -214,44 +274,67 @@ class Index:
     def search(self, texts: list[tuple], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """For each text (terms, counts, number of an example to leave out or -1): (example numbers, cosines) of the k nearest,
         ties to the smaller number; examples sharing no word are left out."""
-        starts = np.arange(self.blocks) * self.block
         for low in range(0, len(texts), GROUP):
             group = [(np.asarray(t, np.int64), self.unit(t, c), w) for t, c, w in texts[low : low + GROUP]]
-            common = np.zeros((len(group), len(self.rows)))
-            for line, (terms, unit, _) in zip(common, group):
-                often = self.row[terms] >= 0
-                line[self.row[terms[often]]] = unit[often]
-            for sums, (terms, unit, without) in zip(common @ self.rows, group):
-                if not len(terms) or not self.blocks:
-                    yield np.empty(0, np.int64), np.empty(0)
-                    continue
-                rare = self.row[terms] < 0
-                lows, highs = self.entries[terms[rare]], self.entries[terms[rare] + 1]
-                asked, entry = np.repeat(unit[rare], highs - lows), spans(lows, highs)
-                block = self.entry_block[entry]
-                bounds = np.maximum.reduceat(sums, starts) + np.bincount(block, asked * self.entry_most[entry], self.blocks)
-                first = int(bounds.argmax())
-                self.add(sums, entry, asked, block == first)
-                if without >= 0:
-                    sums[self.position[without]] = -np.inf
-                read = sums[first * self.block : (first + 1) * self.block]
-                least = np.partition(read, -k)[-k] - 1e-9 if len(read) > k else 0.0
-                more = bounds >= least
-                more[first] = False
-                self.add(sums, entry, asked, more[block])
-                # whoever cannot be among the k best isn't sorted
-                least = np.partition(sums, -k)[-k] - 1e-11 if len(sums) > k else 0.0
-                near = np.flatnonzero((sums > 0) & (sums >= least))
-                numbers, cosines = self.number[near].astype(np.int64), sums[near]
-                best = np.lexsort((numbers, -cosines.round(12)))[:k]
-                yield numbers[best], cosines[best]
-
-    def add(self, sums: np.ndarray, entry: np.ndarray, asked: np.ndarray, some: np.ndarray) -> None:
-        """Add the postings of some entries to the cosine of each position."""
-        lows, highs = self.postings[entry[some]], self.postings[entry[some] + 1]
+            rows = [self.row[terms] for terms, _, _ in group]
+            # each text's first block, where it finds the most postings of common words
+            gain = np.array([self.held[r[r >= 0]].sum(0) - self.price for r in rows]).reshape(len(group), len(self.price))
+            dealt = (gain > 0) & (gain == gain.max(1, initial=0, keepdims=True))
+            products: list[dict] = [{} for _ in group]
+            for b, (number, matrix) in enumerate(zip(self.rows, self.matrices)):
+                asking = np.flatnonzero(dealt[:, b])
+                asked = np.zeros((len(asking), len(matrix)), np.float32)
+                for line, i in zip(asked, asking):
+                    place = np.where(rows[i] >= 0, number[rows[i]], -1)
+                    line[place[place >= 0]] = group[i][1][place >= 0]
+                for i, product in zip(asking, asked @ matrix):
+                    products[i][b] = product
+            for one, row, product, done in zip(group, rows, products, dealt):
+                yield self._best(*one, row, product, done, k) if len(one[0]) and len(self.ids) else (np.empty(0, np.int64), np.empty(0))
+
+    def _best(self, terms: np.ndarray, unit: np.ndarray, without: int, row: np.ndarray, product: dict, dealt: np.ndarray,
+              k: int) -> tuple[np.ndarray, np.ndarray]:
+        """One text's answer; ``product``: the sums over common words in the blocks that were dealt with by products."""
+        often, single = row >= 0, unit.astype(np.float32)
+        r, rare, usual = row[often], ~often, single[often]
+        # lists of rare words, and of common ones in the blocks in which they are not common
+        cuts, left = self.cuts[r], ~self.dense[r]
+        sums = self.read(
+            np.concatenate([self.starts[terms[rare]], cuts[:, :-1][left]]), np.concatenate([self.starts[terms[rare] + 1], cuts[:, 1:][left]]),
+            np.concatenate([single[rare], np.broadcast_to(usual[:, None], left.shape)[left]]))
+        for b, part in product.items():
+            sums[self.bounds[b] : self.bounds[b + 1]] += part
+        if without >= 0:
+            sums[self.position[without]] = -np.inf
+        least = reached(sums, k) - 2 * self.off
+        # of the other blocks those whose bound reaches the neighbours found
+        other = ~dealt & (np.maximum.reduceat(sums, self.bounds[:-1]) + usual @ self.most[r] >= least)
+        if len(r) and other.any():
+            more = ~left & other
+            sums += self.read(cuts[:, :-1][more], cuts[:, 1:][more], np.broadcast_to(usual[:, None], more.shape)[more])
+            least = reached(sums, k) - 2 * self.off
+        # in double precision for those that may be among the nearest
+        near = np.flatnonzero(sums >= max(least, 1e-30))
+        if len(near) > k:
+            some = sums[near]
+            near = near[some >= np.partition(some, -k)[-k] - 2 * self.off]
+        self.asked[terms] = unit * self.idf[terms]
+        lows, highs = self.begins[near], self.begins[near + 1]
+        at = spans(lows, highs)
+        found = self.asked.take(self.terms.take(at)) * self.logs.take(self.term_counts.take(at))
+        self.asked[terms] = 0
+        cosines = np.add.reduceat(found, np.cumsum(highs - lows) - highs + lows) * self.scale[near] if len(near) else np.empty(0)
+        numbers = self.number[near].astype(np.int64)
+        best = np.lexsort((numbers, -cosines.round(12)))[:k]
+        return numbers[best], cosines[best]
+
+    def read(self, lows: np.ndarray, highs: np.ndarray, asked: np.ndarray) -> np.ndarray:
+        """For each position the sum of its weights in some runs of postings, times what is asked."""
         at = spans(lows, highs)
-        if len(at):
-            sums += np.bincount(self.at[at], self.weight[at] * np.repeat(asked[some], highs - lows), len(sums))
+        if not len(at):
+            return np.zeros(len(self.ids))
+        found = self.postings.view(np.int64)[:, 0].take(at).view(np.int32).reshape(-1, 2)
+        return np.bincount(found[:, 1], found.view(np.float32)[:, 0] * np.repeat(asked, highs - lows), len(self.ids))
 
     def vote(self, found: tuple[np.ndarray, np.ndarray]) -> float:
         numbers, cosines = found
@@ -260,21 +343,30 @@ class Index:
 
 
 def like(examples: list[tuple], idf: np.ndarray, block: int) -> np.ndarray:
-    """A group per example, so that blocks of a group's examples have few words in common with other texts: k-means on signed sums."""
+    """A group per example, so that blocks of a group's examples have few words in common with other texts: k-means on the
+    words that most examples hold, which tell languages and kinds of text apart."""
     groups = -(-len(examples) // block)
     if groups < 2:
         return np.zeros(len(examples), np.int64)
-    scrambled = mix64(np.arange(1, len(idf) + 1, dtype=np.uint64))
-    place, sign = (scrambled % np.uint64(SKETCH)).astype(np.int32), np.where(scrambled >> np.uint64(63), idf, -idf)
-    sketch = np.zeros((len(examples), SKETCH))
+    held = np.zeros(len(idf), np.int64)
+    for _, _, terms, _ in examples:
+        held[terms] += 1
+    place = np.full(len(idf), SKETCH)
+    usual = np.argsort(-held, kind="stable")[:SKETCH]
+    place[usual] = np.arange(len(usual))
+    sketch = np.zeros((len(examples), SKETCH + 1), np.float32)
     for line, (_, _, terms, counts) in zip(sketch, examples):
-        line += np.bincount(place[terms], (1 + np.log(counts)) * sign[terms], SKETCH)
+        line[place[terms]] = 1 + np.log(counts)
+    sketch = sketch[:, :SKETCH]
     sketch /= np.maximum(1e-12, np.sqrt((sketch * sketch).sum(1, keepdims=True)))
-    centres = sketch[np.linspace(0, len(examples) - 1, groups).astype(int)]
+    # first centres: each as far as can be from those before
+    centres, far = sketch[:1], np.full(len(sketch), -1, np.float32)
+    while len(centres) < groups:
+        far = np.maximum(far, sketch @ centres[-1])
+        centres = np.concatenate([centres, sketch[[far.argmin()]]])
     for _ in range(ROUNDS):
         group = (sketch @ centres.T).argmax(1)
-        sums = np.zeros_like(centres)
-        np.add.at(sums, group, sketch)
+        sums = np.stack([sketch[group == g].sum(0) for g in range(groups)])
         size = np.sqrt((sums * sums).sum(1, keepdims=True))
         centres = np.where(size > 0, sums / np.maximum(1e-12, size), centres)
     return (sketch @ centres.T).argmax(1)
