@@ -183,3 +183,44 @@ def test_missing_sales_fail_their_own_origins_at_once():
     y[0, 60] = np.nan
     found = series_models._guarded(trend_season.forecasts, y[0], days, regressors[0], [50, 140], 2)
     assert found[0][1] is None and found[1] == (None, "SVD did not converge in Linear Least Squares")
+
+
+def test_covariance_likelihoods_of_many_are_the_dense_ones():
+    y, *_ = many(11)
+    waves, steps = np.diff(yearly(150), axis=0), np.delete(np.diff(y), 1, axis=0)
+    draw = np.random.default_rng(12)
+    phi, theta = np.tanh(draw.uniform(-3, 3, (2, len(steps))))
+    columns = np.concatenate([np.repeat(waves[:, None], len(steps), axis=1), steps.T[:, :, None]], axis=2)
+    found = fourier_arima.covariance_likelihoods(columns, phi, theta)
+    for s, row in enumerate(steps):
+        assert found[s] == pytest.approx(dense_likelihood(row, waves, phi[s], theta[s]), abs=1e-5)
+
+
+def test_fits_checked_together_hold_to_what_they_do_alone(monkeypatch):
+    y, days, regressors = many(13)
+    exact, best = fourier_arima.optima(y, yearly(150))
+    assert list(zip(exact, best)) == [fourier_arima.optimum(row, yearly(150)) for row in y]
+    assert trend_season.optima(y, days, regressors).tolist() == [trend_season.optimum(y[s], days, regressors[s]) for s in range(len(y))]
+    # A wrong likelihood, a search that stays at its first guess and changes that are no optimum are told.
+    monkeypatch.setattr(fourier_arima, "covariance_likelihoods", lambda c, p, t: np.zeros(c.shape[1]))
+    monkeypatch.setattr(fourier_arima.Together, "fitted", lambda self: (np.full((1, len(y)), 0.9), np.full((1, len(y)), 0.9)))
+    exact, best = fourier_arima.optima(np.cumsum(y, axis=1), yearly(150))
+    assert not exact.any() and not best[[0, *range(3, 9)]].any()
+    monkeypatch.setattr(trend_season, "_sparse_together", lambda gram, target, penalty, start: start + 1.0)
+    assert not trend_season.optima(y, days, regressors)[3:].any()
+
+
+def test_one_filter_pass_serves_all_origins():
+    y, *_ = many(14, 5)
+    waves, steps, ends = np.diff(yearly(150), axis=0), np.diff(y), [100, 149]
+    place = np.random.default_rng(15).uniform(-3, 3, (2, 5, 3))
+    shared, own = fourier_arima.Together(waves, steps, ends)._sums_at(place)
+    for (e, n), s, r in itertools.product(enumerate(ends), range(5), range(3)):
+        columns = np.column_stack([waves[:n], np.eye(n, 1), steps[s, :n]])
+        f = columns.copy()
+        for t in range(1, n):
+            f[t] = columns[t] - np.tanh(place[e, s, r]) * f[t - 1]
+        x, w, early, late = f[:, -1], f[:, :-2], slice(0, -1), slice(1, None)
+        sums = [x @ x, 2 * x[late] @ x[early], *(w.T @ x), *(w[late].T @ x[early] + w[early].T @ x[late]), x[-1], f[:, -2] @ x]
+        assert own[:, e, s, r] == pytest.approx(sums, rel=1e-7, abs=1e-7 * (1 + x @ x))
+        assert shared[: 10, e, s, r] == pytest.approx((w.T @ w)[np.triu_indices(4)], rel=1e-7, abs=1e-7)
